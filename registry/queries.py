@@ -143,7 +143,7 @@ def network_config_flat(spark, sf_dir):
 @query("scan_blocks")
 def scan_blocks(spark, sf_dir):
     start = chain.start_height(0, prune_height=-1)
-    found = chain.scan_range(chain.read_blocks(spark, f"{fixtures.stage(spark, sf_dir)}/blocks"), start)
+    found = chain.scan_range(chain.read_blocks(spark, f"{fixtures.stage_chain(spark, sf_dir)}/blocks"), start)
     return found.select("height", "hash", "time", F.size("tx").alias("transactions"))
 
 
@@ -237,7 +237,7 @@ def _incoming_reserves(spark, sf_dir):
 def upsert_reserve_balances(spark, sf_dir):
     # Rows without a full key are appended by every run, so each run has its table.
     path = fresh_path(spark, "reserve_balances")
-    tables.write_monthly(fixtures.staged(spark, sf_dir, "reserve_balances"), path)
+    tables.write_monthly(fixtures.catalog(spark, sf_dir).reserve_balances, path)
 
     def merge(existing, rows):
         return upsert.upsert_reserve_balances(existing, rows, ["seq"], inserted_at())
@@ -790,7 +790,7 @@ def derive_impl_slug(spark, sf_dir):
 
 
 def _stream_values(spark, sf_dir, shift_days=0):
-    path = f"{fixtures.stage(spark, sf_dir)}/observations"
+    path = f"{fixtures.stage_chain(spark, sf_dir)}/observations"
     amount = scalars.hex_uint(F.get_json_object("payload", "$.result"))
     return daily.stream_observations(spark, path).select(
         "seq",
@@ -831,7 +831,7 @@ def stream_upsert(spark, sf_dir):
 @query("stream_blocks")
 def stream_blocks(spark, sf_dir):
     path = fresh_path(spark, "stream-hits")
-    landed = chain.stream_blocks(spark, f"{fixtures.stage(spark, sf_dir)}/blocks", files_per_batch=2)
+    landed = chain.stream_blocks(spark, f"{fixtures.stage_chain(spark, sf_dir)}/blocks", files_per_batch=2)
     daily.stream_staking_outputs(landed, path, fresh_path(spark, "stream-checkpoint"))
     return spark.read.parquet(path)
 

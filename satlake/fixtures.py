@@ -7,6 +7,7 @@ would lie at rest in production; every query then scans those files.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,28 +26,42 @@ UPSERT_SHIFT_DAYS = 8120
 
 UTXO_SOURCE = "BitcoinReserves"
 
-_roots: dict[tuple[str, str], str] = {}
+_roots: dict[tuple[str, str, str], str] = {}
+_catalogs: dict[str, Catalog] = {}
 
 
 def stage(spark: SparkSession, sf_dir: str) -> str:
-    """Write the domain tables of a scale factor once and return their folder."""
+    """Write the seven base tables of a scale factor once and return their folder."""
+    return _once(spark, sf_dir, "domain", _write_balances)
+
+
+def stage_chain(spark: SparkSession, sf_dir: str) -> str:
+    """Write the block and observation inputs once and return their folder."""
+    return _once(spark, sf_dir, "chain", _write_chain)
+
+
+def _once(
+    spark: SparkSession, sf_dir: str, label: str, write: Callable[[SparkSession, str, str], None]
+) -> str:
     apply_settings(spark)
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, label)
     if key not in _roots:
-        root = fresh_path(spark, "domain")
-        _write_balances(spark, sf_dir, root)
-        _write_chain(spark, sf_dir, root)
+        root = fresh_path(spark, label)
+        write(spark, sf_dir, root)
         _roots[key] = root
     return _roots[key]
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> Catalog:
-    return Catalog.from_parquet(spark, stage(spark, sf_dir), AS_OF)
+    root = stage(spark, sf_dir)
+    if root not in _catalogs:
+        _catalogs[root] = Catalog.from_parquet(spark, root, AS_OF)
+    return _catalogs[root]
 
 
 def staged(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """One of the other staged inputs: blocks, chain_blocks, observations, polls."""
-    root = stage(spark, sf_dir)
+    """One of the other staged inputs: blocks, chain_blocks, observations."""
+    root = stage_chain(spark, sf_dir)
     if table in DDL:
         return scan_table(spark, root, table)
     return spark.read.parquet(f"{root}/{table}")
@@ -246,12 +261,11 @@ def _write_chain(spark: SparkSession, sf_dir: str, root: str) -> None:
 
 def monthly_copy(spark: SparkSession, sf_dir: str, table: str, name: str) -> str:
     """A month-partitioned copy of a fact table for one upsert job, made once."""
-    key = (spark.sparkContext.applicationId, f"{sf_dir}#{table}#{name}")
-    if key not in _roots:
-        path = fresh_path(spark, f"{table}-{name}")
-        write_monthly(staged(spark, sf_dir, table), path)
-        _roots[key] = path
-    return _roots[key]
+
+    def write(spark: SparkSession, sf_dir: str, path: str) -> None:
+        write_monthly(catalog(spark, sf_dir).tables[table], path)
+
+    return _once(spark, sf_dir, f"{table}-{name}", write)
 
 
 # Payload texts per decoder as SQL over an event; both Spark and the checking

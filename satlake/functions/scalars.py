@@ -64,48 +64,38 @@ def iso_from_epoch(seconds: Column) -> Column:
     return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss")
 
 
-def hex_digits(text: Column) -> Column:
-    """Significant hex digits of ``0x…`` text; NULL when it is not a hex number."""
-    body = F.regexp_replace(F.lower(F.trim(text)), "^0x", "")
-    stripped = F.regexp_replace(body, "^0+(?=.)", "")
-    return F.when(body.rlike("^[0-9a-f]+$"), stripped)
+# Up to 32 significant hex digits as a high and a low half of 16 digits each.
+_HEX_HALVES = r"(?i)^\s*(?:0x)?0*([0-9a-f]{0,16}?)([0-9a-f]{1,16})\s*$"
+_TWO_64 = "18446744073709551616"
 
 
 def hex_uint(text: Column) -> Column:
     """Exact unsigned integer of a hex text as decimal(38,0).
 
     Two 64-bit halves are converted separately.  NULL when the text is not hex
-    or the number has more than 38 decimal digits.
+    or the number has more than 38 decimal digits.  The text is written twice
+    in the expression, not more: the halves of no number are empty, and an
+    empty low half converts to NULL.
     """
-    digits = hex_digits(text)
-    padded = F.lpad(digits, 32, "0")
-    high = F.conv(F.substring(padded, 1, 16), 16, 10).cast("decimal(20,0)")
-    low = F.conv(F.substring(padded, 17, 16), 16, 10).cast("decimal(20,0)")
-    two_64 = F.lit("18446744073709551616").cast("decimal(20,0)")
-    exact = F.try_add(F.try_multiply(high, two_64).cast("decimal(38,0)"), low)
-    return F.when(F.length(digits) <= 32, exact).cast("decimal(38,0)")
+    high = F.conv(F.concat(F.lit("0"), F.regexp_extract(text, _HEX_HALVES, 1)), 16, 10)
+    low = F.conv(F.regexp_extract(text, _HEX_HALVES, 2), 16, 10)
+    shifted = F.try_multiply(high.cast("decimal(20,0)"), F.lit(_TWO_64).cast("decimal(20,0)"))
+    return F.try_add(shifted.cast("decimal(38,0)"), low.cast("decimal(20,0)")).cast("decimal(38,0)")
 
 
-def is_uint256(text: Column) -> Column:
+def is_hex_number(text: Column) -> Column:
     """The text is a hex number at all, whether or not it fits 38 digits."""
-    return hex_digits(text).isNotNull()
+    return text.rlike(r"(?i)^\s*(0x)?[0-9a-f]+\s*$")
 
 
 def shift_point(integer: Column, decimals: Column) -> Column:
     """``integer / 10**decimals`` as a balance, rounded half away from zero once.
 
-    The decimal point is placed in the digits, so no digit is lost in a
+    The number is read with a decimal exponent, so no digit is lost in a
     division; a value beyond the balance type gives NULL.
     """
-    digits = F.abs(integer).cast("string")
-    places = decimals.cast("int")
-    padded = F.lpad(digits, F.greatest(F.length(digits), places + 1), F.lit("0"))
-    whole = F.substr(padded, F.lit(1), F.length(padded) - places)
-    fraction = F.substr(padded, F.length(padded) - places + 1)
-    sign = F.when(integer < 0, F.lit("-")).otherwise(F.lit(""))
-    moved = F.concat(sign, whole, F.lit("."), fraction)
-    valid = integer.isNotNull() & places.isNotNull() & (places >= 0)
-    return F.when(valid, moved.try_cast(BALANCE))
+    text = F.concat(integer.cast("string"), F.lit("E-"), decimals.cast("int").cast("string"))
+    return text.try_cast(BALANCE)
 
 
 def sats_to_coins(sats: Column) -> Column:

@@ -99,8 +99,45 @@ def helper_token_balances_adjusted(cat: Catalog, balances: DataFrame | None = No
     passing its ``balances``.
     """
     facts = cat.token_balances if balances is None else balances
-    edges = cat.per_implementation(bridge_edges(cat))
-    children = facts.select("token_implementation", "date", "balance")
-    totals = children_totals(children, edges, ("date",))
-    adjusted = subtract_children(facts, totals, ["token_implementation", "date"], BALANCE)
-    return adjusted.select("date", "token_implementation", "balance", "created_at", "id")
+    return subtract_children_by_day(facts, cat.per_implementation(bridge_edges(cat)))
+
+
+def subtract_children_by_day(facts: DataFrame, edges: DataFrame) -> DataFrame:
+    """Adjust (token_implementation, date) rows in one scan and one shuffle.
+
+    Each row goes to its own key and, if bridged, also to its parent's key of
+    the same date; a key gets one row per child at most, so none is hot.  Keys
+    that only children reached are dropped.  Rows without an implementation
+    belong to nobody: their id keeps them apart.
+    """
+    own = F.struct(
+        F.col("token_implementation").alias("holder"),
+        F.when(F.col("token_implementation").isNull(), F.col("id")).alias("nameless"),
+        F.col("balance").alias("own"),
+        F.lit(None).cast(BALANCE).alias("bridged"),
+        "created_at",
+        "id",
+    )
+    for_parent = F.struct(
+        F.col("parent").alias("holder"),
+        F.lit(None).cast("bigint").alias("nameless"),
+        F.lit(None).cast(BALANCE).alias("own"),
+        F.col("balance").alias("bridged"),
+        F.lit(None).cast("timestamp_ntz").alias("created_at"),
+        F.lit(None).cast("bigint").alias("id"),
+    )
+    pieces = F.when(F.col("parent").isNull(), F.array(own)).otherwise(F.array(own, for_parent))
+    net = F.max("own").cast(TOTAL) - F.coalesce(F.sum("bridged").cast(TOTAL), F.lit(0).cast(TOTAL))
+    return (
+        facts.join(edges, facts["token_implementation"] == edges["child"], "left")
+        .select("date", F.inline(pieces))
+        .groupBy("holder", "date", "nameless")
+        .agg(
+            F.max("own").alias("own"),
+            net.cast(BALANCE).alias("balance"),
+            F.max("created_at").alias("created_at"),
+            F.max("id").alias("id"),
+        )
+        .where(F.col("own").isNotNull())
+        .select("date", F.col("holder").alias("token_implementation"), "balance", "created_at", "id")
+    )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from satlake.catalog import Catalog
 from satlake.functions.decoders import DECIMAL, DECODERS, HEX, HTTP_OK, INTEGER, Decoder
-from satlake.functions.scalars import hex_uint, is_uint256, shift_point
+from satlake.functions.scalars import hex_uint, is_hex_number, shift_point
 from satlake.schemas import BALANCE
 
 RAW = "decimal(38,0)"
@@ -58,11 +58,20 @@ def read_numbers(df: DataFrame, decoders: Iterable[str] = tuple(DECODERS)) -> Da
 
     found = _case(names, lambda d: d.found(payload, slug), null_text)
     places = _case(names, lambda d: d.places(payload, decimals), null_int)
-    return (
-        df.withColumns({"found": found, "places": places})
-        .withColumn("raw", _case(names, raw_of, F.lit(None).cast(RAW)))
-        .withColumn("balance", _case(names, balance_of, F.lit(None).cast(BALANCE)))
-    )
+    read = _computed(df, found=found, places=places)
+    read = read.withColumn("raw", _case(names, raw_of, F.lit(None).cast(RAW)))
+    return read.withColumn("balance", _case(names, balance_of, F.lit(None).cast(BALANCE)))
+
+
+def _computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that later filters take as they are.
+
+    A filter on a plain projected column is moved below the projection with
+    the whole expression written out in it, again for every use.  A generator
+    of exactly one row keeps the filter above, so each value is computed once.
+    """
+    row = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select("*", F.inline(F.array(row)))
 
 
 def _any(names: Iterable[str], wanted: Callable[[Decoder], bool]) -> Column:
@@ -89,7 +98,7 @@ def rejection_reason(decoders: Iterable[str] = tuple(DECODERS)) -> Column:
             flagged = F.coalesce(DECODERS[name].ok(F.col("payload")), F.lit(False))
             not_ok = not_ok | ((F.col("decoder") == name) & ~flagged)
     # A number was written but does not fit; otherwise the text is no number.
-    too_large = F.when(_any(names, lambda d: d.form == HEX), is_uint256(F.col("found"))).otherwise(
+    too_large = F.when(_any(names, lambda d: d.form == HEX), is_hex_number(F.col("found"))).otherwise(
         F.col("found").try_cast("double").isNotNull()
     )
     only = F.col("only_token")
@@ -135,7 +144,7 @@ def decode_observations(
     rows = with_config(observations, config).join(
         cat.per_implementation(impls), "token_implementation", "left"
     )
-    return read_numbers(rows, names).withColumn("reason", rejection_reason(names))
+    return _computed(read_numbers(rows, names), reason=rejection_reason(names))
 
 
 _VALID = (
@@ -188,15 +197,11 @@ def decode_reserves(cat: Catalog, observations: DataFrame) -> DataFrame:
         }
     )
     names = ["evm_hex"]
-    return (
-        read_numbers(rows, names)
-        .withColumn(
-            "reason",
-            F.when(F.col("collateral_token").isNull(), "no_collateral_token").otherwise(
-                rejection_reason(names)
-            ),
-        )
-        .drop("token_implementation", "decoder", "only_token", "keep_zero")
+    reason = F.when(F.col("collateral_token").isNull(), "no_collateral_token").otherwise(
+        rejection_reason(names)
+    )
+    return _computed(read_numbers(rows, names), reason=reason).drop(
+        "token_implementation", "decoder", "only_token", "keep_zero"
     )
 
 

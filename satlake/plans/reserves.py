@@ -10,7 +10,7 @@ from satlake.operators.adjust import bridge_edges, children_totals, subtract_chi
 from satlake.operators.latest import latest_with_ties
 from satlake.operators.ranking import with_rank
 from satlake.operators.star import DESCRIPTION, describe
-from satlake.plans.supplies import helper_current_supplies_raw
+from satlake.plans.supplies import raw_supplies_unranked
 from satlake.schemas import TOTAL
 
 _GROUP = ("date", "reserve_network", "collateral_token", "derivative_token")
@@ -45,7 +45,7 @@ def recent_reserves(cat: Catalog) -> DataFrame:
     )
 
 
-def current_reserves_by_tokenimpl(cat: Catalog, collapse: bool = False) -> DataFrame:
+def adjusted_reserves(cat: Catalog, collapse: bool = False) -> DataFrame:
     """Latest reserves per implementation minus the children's latest reserves.
 
     An implementation has one row per reserve network and collateral, and the
@@ -59,17 +59,21 @@ def current_reserves_by_tokenimpl(cat: Catalog, collapse: bool = False) -> DataF
         ).select("token_implementation", "balance", "date")
     edges = cat.per_implementation(bridge_edges(cat))
     totals = cat.per_implementation(children_totals(recent, edges))
-    adjusted = subtract_children(recent, totals, ["token_implementation"], TOTAL)
-    ranked = with_rank(describe(cat, adjusted), "balance")
+    return subtract_children(recent, totals, ["token_implementation"], TOTAL)
+
+
+def current_reserves_by_tokenimpl(cat: Catalog, collapse: bool = False) -> DataFrame:
+    ranked = with_rank(describe(cat, adjusted_reserves(cat, collapse)), "balance")
     return ranked.select("token_implementation", "balance", "date", *DESCRIPTION, "rank")
 
 
 def current_by_tokenimpl(cat: Catalog, collapse: bool = False) -> DataFrame:
     """Raw supply next to reserves; one row per reserve row where there are several."""
-    supply = helper_current_supplies_raw(cat).drop("rank").withColumnsRenamed(
+    supply = raw_supplies_unranked(cat).withColumnsRenamed(
         {"balance": "supply_balance", "date": "supply_date"}
     )
-    reserve = current_reserves_by_tokenimpl(cat, collapse).select(
+    # The described implementations are joined on the supply side already.
+    reserve = adjusted_reserves(cat, collapse).select(
         "token_implementation",
         F.col("balance").alias("reserve_balance"),
         F.col("date").alias("reserve_date"),

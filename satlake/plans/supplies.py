@@ -35,9 +35,13 @@ def recent_pegged_balances(cat: Catalog) -> DataFrame:
     return latest_by(facts, "token_implementation", "date", "balance")
 
 
+def raw_supplies_unranked(cat: Catalog) -> DataFrame:
+    return describe(cat, recent_balances(cat))
+
+
 def helper_current_supplies_raw(cat: Catalog) -> DataFrame:
     """Latest raw supply per implementation with its rank; no adjustment, no peg filter."""
-    rows = describe(cat, recent_balances(cat))
+    rows = raw_supplies_unranked(cat)
     ranked = with_rank(rows, "balance", max_group_rows=cat.implementation_rows)
     return ranked.select("token_implementation", "balance", "date", *DESCRIPTION, "rank")
 
@@ -56,15 +60,13 @@ def current_supplies_by_tokenimpl(cat: Catalog) -> DataFrame:
     return ranked.select("token_implementation", "balance", "date", *DESCRIPTION, "rank")
 
 
-def _current_totals(cat: Catalog, keys: list[str], arrays: dict[str, str]) -> DataFrame:
-    totals = (
-        current_supplies_unranked(cat)
-        .groupBy(*keys)
-        .agg(
-            F.sum("balance").cast(TOTAL).alias("total_balance"),
-            F.max("date").alias("latest_date"),
-            *[distinct_array(F.col(source)).alias(name) for name, source in arrays.items()],
-        )
+def _current_totals(
+    cat: Catalog, supplies: DataFrame, keys: list[str], arrays: dict[str, str]
+) -> DataFrame:
+    totals = supplies.groupBy(*keys).agg(
+        F.sum("balance").cast(TOTAL).alias("total_balance"),
+        F.max("date").alias("latest_date"),
+        *[distinct_array(F.col(source)).alias(name) for name, source in arrays.items()],
     )
     return with_rank(totals, "total_balance", max_group_rows=cat.implementation_rows)
 
@@ -72,6 +74,7 @@ def _current_totals(cat: Catalog, keys: list[str], arrays: dict[str, str]) -> Da
 def current_supplies_by_network(cat: Catalog) -> DataFrame:
     return _current_totals(
         cat,
+        current_supplies_unranked(cat),
         ["network_slug", "network_name"],
         {"tokens": "token_slug", "token_names": "token_name", "token_addresses": "token_address"},
     )
@@ -80,6 +83,7 @@ def current_supplies_by_network(cat: Catalog) -> DataFrame:
 def current_supplies_by_tokenproject(cat: Catalog) -> DataFrame:
     return _current_totals(
         cat,
+        current_supplies_unranked(cat),
         ["token_slug", "token_name"],
         {
             "networks": "network_slug",
@@ -155,10 +159,11 @@ def historical_supplies_by_tokenimpl(cat: Catalog) -> DataFrame:
     both ranks may be missing.  The dimension side is joined up first, so the
     facts meet one small table.
     """
-    network_ranks = current_supplies_by_network(cat).select(
+    supplies = current_supplies_unranked(cat)
+    network_ranks = _current_totals(cat, supplies, ["network_slug", "network_name"], {}).select(
         "network_slug", F.col("rank").alias("network_rank")
     )
-    project_ranks = current_supplies_by_tokenproject(cat).select(
+    project_ranks = _current_totals(cat, supplies, ["token_slug", "token_name"], {}).select(
         F.col("token_slug").alias("infra_slug"), F.col("rank").alias("project_rank")
     )
     networks = cat.networks.select(

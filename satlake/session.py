@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
@@ -21,12 +22,18 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# Settings that must be there when the session starts.
+STATIC_SETTINGS = {
+    # No call-site capture per column expression: it costs more than the planning.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def get_session(app_name: str = "satlake", master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **extra}.items():
+    for key, value in {**SETTINGS, **STATIC_SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -61,3 +68,9 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing has been written to yet."""
     app = spark.sparkContext.applicationId
     return f"{shared_dir(spark)}/satlake-{app}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def work_path(spark: SparkSession, table_path: str) -> str:
+    """Folder below the shared one that belongs to a table and is used again."""
+    digest = hashlib.sha256(table_path.encode()).hexdigest()[:16]
+    return f"{shared_dir(spark)}/satlake-work/{digest}"

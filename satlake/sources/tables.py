@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from satlake.schemas import schema
-from satlake.session import fresh_path
+from satlake.session import work_path
 
 MONTH = "month"
 
@@ -57,16 +57,23 @@ def create_table(spark: SparkSession, path: str, table: str) -> None:
 def upsert_months(spark: SparkSession, path: str, table: str, incoming: DataFrame, merge: Merge) -> None:
     """Merge ``incoming`` into the months of the table that it touches.
 
-    The batch and the merged months are written to the shared folder before
-    the table changes, so that a lost executor recomputes from files, and a
-    repeated batch finds the old rows or their final values and ends the same.
+    The batch and the merged months are first written next to each other in
+    the shared folder, in place of those of the previous upsert.  The batch is
+    thus computed once, the table is not read while it is replaced, and a
+    replacement that was cut off can be repeated from the merged months.
+    Repeating a whole batch gives the same table again.  One writer per table.
     """
-    batch_path = fresh_path(spark, f"{table}-batch")
-    _with_month(incoming).write.parquet(batch_path)
-    batch = spark.read.parquet(batch_path)
+    work = work_path(spark, path)
+    _with_month(incoming).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+        f"{work}/batch"
+    )
+    batch = spark.read.parquet(f"{work}/batch")
+    if batch.isEmpty():
+        return
     months = F.broadcast(batch.select(MONTH).distinct())  # one row per calendar month
     touched = read_monthly(spark, path, table).join(months, MONTH, "left_semi").drop(MONTH)
 
-    merged_path = fresh_path(spark, f"{table}-merged")
-    merge(touched, batch.drop(MONTH)).write.parquet(merged_path)
-    write_monthly(spark.read.schema(schema(table)).parquet(merged_path), path)
+    merge(touched, batch.drop(MONTH)).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static"
+    ).parquet(f"{work}/merged")
+    write_monthly(spark.read.schema(schema(table)).parquet(f"{work}/merged"), path)
