@@ -332,7 +332,7 @@ def join_left_adjust(spark, sf_dir):
 @query("join_left_adjust_current")
 def join_left_adjust_current(spark, sf_dir):
     cat = fixtures.catalog(spark, sf_dir)
-    recent = supplies.recent_pegged_balances(cat)
+    recent = supplies.recent_pegged_balances(cat).drop("parent")
     totals = adjust.children_totals(recent, cat.per_implementation(adjust.bridge_edges(cat)))
     return recent.join(cat.per_implementation(totals), "token_implementation", "left")
 
@@ -349,7 +349,7 @@ def join_left_reserve(spark, sf_dir):
 @query("join_left_past")
 def join_left_past(spark, sf_dir):
     cat = fixtures.catalog(spark, sf_dir)
-    return supplies.recent_pegged_balances(cat).join(
+    return supplies.recent_pegged_balances(cat).drop("parent").join(
         gainers.past_balances(cat), "token_implementation", "left"
     )
 

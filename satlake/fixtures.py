@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from satlake.catalog import Catalog, scan_table
 from satlake.functions.scalars import epoch_seconds
 from satlake.schemas import DDL, schema
-from satlake.session import apply_settings, fresh_path
-from satlake.sources.tables import write_monthly
+from satlake.session import apply_settings, fresh_path, widen
+from satlake.sources.tables import ROWS_PER_FILE, write_monthly
 
 # The greatest date of the daily facts at the test scales.
 AS_OF = dt.date(2001, 11, 4)
@@ -73,9 +73,13 @@ def _save(df: DataFrame, root: str, table: str) -> None:
     df.write.parquet(f"{root}/{table}")
 
 
-def _by_date(df: DataFrame) -> DataFrame:
-    """Range layout on date: a date filter skips files and row groups."""
-    return df.repartitionByRange("date").sortWithinPartitions("date")
+def _by_date(df: DataFrame, source_rows: int) -> DataFrame:
+    """Range layout on date: a date filter skips files and row groups.
+
+    One task per core, and more of them for more rows.
+    """
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, source_rows // ROWS_PER_FILE)
+    return df.repartitionByRange(tasks, "date").sortWithinPartitions("date")
 
 
 def _write_balances(spark: SparkSession, sf_dir: str, root: str) -> None:
@@ -103,6 +107,7 @@ def _write_balances(spark: SparkSession, sf_dir: str, root: str) -> None:
     )
     positions.write.parquet(f"{root}/positions")
     positions = spark.read.parquet(f"{root}/positions")
+    rows = positions.count()
 
     slug = F.concat("p_brand", F.lit("_"), "r_name")
     derivative = F.concat(
@@ -122,7 +127,7 @@ def _write_balances(spark: SparkSession, sf_dir: str, root: str) -> None:
         next_quarter_past.alias("created_at"),
         (day_number * 1000 + F.col("b") * 10 + F.col("k")).alias("id"),
     )
-    _save(_by_date(balances), root, "token_balances")
+    _save(_by_date(balances, rows), root, "token_balances")
 
     reserve_id = (F.col("s_suppkey") * 100 + F.col("b")).cast("int")
     reserves = positions.select(
@@ -135,7 +140,7 @@ def _write_balances(spark: SparkSession, sf_dir: str, root: str) -> None:
         derivative.alias("derivative_token"),
         F.col("s_name").alias("reserve_address"),
     )
-    _save(_by_date(reserves), root, "reserve_balances")
+    _save(_by_date(reserves, rows), root, "reserve_balances")
 
     prices = positions.groupBy("date", "p_brand", "b").agg(F.max("top_price").alias("price_usd")).select(
         (day_number * 100 + F.col("b")).alias("id"),
@@ -144,7 +149,7 @@ def _write_balances(spark: SparkSession, sf_dir: str, root: str) -> None:
         F.concat(F.lit("Token "), "p_brand").alias("token_name"),
         "price_usd",
     )
-    _save(_by_date(prices), root, "price")
+    _save(_by_date(prices, rows), root, "price")
 
     reserve_impls = positions.select(
         reserve_id.alias("id"),
@@ -206,7 +211,7 @@ def _write_balances(spark: SparkSession, sf_dir: str, root: str) -> None:
 
 
 def _write_chain(spark: SparkSession, sf_dir: str, root: str) -> None:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = widen(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
     # Ten events make a block: the group is bounded by construction.
     script = F.when(F.col("event_type") == "purchase", "6a4762626e31ff").otherwise("6a24aa21a9ed")
@@ -311,7 +316,7 @@ PAYLOADS: dict[str, str] = {
 
 def poll_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One poll per event with the parts that the payload texts are made of."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = widen(spark.read.parquet(f"{sf_dir}/events.parquet"))
     regions = spark.read.parquet(f"{sf_dir}/region.parquet").select("r_regionkey", "r_name")
     parts = events.selectExpr(
         "event_id as seq",

@@ -20,19 +20,34 @@ NATIVE_ORIGIN = "native"
 BRIDGED_ADDRESS = "^[0-9].*"
 
 
+def implementation_links(cat: Catalog) -> DataFrame:
+    """(token_implementation, depegged, parent): the parent only of bridged, pegged ones."""
+    pegs = cat.tokens.select(F.col("slug").alias("token"), "depegged")
+    bridged = (
+        F.col("network_origin").isNotNull()
+        & (F.col("network_origin") != NATIVE_ORIGIN)
+        & F.col("token_address").rlike(BRIDGED_ADDRESS)
+        & (F.col("depegged") == F.lit(False))
+    )
+    parent = concat_skip_null(F.col("token"), F.lit("_"), F.col("network_origin"))
+    return cat.token_implementations.join(cat.small(pegs, "tokens"), "token", "left").select(
+        F.col("slug").alias("token_implementation"), "depegged", F.when(bridged, parent).alias("parent")
+    )
+
+
+def pegged_links(cat: Catalog) -> DataFrame:
+    """Implementations of tokens known to hold their peg, with the parent if bridged."""
+    links = implementation_links(cat).where(F.col("depegged") == F.lit(False))
+    return links.select("token_implementation", "parent")
+
+
 def bridge_edges(cat: Catalog) -> DataFrame:
     """(parent, child): the child's balance is subtracted from the parent's.
 
     Tokens that lost their peg, or whose peg is unknown, have no edges.
     """
-    bridged = cat.token_implementations.where(
-        F.col("network_origin").isNotNull()
-        & (F.col("network_origin") != NATIVE_ORIGIN)
-        & F.col("token_address").rlike(BRIDGED_ADDRESS)
-    ).select(F.col("slug").alias("child"), "token", "network_origin")
-    pegged = cat.tokens.where(F.col("depegged") == F.lit(False)).select(F.col("slug").alias("token"))
-    return bridged.join(cat.small(pegged, "tokens"), "token").select(
-        concat_skip_null(F.col("token"), F.lit("_"), F.col("network_origin")).alias("parent"), "child"
+    return pegged_links(cat).where(F.col("parent").isNotNull()).select(
+        "parent", F.col("token_implementation").alias("child")
     )
 
 
@@ -91,53 +106,88 @@ def subtract_children(balances: DataFrame, totals: DataFrame, on: list[str], tar
     )
 
 
-def helper_token_balances_adjusted(cat: Catalog, balances: DataFrame | None = None) -> DataFrame:
+def helper_token_balances_adjusted(
+    cat: Catalog, balances: DataFrame | None = None, only: DataFrame | None = None
+) -> DataFrame:
     """Daily balances minus the children's balances of the same date.
 
     A child without a parent row on the date gives nothing.  Rows depend on
     their own date only, so one date range can be recomputed on its own by
-    passing its ``balances``.
+    passing its ``balances``.  ``only`` names the wanted implementations: rows
+    that neither belong to them nor are subtracted from them stay out of the
+    shuffle.
     """
     facts = cat.token_balances if balances is None else balances
-    return subtract_children_by_day(facts, cat.per_implementation(bridge_edges(cat)))
+    links = cat.per_implementation(_family_links(cat, only))
+    rows = facts.join(links, "token_implementation", "left" if only is None else "inner")
+    if only is None:
+        rows = rows.withColumn("keep_own", F.lit(True))
+    # Rows without an implementation belong to nobody: their id keeps them apart.
+    nameless = F.when(F.col("token_implementation").isNull(), F.col("id"))
+    adjusted = net_of_children(
+        rows.withColumn("nameless", nameless), ["date", "nameless"], ["created_at", "id"]
+    )
+    return adjusted.select(
+        "date", "token_implementation", F.col("balance").cast(BALANCE).alias("balance"), "created_at", "id"
+    )
+
 
+def _family_links(cat: Catalog, only: DataFrame | None) -> DataFrame:
+    """Per implementation: its parent, and with ``only`` whether its own rows are wanted."""
+    links = implementation_links(cat).select("token_implementation", "parent")
+    if only is None:
+        return links.where(F.col("parent").isNotNull())
+    wanted = only.select(F.col("token_implementation").alias("wanted"))
+    mine = cat.per_implementation(wanted.select("*", F.lit(True).alias("keep_own")))
+    parents = cat.per_implementation(wanted.select("*", F.lit(True).alias("lends")))
+    flagged = links.join(mine, F.col("token_implementation") == F.col("wanted"), "left").drop("wanted")
+    flagged = flagged.join(parents, F.col("parent") == F.col("wanted"), "left").drop("wanted")
+    return flagged.where(F.col("keep_own") | F.col("lends")).select(
+        "token_implementation",
+        F.when(F.col("lends"), F.col("parent")).alias("parent"),
+        F.coalesce("keep_own", F.lit(False)).alias("keep_own"),
+    )
 
-def subtract_children_by_day(facts: DataFrame, edges: DataFrame) -> DataFrame:
-    """Adjust (token_implementation, date) rows in one scan and one shuffle.
 
-    Each row goes to its own key and, if bridged, also to its parent's key of
-    the same date; a key gets one row per child at most, so none is hot.  Keys
-    that only children reached are dropped.  Rows without an implementation
-    belong to nobody: their id keeps them apart.
+def net_of_children(rows: DataFrame, keys: list[str], carried: list[str]) -> DataFrame:
+    """Balance minus the children's balances, in one scan and one shuffle.
+
+    ``rows`` has one row per implementation and ``keys``, with the columns
+    parent and keep_own.  Each row goes to its own key and, if bridged, also to
+    its parent's; a key gets one row per child at most, so none is hot.  Keys
+    that only children reached are dropped.
     """
+    types = {f.name: f.dataType for f in rows.schema}
+    nothing = F.lit(None).cast(TOTAL)
     own = F.struct(
         F.col("token_implementation").alias("holder"),
-        F.when(F.col("token_implementation").isNull(), F.col("id")).alias("nameless"),
-        F.col("balance").alias("own"),
-        F.lit(None).cast(BALANCE).alias("bridged"),
-        "created_at",
-        "id",
+        *keys,
+        F.col("balance").cast(TOTAL).alias("own"),
+        nothing.alias("bridged"),
+        *carried,
     )
-    for_parent = F.struct(
+    lent = F.struct(
         F.col("parent").alias("holder"),
-        F.lit(None).cast("bigint").alias("nameless"),
-        F.lit(None).cast(BALANCE).alias("own"),
-        F.col("balance").alias("bridged"),
-        F.lit(None).cast("timestamp_ntz").alias("created_at"),
-        F.lit(None).cast("bigint").alias("id"),
+        *keys,
+        nothing.alias("own"),
+        F.col("balance").cast(TOTAL).alias("bridged"),
+        *[F.lit(None).cast(types[c]).alias(c) for c in carried],
+    )
+    pieces = (
+        F.when(F.col("parent").isNull(), F.array(own))
+        .when(F.col("keep_own"), F.array(own, lent))
+        .otherwise(F.array(lent))
     )
-    pieces = F.when(F.col("parent").isNull(), F.array(own)).otherwise(F.array(own, for_parent))
-    net = F.max("own").cast(TOTAL) - F.coalesce(F.sum("bridged").cast(TOTAL), F.lit(0).cast(TOTAL))
+    taken = F.coalesce(F.sum("bridged").cast(TOTAL), F.lit(0).cast(TOTAL))
     return (
-        facts.join(edges, facts["token_implementation"] == edges["child"], "left")
-        .select("date", F.inline(pieces))
-        .groupBy("holder", "date", "nameless")
+        rows.select(F.inline(pieces))
+        .groupBy("holder", *keys)
         .agg(
             F.max("own").alias("own"),
-            net.cast(BALANCE).alias("balance"),
-            F.max("created_at").alias("created_at"),
-            F.max("id").alias("id"),
+            (F.max("own") - taken).cast(TOTAL).alias("balance"),
+            *[F.max(c).alias(c) for c in carried],
         )
         .where(F.col("own").isNotNull())
-        .select("date", F.col("holder").alias("token_implementation"), "balance", "created_at", "id")
+        .drop("own")
+        .withColumnRenamed("holder", "token_implementation")
     )

@@ -43,13 +43,6 @@ def described_implementations(cat: Catalog) -> DataFrame:
     ).join(cat.small(tokens, "tokens"), "token_slug")
 
 
-def pegged_implementations(cat: Catalog) -> DataFrame:
-    """Implementations of a token known to hold its peg; network not required."""
-    impls = cat.token_implementations.select(F.col("slug").alias("token_implementation"), "token")
-    pegged = cat.tokens.where(F.col("depegged") == F.lit(False)).select(F.col("slug").alias("token"))
-    return impls.join(cat.small(pegged, "tokens"), "token").select("token_implementation")
-
-
 def describe(cat: Catalog, facts: DataFrame) -> DataFrame:
     """Inner join of facts with the described implementations."""
     dim = cat.per_implementation(described_implementations(cat))

@@ -16,11 +16,10 @@ def last_per_key(incoming: DataFrame, keys: Sequence[str], order: Sequence[str])
     That is what inserting the rows one by one in ``order`` would leave.
     """
     rest = [c for c in incoming.columns if c not in (*keys, *order, "balance")]
-    picks = [F.max_by("balance", F.struct(*order)).alias("balance")]
-    if rest:
-        picks.append(F.min_by(F.struct(*rest), F.struct(*order)).alias("rest"))
-    grouped = incoming.groupBy(*keys).agg(*picks)
-    return grouped.select(*keys, "balance", *[F.col(f"rest.{c}").alias(c) for c in rest])
+    # A single order column keeps the aggregation hash-based.
+    position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    picks = [F.min_by(c, position).alias(c) for c in rest]
+    return incoming.groupBy(*keys).agg(F.max_by("balance", position).alias("balance"), *picks)
 
 
 def merge_rows(

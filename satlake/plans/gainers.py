@@ -38,7 +38,7 @@ def top_gainers_by_tokenimpl(cat: Catalog) -> DataFrame:
     An implementation without any past row appears once, with no period and
     no change.
     """
-    recent = recent_pegged_balances(cat).withColumnRenamed("balance", "recent_balance")
+    recent = recent_pegged_balances(cat).drop("parent").withColumnRenamed("balance", "recent_balance")
     changes = recent.join(past_balances(cat), "token_implementation", "left").withColumn(
         "percent_change", percent_change(F.col("recent_balance"), F.col("past_balance"))
     )
@@ -80,7 +80,7 @@ def top_gainers_by_tokenimpl_absolute(cat: Catalog) -> DataFrame:
         .join(past_balances(cat), ["token_implementation", "period"], "left")
         .select("token_implementation", "period", F.coalesce("past_balance", zero).alias("past_balance"))
     )
-    recent = recent_pegged_balances(cat).withColumnRenamed("balance", "recent_balance")
+    recent = recent_pegged_balances(cat).drop("parent").withColumnRenamed("balance", "recent_balance")
     changes = recent.join(past, "token_implementation", "left").withColumn(
         "supply_change",
         (F.col("recent_balance") - F.coalesce("past_balance", zero)).cast("decimal(38,8)"),

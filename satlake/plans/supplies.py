@@ -8,14 +8,13 @@ from pyspark.sql import functions as F
 from satlake.catalog import Catalog
 from satlake.functions.scalars import concat_skip_null, distinct_array
 from satlake.operators.adjust import (
-    bridge_edges,
-    children_totals,
     helper_token_balances_adjusted,
-    subtract_children,
+    net_of_children,
+    pegged_links,
 )
 from satlake.operators.latest import latest_by
 from satlake.operators.ranking import with_rank
-from satlake.operators.star import DESCRIPTION, describe, pegged_implementations
+from satlake.operators.star import DESCRIPTION, describe, described_implementations
 from satlake.schemas import LIQUID_STAKING, STAKING, TOTAL
 
 
@@ -25,14 +24,17 @@ def recent_balances(cat: Catalog) -> DataFrame:
 
 
 def recent_pegged_balances(cat: Catalog) -> DataFrame:
-    """Latest raw balances of implementations whose token holds its peg.
+    """Latest raw balances, with the parent, of implementations whose token holds its peg.
 
     The peg filter goes below the aggregation: rows of other tokens are not
     shuffled.
     """
-    pegged = cat.per_implementation(pegged_implementations(cat))
-    facts = cat.token_balances.join(pegged, "token_implementation", "left_semi")
-    return latest_by(facts, "token_implementation", "date", "balance")
+    links = cat.per_implementation(pegged_links(cat))
+    facts = cat.token_balances.join(links, "token_implementation")
+    # An implementation has one parent or none, so the parent splits no group.
+    return facts.groupBy("token_implementation", "parent").agg(
+        F.max_by("balance", "date").alias("balance"), F.max("date").alias("date")
+    )
 
 
 def raw_supplies_unranked(cat: Catalog) -> DataFrame:
@@ -47,10 +49,8 @@ def helper_current_supplies_raw(cat: Catalog) -> DataFrame:
 
 
 def current_supplies_unranked(cat: Catalog) -> DataFrame:
-    recent = recent_pegged_balances(cat)
-    edges = cat.per_implementation(bridge_edges(cat))
-    totals = cat.per_implementation(children_totals(recent, edges))
-    return describe(cat, subtract_children(recent, totals, ["token_implementation"], TOTAL))
+    recent = recent_pegged_balances(cat).withColumn("keep_own", F.lit(True))
+    return describe(cat, net_of_children(recent, [], ["date"]))
 
 
 def current_supplies_by_tokenimpl(cat: Catalog) -> DataFrame:
@@ -95,7 +95,9 @@ def current_supplies_by_tokenproject(cat: Catalog) -> DataFrame:
 
 def _historical_rows(cat: Catalog, type_filter: Column) -> DataFrame:
     kept = (F.col("depegged") == F.lit(False)) & type_filter
-    return describe(cat, helper_token_balances_adjusted(cat)).where(kept)
+    dim = described_implementations(cat).where(kept)
+    adjusted = helper_token_balances_adjusted(cat, only=dim)
+    return adjusted.join(cat.per_implementation(dim), "token_implementation")
 
 
 def historical_supplies_by_network(cat: Catalog) -> DataFrame:

@@ -6,7 +6,7 @@ import hashlib
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
 
@@ -74,3 +74,13 @@ def work_path(spark: SparkSession, table_path: str) -> str:
     """Folder below the shared one that belongs to a table and is used again."""
     digest = hashlib.sha256(table_path.encode()).hexdigest()[:16]
     return f"{shared_dir(spark)}/satlake-work/{digest}"
+
+
+def widen(df: DataFrame) -> DataFrame:
+    """Spread an input of fewer splits than cores over all cores.
+
+    Meant for scans in front of heavy work per row; an input with enough
+    splits is left as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

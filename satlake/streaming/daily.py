@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from satlake.operators.blocks import STAKING_PREFIX, staking_outputs
 from satlake.operators.upsert import upsert_token_balances
+from satlake.plans.decode import poll_order
 from satlake.schemas import schema
 from satlake.sources.tables import upsert_months
 
@@ -36,15 +37,14 @@ def daily_last_value(observations: DataFrame, lateness: str = "1 day") -> DataFr
     State is one row per implementation and open day; days older than the
     lateness are closed.
     """
+    order = poll_order(F.lit(False), F.col("observed_at"), F.col("seq"))
     return (
-        observations.withWatermark("observed_at", lateness)
+        observations.withColumn("_order", order)
+        .withWatermark("observed_at", lateness)
         .groupBy(F.window("observed_at", "1 day"), "token_implementation")
-        .agg(F.max_by(F.struct("balance", "seq"), F.struct("observed_at", "seq")).alias("last"))
+        .agg(F.max_by("balance", "_order").alias("balance"), F.max_by("seq", "_order").alias("seq"))
         .select(
-            "token_implementation",
-            F.col("window.start").cast("date").alias("date"),
-            F.col("last.balance").alias("balance"),
-            F.col("last.seq").alias("seq"),
+            "token_implementation", F.col("window.start").cast("date").alias("date"), "balance", "seq"
         )
     )
 
@@ -55,22 +55,13 @@ def finalize_day(observations: DataFrame, lateness: str = "2 days") -> DataFrame
     The event time is the effective day itself, so a final poll that arrives
     after midnight still meets its open day.
     """
+    order = poll_order(F.col("is_final"), F.col("observed_at"), F.col("seq"))
     return (
-        observations.withColumn("day", F.col("effective_day").cast("timestamp"))
+        observations.withColumns({"_order": order, "day": F.col("effective_day").cast("timestamp")})
         .withWatermark("day", lateness)
         .groupBy("day", "token_implementation")
-        .agg(
-            F.max_by(
-                F.struct("balance", "seq", "is_final"), F.struct("is_final", "observed_at", "seq")
-            ).alias("last")
-        )
-        .select(
-            "token_implementation",
-            F.col("day").cast("date").alias("date"),
-            F.col("last.balance").alias("balance"),
-            F.col("last.seq").alias("seq"),
-            F.col("last.is_final").alias("is_final"),
-        )
+        .agg(F.max_by("balance", "_order").alias("balance"), F.max_by("seq", "_order").alias("seq"))
+        .select("token_implementation", F.col("day").cast("date").alias("date"), "balance", "seq")
     )
 
 
