@@ -306,9 +306,8 @@ CTES["final_days"] = """
     select token_implementation, day as date,
         cast(arg_max(u, (is_final, ts, seq)) as decimal(12,0)) * cast(0.01 as decimal(3,2)) as balance
     from observed group by 1, 2"""
-O["finalize_day"] = f"""
-    select date, token_implementation, cast(balance as decimal(20,8)) as balance, {INSERTED} as created_at
-    from final_days"""
+O["finalize_day"] = """
+    select date, token_implementation, cast(balance as decimal(20,8)) as balance from final_days"""
 O["daily_last_value"] = f"""
     select day as date, token_implementation,
         cast(cast(arg_max(u, (ts, seq)) as decimal(12,0)) * cast(0.01 as decimal(3,2)) as decimal(20,8))

@@ -816,16 +816,24 @@ def daily_last_value(spark, sf_dir):
 
 @query("finalize_day")
 def finalize_day(spark, sf_dir):
-    return _run_into_table(spark, daily.finalize_day(_stream_values(spark, sf_dir)))
+    path = fresh_path(spark, "daily-values")
+    tables.create_table(spark, path, "daily_values")
+    candidates = daily.finalize_day(_stream_values(spark, sf_dir))
+    daily.stream_daily_values(candidates, path, fresh_path(spark, "stream-checkpoint"), inserted_at())
+    return tables.read_table(spark, path, "daily_values").drop("poll_order")
 
 
 @query("stream_upsert")
 def stream_upsert(spark, sf_dir):
     """Streamed days into a table that already holds some of them."""
-    path = fixtures.monthly_copy(spark, sf_dir, "token_balances", "stream")
-    values = daily.finalize_day(_stream_values(spark, sf_dir, fixtures.UPSERT_SHIFT_DAYS))
-    daily.stream_upsert(values, path, fresh_path(spark, "stream-checkpoint"), inserted_at())
-    return tables.read_table(spark, path, "token_balances").drop("id")
+    balances = fixtures.monthly_copy(spark, sf_dir, "token_balances", "stream")
+    path = fresh_path(spark, "daily-values")
+    tables.create_table(spark, path, "daily_values")
+    candidates = daily.finalize_day(_stream_values(spark, sf_dir, fixtures.UPSERT_SHIFT_DAYS))
+    daily.stream_daily_values(
+        candidates, path, fresh_path(spark, "stream-checkpoint"), inserted_at(), balances
+    )
+    return tables.read_table(spark, balances, "token_balances").drop("id")
 
 
 @query("stream_blocks")

@@ -358,7 +358,8 @@ def polls(spark: SparkSession, sf_dir: str, decoder: str, source: str) -> DataFr
     """All events as observations of one source in the payload form of its decoder."""
     return poll_base(spark, sf_dir).select(
         "seq",
-        F.lit(source).alias("source"),
+        # Not a constant: landed rows carry their source, and the join needs its key.
+        F.when(F.col("seq").isNotNull(), F.lit(source)).alias("source"),
         F.expr(poll_slug(decoder)).alias("token_implementation"),
         "observed_at",
         "effective_day",

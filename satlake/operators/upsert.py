@@ -91,3 +91,18 @@ def upsert_reserve_balances(
     """Upsert on the five-part reserve key; the first row's implementation id stays."""
     defaults = {"created_at": F.current_timestamp() if created_at is None else created_at}
     return merge_rows(existing, incoming, RESERVE_KEY, order, defaults)
+
+
+def merge_by_order(existing: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Daily values after more polls: per key the one of the greatest poll_order.
+
+    The result does not depend on how the polls were cut into batches, how late
+    a batch is or how often it is merged.
+    """
+    columns = existing.columns
+    return (
+        existing.unionByName(incoming.select(*columns))
+        .groupBy(*TOKEN_KEY)
+        .agg(F.max_by("balance", "poll_order").alias("balance"), F.max("poll_order").alias("poll_order"))
+        .select(*columns)
+    )

@@ -75,13 +75,14 @@ def implementation_periods(cat: Catalog) -> DataFrame:
 def top_gainers_by_tokenimpl_absolute(cat: Catalog) -> DataFrame:
     """Absolute change per implementation for all four periods; a missing past is 0."""
     zero = F.lit(0).cast(BALANCE)
-    past = (
-        implementation_periods(cat)
-        .join(past_balances(cat), ["token_implementation", "period"], "left")
-        .select("token_implementation", "period", F.coalesce("past_balance", zero).alias("past_balance"))
+    # Only implementations with a balance can appear, so the periods go to them.
+    recent = recent_pegged_balances(cat).select(
+        "token_implementation",
+        F.col("balance").alias("recent_balance"),
+        "date",
+        F.inline(period_anchors(cat.as_of_column)).alias("period", "past_date"),
     )
-    recent = recent_pegged_balances(cat).drop("parent").withColumnRenamed("balance", "recent_balance")
-    changes = recent.join(past, "token_implementation", "left").withColumn(
+    changes = recent.join(past_balances(cat), ["token_implementation", "period"], "left").withColumn(
         "supply_change",
         (F.col("recent_balance") - F.coalesce("past_balance", zero)).cast("decimal(38,8)"),
     )

@@ -27,6 +27,10 @@ DDL = {
     "token_balances": """
         date DATE NOT NULL, token_implementation STRING, balance DECIMAL(20,8) NOT NULL,
         created_at TIMESTAMP_NTZ, id BIGINT NOT NULL""",
+    # Best poll so far per implementation and day, with its place in the order.
+    "daily_values": """
+        date DATE NOT NULL, token_implementation STRING, balance DECIMAL(20,8),
+        poll_order DECIMAL(38,0)""",
     "reserve_balances": """
         date DATE NOT NULL, balance DECIMAL(20,8) NOT NULL, created_at TIMESTAMP_NTZ,
         reserve_implementation_id INT, reserve_network STRING, collateral_token STRING,

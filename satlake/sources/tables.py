@@ -54,7 +54,9 @@ def create_table(spark: SparkSession, path: str, table: str) -> None:
     write_monthly(spark.createDataFrame([], schema(table)), path)
 
 
-def upsert_months(spark: SparkSession, path: str, table: str, incoming: DataFrame, merge: Merge) -> None:
+def upsert_months(
+    spark: SparkSession, path: str, table: str, incoming: DataFrame, merge: Merge
+) -> DataFrame | None:
     """Merge ``incoming`` into the months of the table that it touches.
 
     The batch and the merged months are first written next to each other in
@@ -62,6 +64,7 @@ def upsert_months(spark: SparkSession, path: str, table: str, incoming: DataFram
     thus computed once, the table is not read while it is replaced, and a
     replacement that was cut off can be repeated from the merged months.
     Repeating a whole batch gives the same table again.  One writer per table.
+    Returns the batch as written, or None when it is empty.
     """
     work = work_path(spark, path)
     _with_month(incoming).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
@@ -69,7 +72,7 @@ def upsert_months(spark: SparkSession, path: str, table: str, incoming: DataFram
     )
     batch = spark.read.parquet(f"{work}/batch")
     if batch.isEmpty():
-        return
+        return None
     months = F.broadcast(batch.select(MONTH).distinct())  # one row per calendar month
     touched = read_monthly(spark, path, table).join(months, MONTH, "left_semi").drop(MONTH)
 
@@ -77,3 +80,4 @@ def upsert_months(spark: SparkSession, path: str, table: str, incoming: DataFram
         "partitionOverwriteMode", "static"
     ).parquet(f"{work}/merged")
     write_monthly(spark.read.schema(schema(table)).parquet(f"{work}/merged"), path)
+    return batch

@@ -12,10 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from satlake.operators.blocks import STAKING_PREFIX, staking_outputs
-from satlake.operators.upsert import upsert_token_balances
+from satlake.operators.upsert import merge_by_order, upsert_token_balances
 from satlake.plans.decode import poll_order
 from satlake.schemas import schema
-from satlake.sources.tables import upsert_months
+from satlake.sources.tables import MONTH, read_monthly, upsert_months
 
 
 def stream_observations(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -34,8 +34,9 @@ def drain(writer, checkpoint: str) -> None:
 def daily_last_value(observations: DataFrame, lateness: str = "1 day") -> DataFrame:
     """Last balance per implementation and UTC day of observation.
 
-    State is one row per implementation and open day; days older than the
-    lateness are closed.
+    State is one row per implementation and open day.  Days older than the
+    lateness are closed: use it where polls cannot be later than that, and
+    ``finalize_day`` with merged candidates where they can.
     """
     order = poll_order(F.lit(False), F.col("observed_at"), F.col("seq"))
     return (
@@ -49,22 +50,59 @@ def daily_last_value(observations: DataFrame, lateness: str = "1 day") -> DataFr
     )
 
 
-def finalize_day(observations: DataFrame, lateness: str = "2 days") -> DataFrame:
-    """Value of each effective day: a final poll beats the incremental ones.
+def finalize_day(observations: DataFrame) -> DataFrame:
+    """Polls as candidates for the value of their effective day.
 
-    The event time is the effective day itself, so a final poll that arrives
-    after midnight still meets its open day.
+    A final poll beats the incremental ones; which poll wins is settled by
+    merging the candidates, so a poll may be any number of days late.
     """
     order = poll_order(F.col("is_final"), F.col("observed_at"), F.col("seq"))
-    return (
-        observations.withColumns({"_order": order, "day": F.col("effective_day").cast("timestamp")})
-        .withWatermark("day", lateness)
-        .groupBy("day", "token_implementation")
-        .agg(F.max_by("balance", "_order").alias("balance"), F.max_by("seq", "_order").alias("seq"))
-        .select("token_implementation", F.col("day").cast("date").alias("date"), "balance", "seq")
+    return observations.select(
+        "token_implementation", F.col("effective_day").alias("date"), "balance", order.alias("poll_order")
     )
 
 
+def write_daily_values(
+    spark: SparkSession, values_path: str, balances_path: str | None, created_at: Column
+) -> Callable[[DataFrame, int], None]:
+    """Batch writer: merge candidates into the daily values, then upsert the winners.
+
+    No state is kept between batches other than the tables, and repeating a
+    batch changes neither.
+    """
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        best = batch.groupBy("token_implementation", "date").agg(
+            F.max_by("balance", "poll_order").alias("balance"), F.max("poll_order").alias("poll_order")
+        )
+        landed = upsert_months(spark, values_path, "daily_values", best, merge_by_order)
+        if balances_path is None or landed is None:
+            return
+        keys = [MONTH, "token_implementation", "date"]
+        winners = read_monthly(spark, values_path, "daily_values").join(
+            landed.select(*keys), keys, "left_semi"
+        )
+
+        def merge(existing: DataFrame, incoming: DataFrame) -> DataFrame:
+            return upsert_token_balances(existing, incoming, ["poll_order"], created_at)
+
+        upsert_months(spark, balances_path, "token_balances", winners.drop(MONTH), merge)
+
+    return write
+
+
+def stream_daily_values(
+    candidates: DataFrame,
+    values_path: str,
+    checkpoint: str,
+    created_at: Column,
+    balances_path: str | None = None,
+) -> None:
+    """Run candidates into the daily values and, if given, into a balance table."""
+    write = write_daily_values(candidates.sparkSession, values_path, balances_path, created_at)
+    drain(candidates.writeStream.outputMode("append").foreachBatch(write), checkpoint)
+
+
 def upsert_into(
     spark: SparkSession,
     path: str,

@@ -50,14 +50,31 @@ def run_twice(spark, tmp_path, build):
     return landing, tables.read_table(spark, target, "token_balances")
 
 
-def test_finalized_days_equal_the_batch_result(spark, tmp_path):
-    landing, got = run_twice(spark, tmp_path, daily.finalize_day)
+LATE = (
+    (7, "a", "2024-03-01T00:15", "2024-03-01", False, "7"),
+    (8, "b", "2024-01-01T09:00", "2024-01-01", False, "8"),
+    (9, "a", "2024-01-01T23:00", "2024-01-01", False, "9"),
+)
+
+
+def test_finalized_days_equal_the_batch_result_however_late(spark, tmp_path):
+    names = ("landing", "values", "balances", "checkpoint")
+    landing, target, balances, checkpoint = (str(tmp_path / n) for n in names)
+    tables.create_table(spark, target, "daily_values")
+    tables.create_table(spark, balances, "token_balances")
+    # The last two polls arrive after one that is two months younger.
+    for batch in (FIRST, SECOND, LATE[:1], LATE[1:]):
+        polls(spark, *batch).write.mode("append").parquet(landing)
+        candidates = daily.finalize_day(values(spark, landing))
+        daily.stream_daily_values(candidates, target, checkpoint, stamp(), balances)
     want = decode.daily_last(spark.read.parquet(landing).withColumn("balance", F.col("payload").cast("decimal(20,8)")))
     columns = ("token_implementation", "date", "balance")
-    assert table(got, *columns) == table(want, *columns) == [
+    assert table(tables.read_table(spark, target, "daily_values"), *columns) == table(want, *columns) == [
         ("a", day("2024-01-01"), D("4.00000000")), ("a", day("2024-01-02"), D("5.00000000")),
-        ("b", day("2024-01-01"), D("3.00000000")),
+        ("a", day("2024-03-01"), D("7.00000000")), ("b", day("2024-01-01"), D("8.00000000")),
     ]
+    got = tables.read_table(spark, balances, "token_balances")
+    assert table(got, *columns) == table(want, *columns)
 
 
 def test_daily_last_value_by_day_of_observation(spark, tmp_path):
