@@ -116,8 +116,9 @@ catalog_query("scan_impl_by_network", lambda cat: network_config.scan_impl_by_ne
 
 @query("network_config")
 def network_config_flat(spark, sf_dir):
-    config = network_config.network_config(fixtures.catalog(spark, sf_dir))
-    tokens = config.select("network", F.inline("network_tokens")).select(
+    """The rows of all networks' documents."""
+    cat = fixtures.catalog(spark, sf_dir)
+    tokens = network_config.network_tokens(cat).select(
         "network",
         F.lit("token").alias("kind"),
         "slug",
@@ -127,7 +128,7 @@ def network_config_flat(spark, sf_dir):
         F.lit(None).cast("string").alias("collateral"),
         F.lit(None).cast("string").alias("derivative"),
     )
-    held = config.select("network", F.inline("network_reserves")).select(
+    held = network_config.network_reserves(cat).select(
         "network",
         F.lit("reserve").alias("kind"),
         "slug",

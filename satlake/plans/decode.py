@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from satlake.catalog import Catalog
 from satlake.functions.decoders import DECIMAL, DECODERS, HEX, HTTP_OK, INTEGER, Decoder
 from satlake.functions.scalars import hex_uint, is_hex_number, shift_point
+from satlake.operators.latest import latest_by
 from satlake.schemas import BALANCE
 
 RAW = "decimal(38,0)"
@@ -254,11 +255,15 @@ def impl_fallback_reserve(cat: Catalog) -> DataFrame:
     Among rows of the latest date the one of the lowest reserve id is taken.
     """
     reserves = cat.reserve_implementations.select("id", "derivative_token")
-    facts = cat.reserve_balances.select("date", "balance", "reserve_implementation_id")
+    # The latest row of a derivative token is the latest of one of its reserves,
+    # so the history is reduced per reserve before it meets the dimension.
+    facts = latest_by(cat.reserve_balances, "reserve_implementation_id", "date", "balance")
     joined = facts.join(reserves, facts["reserve_implementation_id"] == reserves["id"])
     order = F.struct("date", (-F.col("id")).alias("low_id"))
-    return joined.groupBy("derivative_token").agg(
-        F.max_by("balance", order).alias("balance"), F.max("date").alias("date")
+    return (
+        joined.where(F.col("derivative_token").isNotNull())
+        .groupBy("derivative_token")
+        .agg(F.max_by("balance", order).alias("balance"), F.max("date").alias("date"))
     )
 
 

@@ -15,45 +15,63 @@ def scan_impl_by_network(cat: Catalog, network: str) -> DataFrame:
     )
 
 
-def network_config(cat: Catalog) -> DataFrame:
-    """(network, network_tokens[], network_reserves[]) with nested token structs.
+# The nested document is for dimensions of ordinary size.
+DOCUMENT_ROWS = 1_000_000
 
-    The arrays hold dimension rows only; a reserve belongs to its reserve network.
-    """
-    token = F.struct(
+
+def _token_refs(cat: Catalog) -> DataFrame:
+    ref = F.struct(
         "slug", F.col("token_address").alias("address"), F.col("token_decimals").alias("decimals")
     )
-    impls = cat.token_implementations.select("slug", "network", token.alias("token_ref"))
-    tokens = impls.groupBy("network").agg(
-        F.array_sort(F.collect_list("token_ref")).alias("network_tokens")
-    )
+    return cat.token_implementations.select("network", "slug", ref.alias("ref"))
 
-    def ref(name: str) -> DataFrame:
-        return cat.per_implementation(
-            impls.select(F.col("slug").alias(name), F.col("token_ref").alias(f"{name}_ref"))
-        )
 
-    reserves = (
-        cat.reserve_implementations.join(ref("collateral_token"), "collateral_token", "left")
-        .join(ref("derivative_token"), "derivative_token", "left")
-        .groupBy(F.col("reserve_network").alias("network"))
-        .agg(
-            F.array_sort(
-                F.collect_list(
-                    F.struct(
-                        "id",
-                        "tag",
-                        "slug",
-                        F.col("reserve_address").alias("address"),
-                        F.col("collateral_token_ref").alias("collateral_token"),
-                        F.col("derivative_token_ref").alias("derivative_token"),
-                    )
-                )
-            ).alias("network_reserves")
+def network_tokens(cat: Catalog) -> DataFrame:
+    """(network, slug, address, decimals), one row per implementation."""
+    return _token_refs(cat).select("network", "ref.*")
+
+
+def network_reserves(cat: Catalog) -> DataFrame:
+    """(network, id, tag, slug, address, collateral_token{…}, derivative_token{…}) per reserve.
+
+    A reserve belongs to its reserve network; a token that is unknown is NULL.
+    """
+
+    def side(name: str) -> DataFrame:
+        refs = _token_refs(cat).select(F.col("slug").alias(name), F.col("ref").alias(f"{name}_ref"))
+        return cat.per_implementation(refs)
+
+    return (
+        cat.reserve_implementations.join(side("collateral_token"), "collateral_token", "left")
+        .join(side("derivative_token"), "derivative_token", "left")
+        .select(
+            F.col("reserve_network").alias("network"),
+            "id",
+            "tag",
+            "slug",
+            F.col("reserve_address").alias("address"),
+            F.col("collateral_token_ref").alias("collateral_token"),
+            F.col("derivative_token_ref").alias("derivative_token"),
         )
     )
+
+
+def network_config(cat: Catalog) -> DataFrame:
+    """(network, network_tokens[], network_reserves[]): one nested document per network.
+
+    A document holds all rows of its network, so larger dimensions are refused:
+    jobs over those read the rows themselves.
+    """
+    for table in ("token_implementations", "reserve_implementations"):
+        if cat.dimension_rows(table) > DOCUMENT_ROWS:
+            raise ValueError(f"{table} is too large for documents; use network_tokens and network_reserves")
+
+    def grouped(rows: DataFrame, name: str) -> DataFrame:
+        entry = F.struct(*[c for c in rows.columns if c != "network"])
+        return rows.groupBy("network").agg(F.array_sort(F.collect_list(entry)).alias(name))
+
     return (
         cat.networks.select(F.col("slug").alias("network"))
-        .join(tokens, "network", "left")
-        .join(reserves, "network", "left")
+        .join(grouped(network_tokens(cat), "network_tokens"), "network", "left")
+        .join(grouped(network_reserves(cat), "network_reserves"), "network", "left")
     )

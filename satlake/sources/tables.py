@@ -54,6 +54,16 @@ def create_table(spark: SparkSession, path: str, table: str) -> None:
     write_monthly(spark.createDataFrame([], schema(table)), path)
 
 
+def touched_months(spark: SparkSession, path: str, table: str, batch: DataFrame) -> DataFrame:
+    """The months of the table that occur in the batch; other directories are not listed as input.
+
+    The names are collected, at most one per calendar month, because a join
+    would not be sure to prune the scan.
+    """
+    months = [row[0] for row in batch.select(MONTH).distinct().collect()]
+    return read_monthly(spark, path, table).where(F.col(MONTH).isin(months))
+
+
 def upsert_months(
     spark: SparkSession, path: str, table: str, incoming: DataFrame, merge: Merge
 ) -> DataFrame | None:
@@ -73,8 +83,7 @@ def upsert_months(
     batch = spark.read.parquet(f"{work}/batch")
     if batch.isEmpty():
         return None
-    months = F.broadcast(batch.select(MONTH).distinct())  # one row per calendar month
-    touched = read_monthly(spark, path, table).join(months, MONTH, "left_semi").drop(MONTH)
+    touched = touched_months(spark, path, table, batch).drop(MONTH)
 
     merge(touched, batch.drop(MONTH)).write.mode("overwrite").option(
         "partitionOverwriteMode", "static"

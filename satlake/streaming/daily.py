@@ -15,7 +15,7 @@ from satlake.operators.blocks import STAKING_PREFIX, staking_outputs
 from satlake.operators.upsert import merge_by_order, upsert_token_balances
 from satlake.plans.decode import poll_order
 from satlake.schemas import schema
-from satlake.sources.tables import MONTH, read_monthly, upsert_months
+from satlake.sources.tables import MONTH, touched_months, upsert_months
 
 
 def stream_observations(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -79,9 +79,8 @@ def write_daily_values(
         if balances_path is None or landed is None:
             return
         keys = [MONTH, "token_implementation", "date"]
-        winners = read_monthly(spark, values_path, "daily_values").join(
-            landed.select(*keys), keys, "left_semi"
-        )
+        current = touched_months(spark, values_path, "daily_values", landed)
+        winners = current.join(landed.select(*keys), keys, "left_semi")
 
         def merge(existing: DataFrame, incoming: DataFrame) -> DataFrame:
             return upsert_token_balances(existing, incoming, ["poll_order"], created_at)

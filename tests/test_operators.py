@@ -2,6 +2,7 @@ import datetime as dt
 import random
 from decimal import Decimal as D
 
+import pytest
 from conftest import day, table
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -225,6 +226,22 @@ def test_slug_rule(spark):
     assert table(quality.derive_impl_slug(df), "slug", "name") == [("T_A", "T_A"), ("s", "n")]
 
 
+def test_upsert_prunes_the_scan_to_its_months(spark, tmp_path):
+    path = str(tmp_path / "balances")
+    tables.write_monthly(existing_balances(spark), path)
+    batch = spark.createDataFrame([("2024-02",)], "month string")
+    touched = tables.touched_months(spark, path, "token_balances", batch)
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan and "2024-02" in plan
+    assert table(touched, "date") == [(day("2024-02-01"),)]
+
+
+def test_network_document_refuses_large_dimensions(build, monkeypatch):
+    monkeypatch.setattr(network_config, "DOCUMENT_ROWS", 1)
+    with pytest.raises(ValueError):
+        network_config.network_config(model(build).build())
+
+
 def test_network_config_document(build):
     cat = model(build).build()
     rows = {r.network: r for r in network_config.network_config(cat).collect()}
