@@ -508,14 +508,22 @@ O["decode_evm_reserve"] = f"""
             from (select *, cast((seq % (select max(s_suppkey) from supplier) + 1) * 100 + b as int) as rid
                 from polls) p
             left join reserve_impls r on r.id = p.rid left join impls i on i.slug = r.collateral_token))"""
-O["assign_day"] = """
-    select seq, day, day_final_only,
-        case when day = seen then cast(floor(epoch(ts)) as bigint)
-            else cast(epoch(day::timestamp) as bigint) + 86399 end as block_second,
-        cast(epoch(day::timestamp) as bigint) as day_start_second
-    from (select seq, ts, day as seen, case when event_type = 'view' then day else day - 1 end as day,
-            case when event_type = 'error' then day - 1 else day end as day_final_only
-        from polls)"""
+_names = ", ".join(f"'{s[0]}'" for s in _SOURCES)
+O["assign_day"] = f"""
+    select seq, source, invocation, day,
+        case when source = 'Bitlayer' then cast(epoch(day::timestamp) as bigint)
+            when day = seen then cast(floor(epoch(ts)) as bigint)
+            else cast(epoch(day::timestamp) as bigint) + 86399 end as block_second
+    from (select *, case when invocation = 'incremental' then seen
+            when source in ('Sui', 'Tron', 'Hyperliquid') and invocation <> 'final' then seen
+            else seen - 1 end as day
+        from (select seq, ts, day as seen, ([{_names}])[seq % {len(_SOURCES)} + 1] as source,
+                case event_type when 'view' then 'incremental' when 'error' then 'final'
+                    else event_type end as invocation
+            from polls))"""
+O["scan_backed_reserves"] = """
+    select derivative_token, reserve_address from reserve_impls
+    where reserve_network = 'AFRICA' and derivative_token in ('Brand#1_AFRICA', 'Brand#11_AFRICA')"""
 O["sui_fallback_objects"] = """
     select slug, arg_min(object_id, i) as object_id,
         arg_min(SCALED, i) as balance

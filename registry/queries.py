@@ -111,6 +111,10 @@ def scan_catalog(spark, sf_dir):
     return result
 
 
+catalog_query(
+    "scan_backed_reserves",
+    lambda cat: network_config.backed_reserves(cat, "AFRICA", ["Brand#1_AFRICA", "Brand#11_AFRICA"]),
+)
 catalog_query("scan_impl_by_network", lambda cat: network_config.scan_impl_by_network(cat, "EUROPE"))
 
 
@@ -648,32 +652,20 @@ def decode_evm_reserve(spark, sf_dir):
 
 @query("assign_day")
 def assign_day(spark, sf_dir):
-    """Stored day and block second of every event taken as a run of some kind."""
+    """Stored day and block second of every event taken as a run of some source and kind."""
+    sources = source_config.default_sources()
+    names = F.array(*[F.lit(s[0]) for s in sources])
     runs = fixtures.poll_base(spark, sf_dir).select(
         "seq",
-        "observed_at",
-        F.col("observed_at").cast("date").alias("observed_day"),
+        F.element_at(names, (F.col("seq") % len(sources) + 1).cast("int")).alias("source"),
         F.when(F.col("event_type") == "view", "incremental")
         .when(F.col("event_type") == "error", "final")
         .otherwise(F.col("event_type"))
         .alias("invocation"),
+        "observed_at",
     )
-    runs = runs.withColumns(
-        {
-            "day": decode.effective_day(F.col("observed_day"), F.col("invocation"), F.lit(False)),
-            "day_final_only": decode.effective_day(F.col("observed_day"), F.col("invocation"), F.lit(True)),
-        }
-    )
-    live = F.col("day") == F.col("observed_day")
-    return runs.select(
-        "seq",
-        "day",
-        "day_final_only",
-        F.when(live, scalars.epoch_seconds(F.col("observed_at")))
-        .otherwise(scalars.end_of_day_seconds(F.col("day")))
-        .alias("block_second"),
-        scalars.start_of_day_seconds(F.col("day")).alias("day_start_second"),
-    )
+    stamped = decode.stamp_runs(runs, source_config.source_config(spark, sources))
+    return stamped.select("seq", "source", "invocation", "day", "block_second")
 
 
 # ---------------------------------------------------------------- scalar functions

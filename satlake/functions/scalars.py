@@ -104,11 +104,6 @@ def sats_to_coins(sats: Column) -> Column:
     return (sats.cast("string").try_cast("decimal(28,0)") * unit).try_cast(BALANCE)
 
 
-def complement_of_cap(locked: Column, cap: int) -> Column:
-    """Supply left under a fixed cap."""
-    return (F.lit(cap).cast("decimal(20,8)") - locked).try_cast(BALANCE)
-
-
 def pad_address(address: Column, strip: str = "all", lower: bool = True) -> Column:
     """Address as 64 hex digits without prefix; longer input is kept whole.
 
@@ -143,12 +138,3 @@ def metric_value(text: Column, prefix: str) -> Column:
     """Second word of the first line that starts with ``prefix``."""
     found = F.regexp_extract(text, r"(?m)^" + prefix + r"\S*[ \t]+(\S+)", 1)
     return F.nullif(found, F.lit(""))
-
-
-def string_array(json_text: Column) -> Column:
-    return F.from_json(json_text, "array<string>")
-
-
-def first_present(*candidates: Column) -> Column:
-    """First non-NULL candidate in the stated order."""
-    return F.coalesce(*candidates)

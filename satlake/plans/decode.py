@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from satlake.catalog import Catalog
 from satlake.functions.decoders import DECIMAL, DECODERS, HEX, HTTP_OK, INTEGER, Decoder
-from satlake.functions.scalars import hex_uint, is_hex_number, shift_point
+from satlake.functions.scalars import (
+    end_of_day_seconds,
+    epoch_seconds,
+    hex_uint,
+    is_hex_number,
+    shift_point,
+    start_of_day_seconds,
+)
 from satlake.operators.latest import latest_by
 from satlake.schemas import BALANCE
 
@@ -221,6 +228,26 @@ def effective_day(observed_day: Column, invocation: Column, final_only: Column)
     return F.when(F.coalesce(is_final, F.lit(False)), F.date_sub(observed_day, 1)).otherwise(observed_day)
 
 
+def stamp_runs(runs: DataFrame, config: DataFrame) -> DataFrame:
+    """Add the stored day and the second whose block a run reads.
+
+    A run of the current day reads the newest state, a final run the last
+    second of its day; some sources read the start of the day in both cases.
+    ``runs`` has source, invocation and observed_at.
+    """
+    rules = config.select("source", "final_only", "start_of_day")
+    observed_day = F.col("observed_at").cast("date")
+    stamped = runs.join(F.broadcast(rules), "source").withColumn(
+        "day", effective_day(observed_day, F.col("invocation"), F.col("final_only"))
+    )
+    second = (
+        F.when(F.col("start_of_day"), start_of_day_seconds(F.col("day")))
+        .when(F.col("day") == observed_day, epoch_seconds(F.col("observed_at")))
+        .otherwise(end_of_day_seconds(F.col("day")))
+    )
+    return stamped.withColumn("block_second", second).drop("final_only", "start_of_day")
+
+
 def poll_order(is_final: Column, observed_at: Column, seq: Column) -> Column:
     """One number that orders polls: final ones last, then by time, then by arrival.
 

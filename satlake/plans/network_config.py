@@ -15,6 +15,12 @@ def scan_impl_by_network(cat: Catalog, network: str) -> DataFrame:
     )
 
 
+def backed_reserves(cat: Catalog, network: str, derivatives: list[str]) -> DataFrame:
+    """Reserve addresses on one network that back the listed tokens."""
+    chosen = (F.col("reserve_network") == network) & F.col("derivative_token").isin(derivatives)
+    return cat.reserve_implementations.where(chosen).select("derivative_token", "reserve_address")
+
+
 # The nested document is for dimensions of ordinary size.
 DOCUMENT_ROWS = 1_000_000
 

@@ -59,10 +59,8 @@ def test_text_helpers(spark):
     text = "# x\nledger_total_supply_e8s 12 99\nledger_total_supply 13\n"
     assert column(spark, [text, "none"], lambda c: scalars.metric_value(c, "ledger_total_supply")) == ["12", None]
     assert column(spark, ["150000000", "x"], scalars.sats_to_coins) == [D("1.5"), None]
-    assert one(spark, scalars.complement_of_cap(F.lit("1.5").cast("decimal(20,8)"), 21_000_000)) == D("20999998.5")
     assert one(spark, scalars.iso_from_epoch(F.lit(1704067199))) == "2023-12-31T23:59:59"
     assert one(spark, scalars.end_of_day_seconds(F.lit(day("2023-12-31")))) == 1704067199
-    assert column(spark, ['["a","b"]'], scalars.string_array) == [["a", "b"]]
 
 
 def test_percent_change_ties(spark):
@@ -83,6 +81,23 @@ def test_effective_day_rules(spark):
     assert [tuple(r) for r in got] == [(now, now), (before, before), (before, now), (now, now)]
 
 
+def test_runs_are_stamped_by_the_rules_of_their_source(spark):
+    at = dt.datetime(2024, 3, 1, 0, 15, 0)
+    runs = spark.createDataFrame(
+        [(s, i, at) for s in ("Arbitrum", "Sui", "Bitlayer") for i in ("incremental", "final", "manual")],
+        "source string, invocation string, observed_at timestamp_ntz",
+    )
+    day_start, before = 1709251200, day("2024-02-29")
+    live, closed = (day("2024-03-01"), day_start + 900), (before, day_start - 1)
+    got = table(decode.stamp_runs(runs, source_config(spark)), "source", "invocation", "day", "block_second")
+    assert got == [
+        ("Arbitrum", "final", *closed), ("Arbitrum", "incremental", *live), ("Arbitrum", "manual", *closed),
+        ("Bitlayer", "final", before, day_start - 86400), ("Bitlayer", "incremental", day("2024-03-01"), day_start),
+        ("Bitlayer", "manual", before, day_start - 86400),
+        ("Sui", "final", *closed), ("Sui", "incremental", *live), ("Sui", "manual", *live),
+    ]
+
+
 def test_all_sources_are_configured():
     rows = default_sources()
     assert len(rows) == 45 and len({r[0] for r in rows}) == 45
