@@ -488,8 +488,9 @@ for _decoder, _members in _by_decoder.items():
     _ids = ", ".join(str(i) for i, _ in _members)
     _forms = "true" if _decoder in _FORMED else None
     _label = "'unsupported_token'" if _decoder == "unminted_cap" else "reason"
+    _slug = "replace ('Core-stakedBTC_staking' as token_implementation)" if _decoder == "staked_amount" else ""
     _unions.append(
-        f"""select * exclude (reason), case seq % {len(_SOURCES)} {_names} end as source, {_label} as reason
+        f"""select * exclude (reason) {_slug}, case seq % {len(_SOURCES)} {_names} end as source, {_label} as reason
         from ({_decoded(_decoder, _forms)}) where seq % {len(_SOURCES)} in ({_ids})"""
     )
 CTES["mixed"] = " union all ".join(_unions)

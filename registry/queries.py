@@ -604,7 +604,7 @@ def _decode_one(spark, sf_dir, decoder):
     if decoder in ADDRESS_FORMS:
         cat = with_addresses(cat, ADDRESS_FORMS[decoder])
     source = DECODER_SOURCES[decoder]
-    row = (source, source, decoder, source in source_config.KEEP_ZERO, False, False, None, None, None)
+    row = (source, source, decoder, source in source_config.KEEP_ZERO, False, False, None, None, None, None)
     return decode.decode_observations(
         cat,
         fixtures.polls(spark, sf_dir, decoder, source),

@@ -126,11 +126,18 @@ def rejection_reason(decoders: Iterable[str] = tuple(DECODERS)) -> Column:
 
 
 def with_config(observations: DataFrame, config: DataFrame) -> DataFrame:
-    """Attach the source rules; a token with a decoder of its own gets that one."""
+    """Attach the source rules.
+
+    A token with a decoder of its own gets that one, and the number of some
+    sources is stored under a slug of its own.
+    """
     special = F.col("token_implementation") == F.col("special_token")
     joined = observations.join(F.broadcast(config), "source", "left")
-    return joined.withColumn(
-        "decoder", F.when(special, F.col("special_decoder")).otherwise(F.col("decoder"))
+    return joined.withColumns(
+        {
+            "decoder": F.when(special, F.col("special_decoder")).otherwise(F.col("decoder")),
+            "token_implementation": F.coalesce("stored_as", "token_implementation"),
+        }
     )
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from satlake.catalog import Catalog
+from satlake.sources.source_config import BASE_CHAIN, BASE_CHAIN_BACKED
 
 
 def scan_impl_by_network(cat: Catalog, network: str) -> DataFrame:
@@ -15,9 +18,11 @@ def scan_impl_by_network(cat: Catalog, network: str) -> DataFrame:
     )
 
 
-def backed_reserves(cat: Catalog, network: str, derivatives: list[str]) -> DataFrame:
+def backed_reserves(
+    cat: Catalog, network: str = BASE_CHAIN, derivatives: Sequence[str] = (BASE_CHAIN_BACKED,)
+) -> DataFrame:
     """Reserve addresses on one network that back the listed tokens."""
-    chosen = (F.col("reserve_network") == network) & F.col("derivative_token").isin(derivatives)
+    chosen = (F.col("reserve_network") == network) & F.col("derivative_token").isin(*derivatives)
     return cat.reserve_implementations.where(chosen).select("derivative_token", "reserve_address")
 
 

@@ -26,7 +26,7 @@ def stream_blocks(spark: SparkSession, path: str, fmt: str = "parquet", files_pe
     )
 
 
-def start_height(configured: int, prune_height: int = 0) -> int:
+def start_height(configured: int = FIRST_STAKING_BLOCK, prune_height: int = 0) -> int:
     """First block to scan: not before the configured one nor in the pruned part."""
     return max(configured, prune_height + 1)
 

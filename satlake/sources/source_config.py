@@ -61,8 +61,8 @@ SPECIAL_TOKENS = (
 # Fixed values. Sources that handle a single token only.
 SINGLE_TOKEN = (("Hyperliquid", "Unit-UBTC_Hyperliquid"),)
 
-# Fixed values. The staking total that is stored under one implementation.
-STAKING_TOTAL_SLUG = "Core-stakedBTC_staking"
+# Fixed values. Sources whose number is stored under one implementation.
+STORED_AS = (("CoreStaking", "Core-stakedBTC_staking"),)
 
 # Fixed values. Derivative tokens backed by addresses on the base chain.
 BASE_CHAIN = "bitcoin"
@@ -70,13 +70,14 @@ BASE_CHAIN_BACKED = "Simple-sBTC_Fractal"
 
 CONFIG_SCHEMA = """
     source STRING, network STRING, decoder STRING, keep_zero BOOLEAN, final_only BOOLEAN,
-    start_of_day BOOLEAN, special_token STRING, special_decoder STRING, only_token STRING"""
+    start_of_day BOOLEAN, special_token STRING, special_decoder STRING, only_token STRING,
+    stored_as STRING"""
 
 
 def default_sources() -> list[tuple]:
-    """(source, network, decoder, keep_zero, final_only, start_of_day, special…, only_token)."""
+    """(source, network, decoder, keep_zero, final_only, start_of_day, special…, only_token, stored_as)."""
     special = {source: (token, decoder) for source, token, decoder in SPECIAL_TOKENS}
-    single = dict(SINGLE_TOKEN)
+    single, stored = dict(SINGLE_TOKEN), dict(STORED_AS)
     rows = [(n, n, "evm_hex") for n in EVM_HEX_NETWORKS] + list(OTHER_SOURCES)
     return [
         (
@@ -88,6 +89,7 @@ def default_sources() -> list[tuple]:
             source in START_OF_DAY,
             *special.get(source, (None, None)),
             single.get(source),
+            stored.get(source),
         )
         for source, network, decoder in rows
     ]

@@ -106,7 +106,7 @@ def test_resume_and_range(spark):
     done = spark.createDataFrame([(1,), (2,)], "height long")
     assert table(chain.scan_after(found, done), "height") == [(3,)]
     assert table(chain.scan_after(found, done.limit(0)), "height") == [(1,), (2,), (3,)]
-    assert chain.start_height(857910, 900000) == 900001 and chain.start_height(857910) == 857910
+    assert chain.start_height(prune_height=900000) == 900001 and chain.start_height() == 857910
     assert table(chain.scan_range(found, 2, 2), "height") == [(2,)]
 
 
