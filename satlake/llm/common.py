@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import zipfile
+from pathlib import Path
+
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +25,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    folder = Path(SparkFiles.getRootDirectory()) / "sources"
+    folder.mkdir(exist_ok=True)
+    archive = folder / f"{package.name}-{context.applicationId}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, str(file.relative_to(package.parent)))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower case for A-Z only; other letters stay as they are."""
     return F.translate(text, UPPER, LOWER)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from satlake.llm import chat_parts, hilbert, mixing, url_filters
+from satlake.llm import chat_parts, hilbert, mixing, piece_bpe, url_filters
 from satlake.llm.common import table
 
 SHARDS = 8
@@ -82,9 +82,22 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(table(spark, sf_dir, "documents"))
 
 
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded and decoded with the 32k piece vocabulary."""
+    docs = table(spark, sf_dir, "documents")
+    return piece_bpe.encode_documents(docs, vocabulary(), with_ids=False)
+
+
 QUERIES = {
     "op2_hilbert_sharding": op2_hilbert_sharding,
     "op3_chat_formatting": op3_chat_formatting,
     "op5_url_filters": op5_url_filters,
     "op9_source_mixing": op9_source_mixing,
+    "op10_sentencepiece": op10_sentencepiece,
 }
