@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from satlake.llm import chat_parts, hilbert, mixing, piece_bpe, url_filters
+from satlake.llm import chat_parts, hilbert, mixing, piece_bpe, simhash, url_filters
 from satlake.llm.common import table
 
 SHARDS = 8
@@ -77,6 +77,14 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint of 4-word shingles and its component at 4 bits."""
+    found = simhash.components(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed by sources with weights 3, 1, 2 to 150% of all words."""
     return mixing.mix_counts(table(spark, sf_dir, "documents"))
@@ -98,6 +106,7 @@ QUERIES = {
     "op2_hilbert_sharding": op2_hilbert_sharding,
     "op3_chat_formatting": op3_chat_formatting,
     "op5_url_filters": op5_url_filters,
+    "op6_simhash": op6_simhash,
     "op9_source_mixing": op9_source_mixing,
     "op10_sentencepiece": op10_sentencepiece,
 }
