@@ -29,8 +29,8 @@ SHARDS = 64
 RUN_SLOTS = 4096
 #: Documents in a bin of the running sums, on average.
 BIN_ROWS = 4096
-#: Rounds of the permutation.
-ROUNDS = 24
+#: Turns of the permutation.
+TURNS = 3
 SEED = 42
 
 # Fixed values of the mixing arithmetic: primes, so that products stay below 2^62.
@@ -50,24 +50,39 @@ def scramble(number: Column, salt: int) -> Column:
     return out
 
 
-def permuted(index: Column, size: Column, salt: Column) -> Column:
-    """Image of ``index`` under a pseudorandom permutation of 0 to size - 1.
+def _hashed(value: Column, salt: Column, turn: int) -> Column:
+    """A pseudorandom 51-bit number of a value, a salt and the turn."""
+    one = F.pmod(F.pmod(value, F.lit(PRIME)) * 48271 + F.pmod(salt * 69621 + turn * 40692, F.lit(PRIME)), F.lit(PRIME))
+    two = F.pmod(one * 16807 + F.floor(value / PRIME) + turn, F.lit(PRIME))
+    return F.call_function("shiftright", one * (PRIME + 1) + two, F.lit(11))
 
-    Swap-or-not rounds: each pairs x with key - x and swaps the two or not by
-    a bit that depends on the pair alone; exact for every size.
-    """
 
-    def turn(x: Column, key: Column) -> Column:
-        other = F.pmod(F.pmod(key, size) + size - x, size)
-        top = F.greatest(x, other)
-        mixed = F.pmod(F.pmod(F.pmod(top, F.lit(PRIME)) * 48271 + key, F.lit(PRIME)) * 16807, F.lit(PRIME))
-        return F.when(F.call_function("shiftright", mixed, F.lit(15)).bitwiseAND(1) == 1, other).otherwise(x)
+def permuted(df: DataFrame, name: str, index: Column, size: Column, salt: Column) -> DataFrame:
+    """Add ``name``: the image of ``index`` under a pseudorandom permutation of 0 to size - 1.
 
-    keys = F.transform(
-        F.array(*[F.lit(r).cast("bigint") for r in range(1, ROUNDS + 1)]),
-        lambda r: F.pmod((salt + 1) * 69069 + r * 1664525 + F.pmod((salt + r) * 214013, F.lit(PRIME)) * r, F.lit(PRIME)),
+    The largest power of two below the size goes through Feistel turns; then
+    all numbers move on so that the rest comes inside, and again.  Every step
+    is a bijection, so nothing has to be walked or sorted.  Steps are columns
+    of their own, because each is used several times by the next.
+    """
+    x, bits, half, top, n, key = (F.col(f"__{c}") for c in ("x", "bits", "half", "top", "n", "key"))
+    low = F.call_function("shiftleft", F.lit(1).cast("bigint"), half) - 1
+    high = F.call_function("shiftleft", F.lit(1).cast("bigint"), bits - half) - 1
+    df = (
+        df.withColumn("__x", index.cast("bigint"))
+        .withColumn("__n", size.cast("bigint"))
+        .withColumn("__key", salt.cast("bigint"))
+        .withColumn("__bits", F.length(F.bin("__n")) - 1)
+        .withColumn("__half", F.floor(bits / 2).cast("int"))
+        .withColumn("__top", F.call_function("shiftleft", F.lit(1).cast("bigint"), bits))
     )
-    return F.aggregate(keys, index.cast("bigint"), turn)
+    for turn in range(TURNS):
+        upper = F.call_function("shiftleft", _hashed(x.bitwiseAND(low), key, 2 * turn).bitwiseAND(high), half)
+        df = df.withColumn("__x", F.when(x < top, x.bitwiseXOR(upper)).otherwise(x))
+        lower = _hashed(F.call_function("shiftright", x, half), key, 2 * turn + 1).bitwiseAND(low)
+        df = df.withColumn("__x", F.when(x < top, x.bitwiseXOR(lower)).otherwise(x))
+        df = df.withColumn("__x", (x + top) % n)
+    return df.withColumn(name, x).drop("__x", "__bits", "__half", "__top", "__n", "__key")
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...], total_times: float, most_times: int) -> DataFrame:
@@ -170,14 +185,20 @@ def drawn(quota: DataFrame, shards: int, seed: int) -> DataFrame:
         "first",
         F.explode(F.sequence("run", F.least(F.col("run") + RUN_SLOTS, F.col("slots")) - 1)).alias("of_source"),
     )
-    place = permuted(F.col("first") + F.col("of_source"), F.lit(total).cast("bigint"), F.lit(seed).cast("bigint"))
     passed = F.floor(F.col("of_source") / F.col("blocks"))
-    index = permuted(
-        F.col("of_source") % F.col("blocks"), F.col("blocks"), F.lit(seed) + F.col("number") * 31 + passed * 17 + 1
+    slots = permuted(slots, "place", F.col("first") + F.col("of_source"), F.lit(total), F.lit(seed))
+    slots = permuted(
+        slots.withColumn("pass", passed.cast("int")),
+        "block",
+        F.col("of_source") % F.col("blocks"),
+        F.col("blocks"),
+        F.lit(seed) + F.col("number") * 31 + F.col("pass") * 17 + 1,
+    )
+    # Written, so that no later filter is pushed down into the chained steps.
+    return staged(
+        slots.select("number", "block", "pass", F.floor(F.col("place") / per_shard).cast("int").alias("shard"), "place"),
+        "mix-slots",
     )
-    return slots.select(
-        place.alias("place"), "number", passed.cast("int").alias("pass"), index.alias("block")
-    ).withColumn("shard", F.floor(F.col("place") / per_shard).cast("int"))
 
 
 def sized(docs: DataFrame) -> DataFrame:
