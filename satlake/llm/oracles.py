@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from satlake.llm import quality
 from satlake.llm.hilbert import BITS, curve_states
 
 ORACLES: dict[str, str] = {}
@@ -108,3 +109,84 @@ from placed
 
 
 ORACLES["op2_hilbert_sharding"] = _hilbert_sql()
+
+
+def _quality_sql() -> str:
+    votes, names = [], [f"v{i}" for i in range(len(quality.RULES))]
+    for rule, v in zip(quality.RULES, names):
+        m, b = rule.measure, "1" if rule.base == "one" else rule.base
+        votes.append(
+            f"case when {b} <= 0 then 0 when {m} * 100 < {b} * {rule.fine[0]} or {m} * 100 > {b} * {rule.fine[1]} then -1"
+            f" when {m} * 100 >= {b} * {rule.good[0]} and {m} * 100 <= {b} * {rule.good[1]} then 1 else 0 end as {v}"
+        )
+
+    def weight() -> str:
+        terms = ["ln(share)"] + [
+            f"case {v} when -1 then ln(b{i}) when 1 then ln(1 - b{i}) else 0.0 end" for i, v in enumerate(names)
+        ]
+        return f"exp({' + '.join(terms)})"
+
+    start = ", ".join(
+        f"({kind}, {share}::double, {', '.join(f'{b}::double' for b in rates)})"
+        for kind, (share, rates) in enumerate(zip(quality.START.shares, quality.START.bad))
+    )
+    rates = ", ".join(f"b{i}" for i in range(len(names)))
+    models = [f"m0(kind, share, {rates}) as (values {start})"]
+    for k in range(1, quality.ROUNDS + 1):
+        believed = f"{quality.STRENGTH} * any_value(total) * any_value(s.share)"
+        fitted = [f"(sum(mass) + {believed}) / (any_value(total) * (1 + {quality.STRENGTH})) as share"]
+        for i, v in enumerate(names):
+            fitted.append(
+                f"(sum(case when {v} = -1 then mass else 0.0 end) + {believed} * any_value(s.b{i}))"
+                f" / (sum(case when {v} <> 0 then mass else 0.0 end) + {believed}) as b{i}"
+            )
+        models.append(
+            f"w{k} as (select kind, pattern, n, total, {', '.join(names)}, {weight()} as w from counts, m{k - 1}),"
+            f" p{k} as (select *, n * w / sum(w) over (partition by pattern) as mass from w{k}),"
+            f" m{k} as materialized (select p.kind, {', '.join(fitted)} from p{k} p join m0 s on s.kind = p.kind group by p.kind)"
+        )
+    word = "[^\\x20\\x09-\\x0D]+"
+    return f"""
+with docs as materialized (
+  select row_number() over () as r, doc_id, coalesce(text, '') as text from documents
+), words as materialized (
+  select *, regexp_extract_all(text, '{word}') as w,
+         list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '{word}')) as lines
+  from docs
+), windows as (
+  select r, pos, array_to_string(w[pos:pos + 4], ' ') as said
+  from (select r, w, unnest(range(1, len(w) - 3)) as pos from words where len(w) >= 5)
+), again as (
+  select r, pos from (select r, pos, count(*) over (partition by r, said) as n from windows) where n > 1
+), covered as (
+  select r, count(distinct pos + k) as n from again, range(5) t(k) group by r
+), measures as materialized (
+  select words.r, doc_id, len(w) as n_words, length(array_to_string(w, '')) as word_chars,
+         length(text) - length(regexp_replace(text, '{quality.SYMBOLS}', '', 'g')) as n_symbols,
+         len(lines) - len(list_distinct(lines)) as n_dup_lines,
+         coalesce(covered.n, 0) as n_repeat_words, len(lines) as n_lines,
+         length(text) - length(replace(text, '!', '')) as n_exclamations,
+         length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) as n_capitals,
+         length(text) - length(replace(text, '.', '')) as n_stops
+  from words left join covered on covered.r = words.r
+), voted as materialized (
+  select *, {", ".join(votes)} from measures
+), counts as materialized (
+  select row_number() over () as pattern, sum(n) over () as total, * from
+    (select {", ".join(names)}, count(*)::double as n from voted group by all)
+),
+{", ".join(models)},
+final as (select pattern, {", ".join(names)}, kind, {weight()} as w from counts, m{quality.ROUNDS}),
+chances as (
+  select {", ".join(names)}, sum(w) filter (kind = 0) / sum(w) as p from final group by all
+)
+select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as word_chars,
+       cast(n_symbols as bigint) as n_symbols, cast(n_dup_lines as bigint) as n_dup_lines,
+       cast(n_repeat_words as bigint) as n_repeat_words,
+       n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+       not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) and p >= {quality.KEEP_FROM} as kept
+from voted join chances using ({", ".join(names)})
+"""
+
+
+ORACLES["op8_weak_supervision"] = _quality_sql()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from satlake.llm import chat_parts, hilbert, mixing, piece_bpe, simhash, url_filters
+from satlake.llm import chat_parts, hilbert, mixing, piece_bpe, quality, simhash, suffix_blocks, url_filters
 from satlake.llm.common import table
 
 SHARDS = 8
@@ -85,6 +85,19 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text without the 50-byte strings that a document of a smaller id has."""
+    return suffix_blocks.repeats(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+def op8_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's measures, and whether the weighed votes keep it."""
+    found = quality.assess(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed by sources with weights 3, 1, 2 to 150% of all words."""
     return mixing.mix_counts(table(spark, sf_dir, "documents"))
@@ -107,6 +120,8 @@ QUERIES = {
     "op3_chat_formatting": op3_chat_formatting,
     "op5_url_filters": op5_url_filters,
     "op6_simhash": op6_simhash,
+    "op7_suffix_dedup": op7_suffix_dedup,
+    "op8_weak_supervision": op8_weak_supervision,
     "op9_source_mixing": op9_source_mixing,
     "op10_sentencepiece": op10_sentencepiece,
 }
