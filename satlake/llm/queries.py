@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from satlake.llm import chat_parts, hilbert, mixing, piece_bpe, quality, simhash, suffix_blocks, url_filters
+from satlake.llm import chat_parts, hilbert, line_blocks, mixing, piece_bpe, piecewise, quality, simhash, suffix_blocks, url_filters
 from satlake.llm.common import table
 
 SHARDS = 8
@@ -22,6 +22,11 @@ URL_RULES = [
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
+def op1_piecewise_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's fingerprint, its half-edited text's, and how alike they and the next one's are."""
+    return piecewise.compared(table(spark, sf_dir, "documents"))
+
+
 def op2_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in eight runs along the curve over source, language and length."""
     docs = table(spark, sf_dir, "documents").select(
@@ -70,6 +75,11 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return line_blocks.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's URL judged by the rules; URLs that no rule fits are allowed."""
     rules = spark.createDataFrame(URL_RULES, url_filters.RULE_SCHEMA)
@@ -116,8 +126,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_piecewise_fingerprints": op1_piecewise_fingerprints,
     "op2_hilbert_sharding": op2_hilbert_sharding,
     "op3_chat_formatting": op3_chat_formatting,
+    "op4_html_extraction": op4_html_extraction,
     "op5_url_filters": op5_url_filters,
     "op6_simhash": op6_simhash,
     "op7_suffix_dedup": op7_suffix_dedup,
