@@ -30,40 +30,26 @@ RUN_SLOTS = 4096
 #: Documents in a bin of the running sums, on average.
 BIN_ROWS = 4096
 #: Turns of the permutation.
-TURNS = 3
+TURNS = 7
 SEED = 42
 
-# Fixed values of the mixing arithmetic: primes, so that products stay below 2^62.
-PRIME = 2147483647
-FACTORS = (1103515245, 1664525, 214013, 69069, 48271, 16807)
-
 
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
-def scramble(number: Column, salt: int) -> Column:
-    """A pseudorandom 31-bit number."""
-    out = number
-    for k, factor in enumerate(FACTORS[:3]):
-        out = F.pmod(F.pmod(out, F.lit(PRIME)) * factor + (salt * 7919 + 104729 * (k + 1)), F.lit(PRIME))
-    return out
-
-
 def _hashed(value: Column, salt: Column, turn: int) -> Column:
-    """A pseudorandom 51-bit number of a value, a salt and the turn."""
-    one = F.pmod(F.pmod(value, F.lit(PRIME)) * 48271 + F.pmod(salt * 69621 + turn * 40692, F.lit(PRIME)), F.lit(PRIME))
-    two = F.pmod(one * 16807 + F.floor(value / PRIME) + turn, F.lit(PRIME))
-    return F.call_function("shiftright", one * (PRIME + 1) + two, F.lit(11))
+    return F.xxhash64(value, salt, F.lit(turn))
 
 
 def permuted(df: DataFrame, name: str, index: Column, size: Column, salt: Column) -> DataFrame:
     """Add ``name``: the image of ``index`` under a pseudorandom permutation of 0 to size - 1.
 
-    The largest power of two below the size goes through Feistel turns; then
-    all numbers move on so that the rest comes inside, and again.  Every step
-    is a bijection, so nothing has to be walked or sorted.  Steps are columns
-    of their own, because each is used several times by the next.
+    The largest power of two below the size goes through a Feistel turn, then
+    all numbers move on by a pseudorandom step, so that the rest comes inside,
+    and again.  What a turn leaves out is less than half, so little is left
+    after all turns.  Every step is a bijection: nothing is walked or sorted.
+    Steps are columns of their own, as each is used several times by the next.
     """
     x, bits, half, top, n, key = (F.col(f"__{c}") for c in ("x", "bits", "half", "top", "n", "key"))
     low = F.call_function("shiftleft", F.lit(1).cast("bigint"), half) - 1
@@ -81,7 +67,7 @@ def permuted(df: DataFrame, name: str, index: Column, size: Column, salt: Column
         df = df.withColumn("__x", F.when(x < top, x.bitwiseXOR(upper)).otherwise(x))
         lower = _hashed(F.call_function("shiftright", x, half), key, 2 * turn + 1).bitwiseAND(low)
         df = df.withColumn("__x", F.when(x < top, x.bitwiseXOR(lower)).otherwise(x))
-        df = df.withColumn("__x", (x + top) % n)
+        df = df.withColumn("__x", F.pmod(x + F.pmod(_hashed(n, key, 2 * TURNS + turn), n), n))
     return df.withColumn(name, x).drop("__x", "__bits", "__half", "__top", "__n", "__key")
 
 
@@ -132,7 +118,7 @@ def packed(docs: DataFrame) -> DataFrame:
     all rows is spread over its bins.
     """
     n_bins = max(1, docs.count() // BIN_ROWS)
-    binned = docs.withColumn("bin", F.pmod(scramble(F.coalesce("doc_id", F.lit(0)), SEED), F.lit(n_bins)))
+    binned = docs.withColumn("bin", F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(n_bins)))
     before = Window.partitionBy("number").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = (
         binned.groupBy("number", "bin")
@@ -273,23 +259,21 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
         .withColumn("slot", F.explode("slots"))
         .groupBy("doc_id", "digest", "start", "number")
         .agg(F.array_sort(F.collect_list(F.struct("slot.pass", "word", "words"))).alias("parts"))
-        .groupBy("doc_id", "digest")
-        .agg(F.min("parts").alias("parts"))
-        .withColumnRenamed("doc_id", "__id")
+        .groupBy(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"))
+        .agg(F.min("parts").alias("__parts"))
     )
     words = F.expr(f"regexp_extract_all(text, '{WORD_SQL}', 0)")
     text = F.array_join(
         F.flatten(
             F.transform(
-                "parts",
+                "__parts",
                 lambda p: F.slice(F.col("__words"), (p["word"] + 1).cast("int"), p["words"].cast("int")),
             )
         ),
         " ",
     )
-    columns = [c for c in docs.columns if c not in ("text", "n_chars")]
-    joined = docs.withColumn("__digest", F.xxhash64("text")).join(
-        parts, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("digest"))
+    joined = docs.withColumn("__own", F.xxhash64("text")).join(
+        parts, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__digest"))
     )
     return (
         joined.withColumn("__words", words)
