@@ -326,7 +326,9 @@ CTES["merged_balances"] = f"""
         on f.token_implementation = b.token_implementation and f.date = b.date"""
 O["upsert_token_balances"] = "select * from merged_balances"
 O["stream_upsert"] = "select * exclude (id) from merged_balances"
-O["stream_latest_state"] = "select token_implementation, balance, date from recent"
+O["stream_latest_state"] = """
+    select token_implementation, cast(arg_max(balance, date) as decimal(20,8)) as balance, max(date) as date
+    from final_days group by 1"""
 
 # ---------------------------------------------------------------- polls and decoders
 

@@ -13,7 +13,6 @@ from satlake.catalog import Catalog
 from satlake.functions import scalars
 from satlake.operators import adjust, asof, blocks, latest, quality, ranking, star, upsert
 from satlake.plans import decode, gainers, network_config, prices, reserves, supplies
-from satlake.schemas import DDL
 from satlake.session import fresh_path
 from satlake.sources import chain, source_config, tables
 from satlake.streaming import daily
@@ -121,28 +120,18 @@ catalog_query("scan_impl_by_network", lambda cat: network_config.scan_impl_by_ne
 @query("network_config")
 def network_config_flat(spark, sf_dir):
     """The rows of all networks' documents."""
-    cat = fixtures.catalog(spark, sf_dir)
-    tokens = network_config.network_tokens(cat).select(
-        "network",
-        F.lit("token").alias("kind"),
-        "slug",
-        "address",
-        "decimals",
-        F.lit(None).cast("int").alias("id"),
-        F.lit(None).cast("string").alias("collateral"),
-        F.lit(None).cast("string").alias("derivative"),
-    )
-    held = network_config.network_reserves(cat).select(
+    entries = network_config.network_config(fixtures.catalog(spark, sf_dir))
+    token, held = F.col("token"), F.col("reserve")
+    return entries.select(
         "network",
-        F.lit("reserve").alias("kind"),
-        "slug",
-        "address",
-        F.col("collateral_token.decimals").alias("decimals"),
-        "id",
-        F.col("collateral_token.slug").alias("collateral"),
-        F.col("derivative_token.slug").alias("derivative"),
+        F.when(token.isNotNull(), "token").otherwise("reserve").alias("kind"),
+        F.coalesce(token["slug"], held["slug"]).alias("slug"),
+        F.coalesce(token["address"], held["address"]).alias("address"),
+        F.coalesce(token["decimals"], held["collateral_token"]["decimals"]).alias("decimals"),
+        held["id"].alias("id"),
+        held["collateral_token"]["slug"].alias("collateral"),
+        held["derivative_token"]["slug"].alias("derivative"),
     )
-    return tokens.unionByName(held)
 
 
 @query("scan_blocks")
@@ -782,10 +771,14 @@ def derive_impl_slug(spark, sf_dir):
 # ---------------------------------------------------------------- streams
 
 
+# Files per batch of the observation streams, so that days are met again in later batches.
+FILES_PER_BATCH = 3
+
+
 def _stream_values(spark, sf_dir, shift_days=0):
     path = f"{fixtures.stage_chain(spark, sf_dir)}/observations"
     amount = scalars.hex_uint(F.get_json_object("payload", "$.result"))
-    return daily.stream_observations(spark, path).select(
+    return daily.stream_observations(spark, path, FILES_PER_BATCH).select(
         "seq",
         "token_implementation",
         F.expr(f"observed_at - make_dt_interval({shift_days})").alias("observed_at"),
@@ -795,24 +788,27 @@ def _stream_values(spark, sf_dir, shift_days=0):
     )
 
 
-def _run_into_table(spark, values):
-    path = fresh_path(spark, "stream-balances")
-    tables.create_table(spark, path, "token_balances")
-    daily.stream_upsert(values, path, fresh_path(spark, "stream-checkpoint"), inserted_at())
-    return tables.read_table(spark, path, "token_balances").drop("id")
+def _drained(spark, candidates, balances=None):
+    """Paths of the daily values after the candidates have run into them."""
+    path = fresh_path(spark, "daily-values")
+    tables.create_table(spark, path, "daily_values")
+    daily.stream_daily_values(
+        candidates, path, fresh_path(spark, "stream-checkpoint"), inserted_at(), balances
+    )
+    return path
 
 
 @query("daily_last_value")
 def daily_last_value(spark, sf_dir):
-    return _run_into_table(spark, daily.daily_last_value(_stream_values(spark, sf_dir)))
+    balances = fresh_path(spark, "stream-balances")
+    tables.create_table(spark, balances, "token_balances")
+    _drained(spark, daily.daily_last_value(_stream_values(spark, sf_dir)), balances)
+    return tables.read_table(spark, balances, "token_balances").drop("id")
 
 
 @query("finalize_day")
 def finalize_day(spark, sf_dir):
-    path = fresh_path(spark, "daily-values")
-    tables.create_table(spark, path, "daily_values")
-    candidates = daily.finalize_day(_stream_values(spark, sf_dir))
-    daily.stream_daily_values(candidates, path, fresh_path(spark, "stream-checkpoint"), inserted_at())
+    path = _drained(spark, daily.finalize_day(_stream_values(spark, sf_dir)))
     return tables.read_table(spark, path, "daily_values").drop("poll_order")
 
 
@@ -820,12 +816,7 @@ def finalize_day(spark, sf_dir):
 def stream_upsert(spark, sf_dir):
     """Streamed days into a table that already holds some of them."""
     balances = fixtures.monthly_copy(spark, sf_dir, "token_balances", "stream")
-    path = fresh_path(spark, "daily-values")
-    tables.create_table(spark, path, "daily_values")
-    candidates = daily.finalize_day(_stream_values(spark, sf_dir, fixtures.UPSERT_SHIFT_DAYS))
-    daily.stream_daily_values(
-        candidates, path, fresh_path(spark, "stream-checkpoint"), inserted_at(), balances
-    )
+    _drained(spark, daily.finalize_day(_stream_values(spark, sf_dir, fixtures.UPSERT_SHIFT_DAYS)), balances)
     return tables.read_table(spark, balances, "token_balances").drop("id")
 
 
@@ -839,9 +830,9 @@ def stream_blocks(spark, sf_dir):
 
 @query("stream_latest_state")
 def stream_latest_state(spark, sf_dir):
+    """Latest value per implementation of the streamed polls; a day is polled many times."""
     path = fresh_path(spark, "latest-state")
-    landed = spark.readStream.schema(DDL["token_balances"]).parquet(
-        f"{fixtures.stage(spark, sf_dir)}/token_balances"
-    )
-    daily.stream_latest_state(landed, path, fresh_path(spark, "stream-checkpoint"))
-    return spark.read.parquet(path)
+    tables.create_table(spark, path, "daily_values")
+    candidates = daily.finalize_day(_stream_values(spark, sf_dir))
+    daily.stream_latest_state(candidates, path, fresh_path(spark, "stream-checkpoint"))
+    return tables.read_table(spark, path, "daily_values").drop("poll_order")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from satlake.schemas import RESERVE_KEY, TOKEN_KEY
+from satlake.schemas import BALANCE, RESERVE_KEY, TOKEN_KEY
 
 
 def last_per_key(incoming: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -47,6 +47,9 @@ def merge_rows(
                 value = F.col(field.name)
             else:
                 value = defaults.get(field.name, F.lit(None))
+            if field.name == "balance":
+                # A poll without a number is to be rejected before it gets here.
+                value = F.coalesce(value, F.raise_error(F.lit("a balance to upsert is NULL")).cast(BALANCE))
             columns.append(value.cast(field.dataType).alias(field.name))
         return df.select(*columns)
 

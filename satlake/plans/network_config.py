@@ -1,4 +1,4 @@
-"""Per-network configuration document: its tokens and its reserves."""
+"""Per-network configuration: its tokens and its reserves."""
 
 from __future__ import annotations
 
@@ -26,10 +26,6 @@ def backed_reserves(
     return cat.reserve_implementations.where(chosen).select("derivative_token", "reserve_address")
 
 
-# The nested document is for dimensions of ordinary size.
-DOCUMENT_ROWS = 1_000_000
-
-
 def _token_refs(cat: Catalog) -> DataFrame:
     ref = F.struct(
         "slug", F.col("token_address").alias("address"), F.col("token_decimals").alias("decimals")
@@ -68,21 +64,15 @@ def network_reserves(cat: Catalog) -> DataFrame:
 
 
 def network_config(cat: Catalog) -> DataFrame:
-    """(network, network_tokens[], network_reserves[]): one nested document per network.
+    """(network, token{…}, reserve{…}): the entries of all networks' documents, one per row.
 
-    A document holds all rows of its network, so larger dimensions are refused:
-    jobs over those read the rows themselves.
+    Each row has a token or a reserve.  Rows are not gathered per network, so
+    a network may have any number of them.
     """
-    for table in ("token_implementations", "reserve_implementations"):
-        if cat.dimension_rows(table) > DOCUMENT_ROWS:
-            raise ValueError(f"{table} is too large for documents; use network_tokens and network_reserves")
 
-    def grouped(rows: DataFrame, name: str) -> DataFrame:
-        entry = F.struct(*[c for c in rows.columns if c != "network"])
-        return rows.groupBy("network").agg(F.array_sort(F.collect_list(entry)).alias(name))
+    def entries(rows: DataFrame, name: str) -> DataFrame:
+        entry = F.struct(*[c for c in rows.columns if c != "network"]).alias(name)
+        return rows.select("network", entry)
 
-    return (
-        cat.networks.select(F.col("slug").alias("network"))
-        .join(grouped(network_tokens(cat), "network_tokens"), "network", "left")
-        .join(grouped(network_reserves(cat), "network_reserves"), "network", "left")
-    )
+    tokens, held = entries(network_tokens(cat), "token"), entries(network_reserves(cat), "reserve")
+    return tokens.unionByName(held, allowMissingColumns=True)

@@ -1,7 +1,17 @@
-"""Balance tables at rest, partitioned by month, with idempotent partition upserts."""
+"""Balance tables at rest: month partitions in versioned folders behind a pointer.
+
+    <path>/data/version=<v>/month=<m>/   files, never changed once written
+    <path>/pointers/<n>/                 which version holds each month
+
+A write puts its months into a new version and then writes the next pointer,
+which counts from the moment its job is committed.  Until then readers see the
+table as it was; a write that was cut off leaves folders that nobody points to
+and can simply be repeated.  One writer per table.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,37 +22,115 @@ from satlake.schemas import schema
 from satlake.session import work_path
 
 MONTH = "month"
+# Month of rows without a date.
+UNDATED = "undated"
 
 # Files of one month are split beyond this many rows.
 ROWS_PER_FILE = 5_000_000
 
+# Pointers whose versions stay readable for those who have read them.
+KEPT_POINTERS = 2
+
 Merge = Callable[[DataFrame, DataFrame], DataFrame]
 
 
 def _with_month(df: DataFrame) -> DataFrame:
-    return df.withColumn(MONTH, F.date_format("date", "yyyy-MM"))
+    return df.withColumn(MONTH, F.coalesce(F.date_format("date", "yyyy-MM"), F.lit(UNDATED)))
+
+
+class _Folder:
+    """A folder of any file system that Spark reaches."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        jvm = spark.sparkContext._jvm
+        self.path_of = jvm.org.apache.hadoop.fs.Path
+        self.path = self.path_of(path)
+        self.fs = self.path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def names(self) -> list[str]:
+        if not self.fs.exists(self.path):
+            return []
+        return [s.getPath().getName() for s in self.fs.listStatus(self.path) if s.isDirectory()]
+
+    def holds(self, name: str) -> bool:
+        return self.fs.exists(self.path_of(self.path, name))
+
+    def drop(self, name: str) -> None:
+        self.fs.delete(self.path_of(self.path, name), True)
+
+
+def _pointers(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the committed pointers, in order."""
+    folder = _Folder(spark, f"{path}/pointers")
+    return sorted(int(n) for n in folder.names() if folder.holds(f"{n}/_SUCCESS"))
+
 
+def _pointed(spark: SparkSession, path: str, pointer: int) -> dict[str, str]:
+    rows = spark.read.schema("month string, version string").parquet(f"{path}/pointers/{pointer}")
+    return {r.month: r.version for r in rows.collect()}
 
-def write_monthly(df: DataFrame, path: str) -> None:
-    """Write one directory per month; only the months that occur are replaced.
+
+def is_table(spark: SparkSession, path: str) -> bool:
+    return bool(_pointers(spark, path))
+
+
+def current(spark: SparkSession, path: str) -> dict[str, str]:
+    """Version of each month, one entry per calendar month."""
+    found = _pointers(spark, path)
+    return _pointed(spark, path, found[-1]) if found else {}
+
+
+def _commit(spark: SparkSession, path: str, months: dict[str, str]) -> None:
+    following = max(_pointers(spark, path), default=0) + 1
+    rows = spark.createDataFrame(sorted(months.items()), "month string, version string")
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/pointers/{following}")
+
+
+def _sweep(spark: SparkSession, path: str) -> None:
+    """Drop the versions that no kept pointer names."""
+    found = _pointers(spark, path)
+    kept = {v for n in found[-KEPT_POINTERS:] for v in _pointed(spark, path, n).values()}
+    data = _Folder(spark, f"{path}/data")
+    for name in data.names():
+        if name.removeprefix("version=") not in kept:
+            data.drop(name)
+    pointers = _Folder(spark, f"{path}/pointers")
+    for n in found[:-KEPT_POINTERS]:
+        pointers.drop(str(n))
+
+
+def write_monthly(df: DataFrame, path: str, replace: bool = False) -> None:
+    """Put the months that occur in ``df`` in place; ``replace`` drops all others.
 
     Rebalancing by month keeps small months in one file and lets a large month
     be split over several tasks.
     """
+    spark = df.sparkSession
+    version = uuid.uuid4().hex
     (
         _with_month(df)
         .hint("rebalance", MONTH)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", ROWS_PER_FILE)
+        .write.option("maxRecordsPerFile", ROWS_PER_FILE)
         .partitionBy(MONTH)
-        .parquet(path)
+        .parquet(f"{path}/data/version={version}")
     )
+    written = _Folder(spark, f"{path}/data/version={version}").names()
+    months = {} if replace else current(spark, path)
+    months |= {name.removeprefix(f"{MONTH}="): version for name in written}
+    _commit(spark, path, months)
+    _sweep(spark, path)
 
 
 def read_monthly(spark: SparkSession, path: str, table: str) -> DataFrame:
-    columns = T.StructType([*schema(table).fields, T.StructField(MONTH, T.StringType())])
-    return spark.read.schema(columns).parquet(path)
+    """The table with its month, which filters prune the files by."""
+    columns = T.StructType(
+        [*schema(table).fields, T.StructField("version", T.StringType()), T.StructField(MONTH, T.StringType())]
+    )
+    months = current(spark, path)
+    if not months:
+        return spark.createDataFrame([], columns).drop("version")
+    folders = [f"{path}/data/version={v}/{MONTH}={m}" for m, v in sorted(months.items())]
+    return spark.read.schema(columns).option("basePath", f"{path}/data").parquet(*folders).drop("version")
 
 
 def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -69,24 +157,19 @@ def upsert_months(
 ) -> DataFrame | None:
     """Merge ``incoming`` into the months of the table that it touches.
 
-    The batch and the merged months are first written next to each other in
-    the shared folder, in place of those of the previous upsert.  The batch is
-    thus computed once, the table is not read while it is replaced, and a
-    replacement that was cut off can be repeated from the merged months.
-    Repeating a whole batch gives the same table again.  One writer per table.
-    Returns the batch as written, or None when it is empty.
+    The batch is first written next to the shared work of this table, in place
+    of the previous batch, so that it is computed once.  The merged months
+    become a new version; repeating a batch gives the same table again, whether
+    the first run was cut off or not.  Returns the batch as written, or None
+    when it is empty.
     """
     work = work_path(spark, path)
-    _with_month(incoming).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
-        f"{work}/batch"
-    )
-    batch = spark.read.parquet(f"{work}/batch")
+    batch_path = f"{work}/batch"
+    written = _with_month(incoming)
+    written.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(batch_path)
+    batch = spark.read.schema(written.schema).parquet(batch_path)
     if batch.isEmpty():
         return None
     touched = touched_months(spark, path, table, batch).drop(MONTH)
-
-    merge(touched, batch.drop(MONTH)).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).parquet(f"{work}/merged")
-    write_monthly(spark.read.schema(schema(table)).parquet(f"{work}/merged"), path)
+    write_monthly(merge(touched, batch.drop(MONTH)), path)
     return batch

@@ -6,7 +6,7 @@ the same checkpoint: it goes on where it stopped.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from satlake.operators.blocks import STAKING_PREFIX, staking_outputs
 from satlake.operators.upsert import merge_by_order, upsert_token_balances
 from satlake.plans.decode import poll_order
 from satlake.schemas import schema
-from satlake.sources.tables import MONTH, touched_months, upsert_months
+from satlake.sources.tables import MONTH, read_table, touched_months, upsert_months, write_monthly
 
 
 def stream_observations(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -31,35 +31,26 @@ def drain(writer, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def daily_last_value(observations: DataFrame, lateness: str = "1 day") -> DataFrame:
-    """Last balance per implementation and UTC day of observation.
-
-    State is one row per implementation and open day.  Days older than the
-    lateness are closed: use it where polls cannot be later than that, and
-    ``finalize_day`` with merged candidates where they can.
-    """
-    order = poll_order(F.lit(False), F.col("observed_at"), F.col("seq"))
-    return (
-        observations.withColumn("_order", order)
-        .withWatermark("observed_at", lateness)
-        .groupBy(F.window("observed_at", "1 day"), "token_implementation")
-        .agg(F.max_by("balance", "_order").alias("balance"), F.max_by("seq", "_order").alias("seq"))
-        .select(
-            "token_implementation", F.col("window.start").cast("date").alias("date"), "balance", "seq"
-        )
+def _candidates(observations: DataFrame, day: Column, is_final: Column) -> DataFrame:
+    """Polls that have a number, as candidates for the value of a day."""
+    order = poll_order(is_final, F.col("observed_at"), F.col("seq"))
+    return observations.where(F.col("balance").isNotNull()).select(
+        "token_implementation", day.alias("date"), "balance", order.alias("poll_order")
     )
 
 
+def daily_last_value(observations: DataFrame) -> DataFrame:
+    """Candidates for the last value of the UTC day of observation."""
+    return _candidates(observations, F.col("observed_at").cast("date"), F.lit(False))
+
+
 def finalize_day(observations: DataFrame) -> DataFrame:
-    """Polls as candidates for the value of their effective day.
+    """Candidates for the value of the effective day, where a final poll beats the incremental ones.
 
-    A final poll beats the incremental ones; which poll wins is settled by
-    merging the candidates, so a poll may be any number of days late.
+    Which poll wins is settled by merging the candidates, so a poll may be any
+    number of days late; none is dropped.
     """
-    order = poll_order(F.col("is_final"), F.col("observed_at"), F.col("seq"))
-    return observations.select(
-        "token_implementation", F.col("effective_day").alias("date"), "balance", order.alias("poll_order")
-    )
+    return _candidates(observations, F.col("effective_day"), F.col("is_final"))
 
 
 def write_daily_values(
@@ -102,34 +93,6 @@ def stream_daily_values(
     drain(candidates.writeStream.outputMode("append").foreachBatch(write), checkpoint)
 
 
-def upsert_into(
-    spark: SparkSession,
-    path: str,
-    order: Sequence[str],
-    created_at: Column,
-) -> Callable[[DataFrame, int], None]:
-    """Batch writer that upserts (token_implementation, date, balance, …order) into a table.
-
-    Writing a batch a second time changes nothing, so a restart may repeat it.
-    """
-
-    def write(batch: DataFrame, epoch: int) -> None:
-        rows = batch.select("token_implementation", "date", "balance", *order)
-
-        def merge(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-            return upsert_token_balances(existing, incoming, order, created_at)
-
-        upsert_months(spark, path, "token_balances", rows, merge)
-
-    return write
-
-
-def stream_upsert(values: DataFrame, path: str, checkpoint: str, created_at: Column) -> None:
-    """Run the changed rows of a streaming aggregate into a balance table."""
-    write = upsert_into(values.sparkSession, path, ["seq"], created_at)
-    drain(values.writeStream.outputMode("update").foreachBatch(write), checkpoint)
-
-
 def stream_staking_outputs(
     blocks: DataFrame, path: str, checkpoint: str, prefix: str = STAKING_PREFIX
 ) -> None:
@@ -138,17 +101,32 @@ def stream_staking_outputs(
     drain(hits.writeStream.outputMode("append").format("parquet").option("path", path), checkpoint)
 
 
-def latest_state(balances: DataFrame) -> DataFrame:
-    """Latest row per implementation as it changes; state is one row per implementation."""
-    return balances.groupBy("token_implementation").agg(
-        F.max_by("balance", "date").alias("balance"), F.max("date").alias("date")
+def latest_state(values: DataFrame) -> DataFrame:
+    """Latest daily value per implementation; of one day the one of the greatest poll_order."""
+    last = F.struct("date", "poll_order")
+    return values.groupBy("token_implementation").agg(
+        F.max_by("balance", last).alias("balance"),
+        F.max("date").alias("date"),
+        F.max_by("poll_order", last).alias("poll_order"),
     )
 
 
-def stream_latest_state(balances: DataFrame, path: str, checkpoint: str) -> None:
-    """Keep a table of the latest rows, rewritten per batch (one row per implementation)."""
+def write_latest(spark: SparkSession, path: str) -> Callable[[DataFrame, int], None]:
+    """Batch writer: merge candidates into the table of latest rows, one per implementation.
+
+    The table changes at once behind its pointer, so a reader never finds it
+    missing; repeating a batch changes nothing.
+    """
 
     def write(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        rows = batch.select("date", "token_implementation", "balance", "poll_order")
+        merged = latest_state(read_table(spark, path, "daily_values").unionByName(rows))
+        write_monthly(merged.select(*rows.columns), path, replace=True)
+
+    return write
+
 
-    drain(latest_state(balances).writeStream.outputMode("complete").foreachBatch(write), checkpoint)
+def stream_latest_state(values: DataFrame, path: str, checkpoint: str) -> None:
+    """Keep a table of the latest rows of a stream of daily values or candidates."""
+    write = write_latest(values.sparkSession, path)
+    drain(values.writeStream.outputMode("append").foreachBatch(write), checkpoint)

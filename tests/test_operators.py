@@ -169,7 +169,7 @@ def test_reserve_upsert_appends_rows_without_a_full_key(spark):
 def test_monthly_upsert_touches_only_its_months(spark, tmp_path):
     path = str(tmp_path / "balances")
     tables.write_monthly(existing_balances(spark), path)
-    untouched = sorted((tmp_path / "balances" / "month=2024-02").iterdir())
+    untouched = tables.current(spark, path)["2024-02"]
 
     def merge(old, new):
         return upsert.upsert_token_balances(old, new, ["seq"])
@@ -181,7 +181,7 @@ def test_monthly_upsert_touches_only_its_months(spark, tmp_path):
             ("a", day("2024-01-01"), D("5.00000000")), ("a", day("2024-02-01"), D("2.00000000")),
             ("c", day("2024-03-09"), D("6.00000000")),
         ]
-    assert sorted((tmp_path / "balances" / "month=2024-02").iterdir()) == untouched
+    assert tables.current(spark, path)["2024-02"] == untouched
     tables.upsert_months(spark, path, "token_balances", batch.limit(0), merge)
     assert tables.read_table(spark, path, "token_balances").count() == 3
 
@@ -236,15 +236,53 @@ def test_upsert_prunes_the_scan_to_its_months(spark, tmp_path):
     assert table(touched, "date") == [(day("2024-02-01"),)]
 
 
-def test_network_document_refuses_large_dimensions(build, monkeypatch):
-    monkeypatch.setattr(network_config, "DOCUMENT_ROWS", 1)
-    with pytest.raises(ValueError):
-        network_config.network_config(model(build).build())
+@pytest.mark.parametrize("step", ["_commit", "_sweep", "write_monthly", "touched_months"])
+def test_a_cut_off_upsert_can_be_repeated(spark, tmp_path, monkeypatch, step):
+    path = str(tmp_path / "balances")
+    rows = [(day("2024-01-01"), k, D("1"), None, i) for i, k in enumerate("ad")]
+    tables.write_monthly(spark.createDataFrame(rows, schema("token_balances")), path)
+    batch = incoming(spark, ("a", "2024-01-01", "5", 1), ("c", "2024-01-09", "6", 1))
+    columns = ("token_implementation", "date", "balance")
+    old = [("a", day("2024-01-01"), D("1.00000000")), ("d", day("2024-01-01"), D("1.00000000"))]
+    new = [("a", day("2024-01-01"), D("5.00000000")), ("c", day("2024-01-09"), D("6.00000000")), old[1]]
+
+    def merge(existing, fresh):
+        return upsert.upsert_token_balances(existing, fresh, ["seq"])
+
+    def cut(*args, **kwargs):
+        raise RuntimeError("cut off")
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, step, cut)
+        with pytest.raises(RuntimeError):
+            tables.upsert_months(spark, path, "token_balances", batch, merge)
+    # Readers see the old table or the new one, never less.
+    assert table(tables.read_table(spark, path, "token_balances"), *columns) == (new if step == "_sweep" else old)
+    for _ in range(3):
+        tables.upsert_months(spark, path, "token_balances", batch, merge)
+        assert table(tables.read_table(spark, path, "token_balances"), *columns) == new
+    assert len(list((tmp_path / "balances" / "data").iterdir())) == 2
+
+
+def test_upserts_refuse_missing_balances_and_keep_undated_rows(spark, tmp_path):
+    path = str(tmp_path / "balances")
+    loose = "date date, token_implementation string, balance decimal(20,8), created_at timestamp_ntz, id long"
+    tables.write_monthly(spark.createDataFrame([(None, "a", D("1"), None, 1)], loose), path)
+
+    def merge(existing, fresh):
+        return upsert.upsert_token_balances(existing, fresh, ["seq"])
+
+    tables.upsert_months(spark, path, "token_balances", incoming(spark, ("b", None, "5", 1)), merge)
+    assert table(tables.read_table(spark, path, "token_balances"), "token_implementation") == [("a",), ("b",)]
+    missing = spark.createDataFrame([("a", day("2024-01-01"), None, 1)], incoming(spark).schema)
+    with pytest.raises(Exception, match="is NULL"):
+        tables.upsert_months(spark, path, "token_balances", missing, merge)
 
 
 def test_network_config_document(build):
     cat = model(build).build()
-    rows = {r.network: r for r in network_config.network_config(cat).collect()}
-    assert [t.slug for t in rows["A"].network_tokens] == ["T_A", "X_A"]
-    assert rows["native"].network_tokens is None
+    rows = network_config.network_config(cat).collect()
+    assert sorted(r.token.slug for r in rows if r.network == "A" and r.token) == ["T_A", "X_A"]
+    assert not [r for r in rows if r.network == "native"]
+    assert {(r.reserve.id, r.reserve.collateral_token.slug) for r in rows if r.reserve} == {(1, "X_A"), (2, "T_B")}
     assert table(network_config.scan_impl_by_network(cat, "B"), "slug", "token_decimals") == [("T_B", "8")]

@@ -7,6 +7,8 @@ import pytest
 
 import __spark_entry__ as entry
 from check import TABLES, normal
+from registry.oracles import ORACLES
+from registry.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -22,13 +24,14 @@ def sql():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, sql, name):
-    df = entry.queries()[name](spark, SF_DIR)
-    cursor = sql.execute(entry.oracle_sql()[name])
+    df = QUERIES[name](spark, SF_DIR)
+    cursor = sql.execute(ORACLES[name])
     columns = [d[0] for d in cursor.description]
     assert sorted(columns) == sorted(df.columns)
     rows = [tuple(r) for r in df.collect()]

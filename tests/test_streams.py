@@ -40,14 +40,16 @@ def values(spark, path):
     return daily.stream_observations(spark, path).withColumn("balance", F.col("payload").cast("decimal(20,8)"))
 
 
-def run_twice(spark, tmp_path, build):
+def run_into_balances(spark, tmp_path, build, *batches):
     """Drain, land more, drain again from the same checkpoint."""
-    landing, target, checkpoint = (str(tmp_path / n) for n in ("landing", "target", "checkpoint"))
-    tables.create_table(spark, target, "token_balances")
-    for batch in (FIRST, SECOND):
+    names = ("landing", "values", "balances", "checkpoint")
+    landing, target, balances, checkpoint = (str(tmp_path / n) for n in names)
+    tables.create_table(spark, target, "daily_values")
+    tables.create_table(spark, balances, "token_balances")
+    for batch in batches:
         polls(spark, *batch).write.mode("append").parquet(landing)
-        daily.stream_upsert(build(values(spark, landing)), target, checkpoint, stamp())
-    return landing, tables.read_table(spark, target, "token_balances")
+        daily.stream_daily_values(build(values(spark, landing)), target, checkpoint, stamp(), balances)
+    return tables.read_table(spark, balances, "token_balances")
 
 
 LATE = (
@@ -78,24 +80,36 @@ def test_finalized_days_equal_the_batch_result_however_late(spark, tmp_path):
 
 
 def test_daily_last_value_by_day_of_observation(spark, tmp_path):
-    _, got = run_twice(spark, tmp_path, daily.daily_last_value)
+    got = run_into_balances(spark, tmp_path, daily.daily_last_value, FIRST, SECOND)
     assert table(got, "token_implementation", "date", "balance") == [
         ("a", day("2024-01-01"), D("2.00000000")), ("a", day("2024-01-02"), D("5.00000000")),
         ("b", day("2024-01-01"), D("3.00000000")),
     ]
 
 
+def test_late_polls_and_failed_ones(spark, tmp_path):
+    days = ("2024-01-10", "2024-01-14", "2024-01-15", "2024-01-11", "2024-01-16")
+    batches = [((i, "a", f"{d}T01:00", d, False, str(i)),) for i, d in enumerate(days)]
+    batches += [((9, "a", "2024-01-10T05:00", "2024-01-10", False, None), (10, "z", "2024-01-10T05:00", "2024-01-10", False, None))]
+    got = run_into_balances(spark, tmp_path, daily.finalize_day, *batches)
+    assert table(got, "token_implementation", "date", "balance") == sorted(
+        ("a", day(d), D(i).quantize(D("1.00000000"))) for i, d in enumerate(days)
+    )
+
+
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
-    path = str(tmp_path / "t")
-    tables.create_table(spark, path, "token_balances")
+    target, balances = str(tmp_path / "v"), str(tmp_path / "t")
+    tables.create_table(spark, target, "daily_values")
+    tables.create_table(spark, balances, "token_balances")
     batch = spark.createDataFrame(
-        [("a", day("2024-01-01"), D("1"), 1)], "token_implementation string, date date, balance decimal(20,8), seq long"
+        [("a", day("2024-01-01"), D("1"), D("1"))],
+        "token_implementation string, date date, balance decimal(20,8), poll_order decimal(38,0)",
     )
-    write = daily.upsert_into(spark, path, ["seq"], stamp())
+    write = daily.write_daily_values(spark, target, balances, stamp())
     write(batch, 0)
-    before = table(tables.read_table(spark, path, "token_balances"), "token_implementation", "balance", "id")
+    before = table(tables.read_table(spark, balances, "token_balances"), "token_implementation", "balance", "id")
     write(batch, 0)
-    assert table(tables.read_table(spark, path, "token_balances"), "token_implementation", "balance", "id") == before
+    assert table(tables.read_table(spark, balances, "token_balances"), "token_implementation", "balance", "id") == before
 
 
 def test_block_stream_resumes_after_the_finished_files(spark, tmp_path):
@@ -115,9 +129,13 @@ def test_block_stream_resumes_after_the_finished_files(spark, tmp_path):
 
 def test_latest_state_follows_the_stream(spark, tmp_path):
     landing, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
-    for d, amount in (("2024-01-02", "5"), ("2024-01-01", "9")):
-        rows = [(day(d), "a", D(amount), None, 1)]
-        spark.createDataFrame(rows, schema("token_balances")).write.mode("append").parquet(landing)
-        landed = spark.readStream.schema(schema("token_balances")).parquet(landing)
+    tables.create_table(spark, target, "daily_values")
+    # Eight polls of one day, then an older day.
+    polled = [("2024-01-02", str(amount), amount) for amount in range(1, 9)] + [("2024-01-01", "9", 99)]
+    for batch in (polled[:5], polled[5:8], polled[8:]):
+        rows = [(day(d), "a", D(amount), D(order)) for d, amount, order in batch]
+        spark.createDataFrame(rows, schema("daily_values")).write.mode("append").parquet(landing)
+        landed = spark.readStream.schema(schema("daily_values")).parquet(landing)
         daily.stream_latest_state(landed, target, checkpoint)
-        assert table(spark.read.parquet(target), "balance", "date") == [(D("5.00000000"), day("2024-01-02"))]
+        got = tables.read_table(spark, target, "daily_values")
+        assert table(got, "balance", "date") == [(D(batch[-1][1] if batch[-1][2] < 9 else 8).quantize(D("1.00000000")), day("2024-01-02"))]
