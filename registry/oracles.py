@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from satlake.fixtures import PAYLOADS, UPSERT_SHIFT_DAYS, poll_slug
+from satlake.fixtures import MIXED_NETWORKS, PAYLOADS, UPSERT_SHIFT_DAYS, poll_slug
 from satlake.sources.source_config import default_sources
 
 AS_OF = "date '2001-11-04'"
@@ -274,7 +274,12 @@ CTES["hits"] = """
     where script_hex like '6a4762626e31%'"""
 O["scan_blocks"] = """
     select block_height as height, 'bh' || cast(block_height as varchar) as hash, time,
-        cast(n as int) as transactions from block_times"""
+        cast(n as int) as transactions from block_times where block_height >= 6"""
+O["skipped_blocks"] = """
+    select block_height as height, case when block_height % 7 = 3 then 'absent' else 'malformed' end as reason
+    from block_times where block_height % 7 = 3 or block_height % 11 = 5"""
+O["missing_transactions"] = """
+    select block_height, block_hash, txid, 'no_transaction' as reason from hits where block_height % 11 = 5"""
 O["staking_outputs"] = "select * exclude (event_id) from hits"
 O["sink_csv"] = """
     select cast(block_height as varchar) as block_height, block_hash, txid, cast(value as varchar) as value,
@@ -436,13 +441,20 @@ _BAD = {"bare_sats": "not_a_number", "clarity_hex": "not_okay"}
 _FORMED = ("evm_hex_default18", "unminted_cap", "clarity_hex")
 
 
-def _decoded(decoder: str, bad_forms: str | None = None) -> str:
+def _decoded(
+    decoder: str, bad_forms: str | None = None, symbols: bool = True, wrong: str | None = None
+) -> str:
     """seq, token_implementation, effective_day, is_final, balance, reason of all events."""
     number, places, status, address, decimals = _READ[decoder]
     if bad_forms is None:
         bad_forms = "false"
     balance = _scaled("number", places) if places else "number"
-    rules = []
+    rules = ["when known is null then 'unknown_implementation'"]
+    if wrong:
+        rules.append(f"when {wrong} then 'wrong_network'")
+    known = "i.slug"
+    if decoder == "asset_string" and symbols:
+        known = "'Proj-Tok' || substr(i.token, 7) || '_' || i.network"
     if address:
         rules.append("when token_address is null then 'no_address'")
     rules.append(f"when {bad_forms} then 'bad_address'")
@@ -453,14 +465,30 @@ def _decoded(decoder: str, bad_forms: str | None = None) -> str:
     rules.append(f"when bad then '{_BAD.get(decoder, 'no_result')}'")
     if decoder not in _KEEP_ZERO:
         rules.append("when number = 0 then 'zero_supply'")
-    return f"""
-    select seq, token_implementation, day as effective_day, is_final, reason,
+    sql = f"""
+    select seq, token_implementation, day as effective_day, ts, is_final, reason,
         case when reason is null then cast({balance} as decimal(20,8)) end as balance
     from (select *, case {' '.join(rules)} end as reason
         from (select *, case when not bad then {number} end as number
             from (select p.*, {poll_slug(decoder)} as token_implementation, {PAYLOADS[decoder]} as payload,
-                    i.token_address, i.token_decimals
-                from polls p left join impls i on i.slug = {poll_slug(decoder)})))"""
+                    i.token_address, i.token_decimals, i.slug as known
+                from polls p left join impls i on {known} = {poll_slug(decoder)})))"""
+    if decoder not in _OTHER_PLACE:
+        return sql
+    table, key, reason = _OTHER_PLACE[decoder]
+    served = f"d.reason = '{reason}' and o.balance is not null"
+    return f"""
+    select d.* replace (
+        case when {served} then cast(o.balance as decimal(20,8)) else d.balance end as balance,
+        case when {served} then null else d.reason end as reason)
+    from ({sql}) d left join {table} o on o.{key} = d.token_implementation"""
+
+
+# Second places to look: table, its key, and the reason of the rows that are looked up there.
+_OTHER_PLACE = {
+    "explorer_self": ("held_fallback", "derivative_token", "no_address"),
+    "coin_value": ("object_values", "slug", "no_result"),
+}
 
 
 for _decoder in _READ:
@@ -489,17 +517,35 @@ for _decoder, _members in _by_decoder.items():
     _names = " ".join(f"when {i} then '{s}'" for i, s in _members)
     _ids = ", ".join(str(i) for i, _ in _members)
     _forms = "true" if _decoder in _FORMED else None
-    _label = "'unsupported_token'" if _decoder == "unminted_cap" else "reason"
+    _label = {"unminted_cap": "'unsupported_token'", "staked_amount": "'unknown_implementation'"}.get(
+        _decoder, "reason"
+    )
+    _wrong = " or ".join(
+        f"(seq % {len(_SOURCES)} = {i} and r_name <> '{MIXED_NETWORKS[s]}')" for i, s in _members if s in MIXED_NETWORKS
+    )
     _slug = "replace ('Core-stakedBTC_staking' as token_implementation)" if _decoder == "staked_amount" else ""
     _unions.append(
         f"""select * exclude (reason) {_slug}, case seq % {len(_SOURCES)} {_names} end as source, {_label} as reason
-        from ({_decoded(_decoder, _forms)}) where seq % {len(_SOURCES)} in ({_ids})"""
+        from ({_decoded(_decoder, _forms, False, _wrong)}) where seq % {len(_SOURCES)} in ({_ids})"""
     )
 CTES["mixed"] = " union all ".join(_unions)
 O["decode_observations"] = """
     select seq, source, token_implementation, effective_day, is_final, balance from mixed where reason is null"""
 O["dead_letter"] = "select seq, source, token_implementation, reason from mixed where reason is not null"
 
+CTES["polled_days"] = f"""
+    select token_implementation, effective_day - {SHIFT} as date,
+        arg_max(balance, (is_final, ts, seq)) as balance
+    from mixed where reason is null group by 1, 2"""
+O["poll_to_balances"] = f"""
+    select coalesce(b.date, f.date) as date,
+        coalesce(b.token_implementation, f.token_implementation) as token_implementation,
+        cast(coalesce(f.balance, b.balance) as decimal(20,8)) as balance,
+        case when b.id is null then {INSERTED}
+            else strftime(b.date + 1, '%Y-%m-%d') || ' 00:15:00' end as created_at,
+        b.id
+    from balances b full join polled_days f
+        on f.token_implementation = b.token_implementation and f.date = b.date"""
 O["decode_evm_reserve"] = f"""
     select seq, reserve_implementation_id, reserve_address, collateral_token, derivative_token, reason,
         case when reason is null then cast({_scaled('number', _CONFIG)} as decimal(20,8)) end as balance
@@ -511,6 +557,26 @@ O["decode_evm_reserve"] = f"""
             from (select *, cast((seq % (select max(s_suppkey) from supplier) + 1) * 100 + b as int) as rid
                 from polls) p
             left join reserve_impls r on r.id = p.rid left join impls i on i.slug = r.collateral_token))"""
+CTES["polled_reserves"] = f"""
+    select p.day - {SHIFT} as date, m.reserve_network, m.reserve_address, m.collateral_token, m.derivative_token,
+        arg_max(d.balance, d.seq) as balance, arg_min(m.id, d.seq) as reserve_id
+    from ({O['decode_evm_reserve']}) d join polls p on p.seq = d.seq
+    join reserve_impls m on m.id = d.reserve_implementation_id
+    where d.reason is null and m.reserve_network in ('AFRICA', 'ASIA', 'EUROPE') group by 1, 2, 3, 4, 5"""
+O["poll_to_reserves"] = f"""
+    select coalesce(b.date, f.date) as date,
+        cast(coalesce(f.balance, b.balance) as decimal(20,8)) as balance,
+        case when b.date is null then {INSERTED}
+            else strftime(b.date + 1, '%Y-%m-%d') || ' 00:15:00' end as created_at,
+        coalesce(b.reserve_id, f.reserve_id) as reserve_implementation_id,
+        coalesce(b.reserve_network, f.reserve_network) as reserve_network,
+        coalesce(b.collateral_token, f.collateral_token) as collateral_token,
+        coalesce(b.derivative_token, f.derivative_token) as derivative_token,
+        coalesce(b.reserve_address, f.reserve_address) as reserve_address
+    from reserves b full join polled_reserves f
+        on f.date = b.date and f.reserve_network = b.reserve_network
+        and f.reserve_address = b.reserve_address and f.collateral_token = b.collateral_token
+        and f.derivative_token = b.derivative_token"""
 _names = ", ".join(f"'{s[0]}'" for s in _SOURCES)
 O["assign_day"] = f"""
     select seq, source, invocation, day,
@@ -676,6 +742,15 @@ O["derive_impl_slug"] = """
             case when reserve_network = 'ASIA' then 'given_' || split_part(collateral_token, '_', 1)
                 else collateral_token end as slug
         from reserves)"""
+O["ordered_current_supplies_by_network"] = """
+    select total_balance, row_number() over (order by total_balance desc nulls first) - 1 as place
+    from network_totals"""
+O["ordered_top_gainers_by_tokenimpl"] = f"""
+    select period, percent_change,
+        row_number() over (order by period asc nulls last, percent_change desc nulls first) - 1 as place
+    from ({O['top_gainers_by_tokenimpl']})"""
+CTES["held_fallback"] = O["join_reserve_to_impl"]
+CTES["object_values"] = O["sui_fallback_objects"]
 O["endpoint_read"] = f"select * from ({O['top_gainers_by_tokenimpl_absolute']}) where period = 'weekly'"
 
 # ---------------------------------------------------------------- assembly

@@ -12,7 +12,7 @@ from satlake import fixtures
 from satlake.catalog import Catalog
 from satlake.functions import scalars
 from satlake.operators import adjust, asof, blocks, latest, quality, ranking, star, upsert
-from satlake.plans import decode, gainers, network_config, prices, reserves, supplies
+from satlake.plans import decode, gainers, ingest, network_config, prices, reserves, supplies
 from satlake.session import fresh_path
 from satlake.sources import chain, source_config, tables
 from satlake.streaming import daily
@@ -136,7 +136,7 @@ def network_config_flat(spark, sf_dir):
 
 @query("scan_blocks")
 def scan_blocks(spark, sf_dir):
-    start = chain.start_height(0, prune_height=-1)
+    start = chain.start_height(2, prune_height=5)
     found = chain.scan_range(chain.read_blocks(spark, f"{fixtures.stage_chain(spark, sf_dir)}/blocks"), start)
     return found.select("height", "hash", "time", F.size("tx").alias("transactions"))
 
@@ -240,16 +240,52 @@ def upsert_reserve_balances(spark, sf_dir):
     return tables.read_table(spark, path, "reserve_balances")
 
 
-def _mixed(spark, sf_dir):
-    sources = source_config.default_sources()
-    cat = with_addresses(fixtures.catalog(spark, sf_dir), ADDRESS_FORMS["mixed"])
-    return decode.decode_observations(
-        cat,
+def _mixed_polls(spark, sf_dir):
+    """Catalog, polls, rules and objects of the mixed sources."""
+    sources = fixtures.mixed_sources(source_config.default_sources())
+    return (
+        with_addresses(fixtures.catalog(spark, sf_dir), ADDRESS_FORMS["mixed"]),
         fixtures.mixed_polls(spark, sf_dir, sources),
         source_config.source_config(spark, sources),
+        fixtures.object_polls(spark, sf_dir),
     )
 
 
+def _mixed(spark, sf_dir):
+    cat, polls, config, objects = _mixed_polls(spark, sf_dir)
+    return decode.decode_observations(cat, polls, config, objects=objects)
+
+
+@query("poll_to_balances")
+def poll_to_balances(spark, sf_dir):
+    """Mixed polls, good and bad, in two batches that share their days, into a table with old rows."""
+    cat, polls, config, objects = _mixed_polls(spark, sf_dir)
+    polls = polls.withColumn("effective_day", F.date_sub("effective_day", fixtures.UPSERT_SHIFT_DAYS))
+    balances = fresh_path(spark, "polled-balances")
+    tables.write_monthly(cat.token_balances, balances)
+    values, dead = fresh_path(spark, "daily-values"), fresh_path(spark, "dead")
+    tables.create_table(spark, values, "daily_values")
+    for k in (1, 0):
+        part = polls.where(F.col("seq") % 2 == k)
+        ingest.ingest_polls(cat, part, config, values, balances, dead, inserted_at(), str(k), objects)
+    result = tables.read_table(spark, balances, "token_balances")
+    return result.withColumn("id", F.when(F.col("created_at") != inserted_at(), F.col("id")))
+
+
+@query("poll_to_reserves")
+def poll_to_reserves(spark, sf_dir):
+    """Reserve polls into the reserve table, of the networks that report them."""
+    polls = _reserve_polls(spark, sf_dir).withColumn(
+        "date", F.date_sub("effective_day", fixtures.UPSERT_SHIFT_DAYS)
+    )
+    cat = fixtures.catalog(spark, sf_dir)
+    balances = fresh_path(spark, "polled-reserves")
+    tables.write_monthly(cat.reserve_balances, balances)
+    networks = ("AFRICA", "ASIA", "EUROPE")
+    ingest.ingest_reserves(cat, polls, balances, fresh_path(spark, "dead"), inserted_at(), networks=networks)
+    return tables.read_table(spark, balances, "reserve_balances")
+
+
 @query("dead_letter")
 def dead_letter(spark, sf_dir):
     return decode.quarantined(_mixed(spark, sf_dir)).select("seq", "source", "token_implementation", "reason")
@@ -280,6 +316,18 @@ catalog_query(
 )
 
 
+def _ordered(view: str, *columns: str) -> None:
+    @query(f"ordered_{view}")
+    def run(spark, sf_dir):
+        """Places of the rows in the published order; equal rows of the order are alike here."""
+        rows = fixtures.catalog(spark, sf_dir).ordered(view).select(*columns)
+        return rows.coalesce(1).withColumn("place", F.monotonically_increasing_id())
+
+
+_ordered("current_supplies_by_network", "total_balance")
+_ordered("top_gainers_by_tokenimpl", "period", "percent_change")
+
+
 @query("observation_source")
 def observation_source(spark, sf_dir):
     return fixtures.staged(spark, sf_dir, "observations").drop("source")
@@ -361,10 +409,11 @@ catalog_query("join_cross_periods", gainers.implementation_periods)
 
 @query("join_correlated_max")
 def join_correlated_max(spark, sf_dir):
-    facts = fixtures.catalog(spark, sf_dir).reserve_balances.select(
+    cat = fixtures.catalog(spark, sf_dir)
+    facts = cat.reserve_balances.select(
         "derivative_token", "date", "reserve_address", "collateral_token", "balance"
     )
-    return latest.latest_with_ties(facts, "derivative_token", "date")
+    return latest.latest_with_ties(facts, "derivative_token", "date", cat.per_implementation)
 
 
 @query("asof_block")
@@ -517,31 +566,26 @@ def staking_outputs_onepass(spark, sf_dir):
 
 @query("sui_fallback_objects")
 def sui_fallback_objects(spark, sf_dir):
-    """Objects report the greatest number of their events; some report nothing or zero."""
     cat = fixtures.catalog(spark, sf_dir)
-    base = fixtures.poll_base(spark, sf_dir)
-    totals = base.groupBy(
-        F.concat(
-            F.lit("obj"), (F.col("b") * 10 + F.col("k")).cast("string"), F.lit("_"),
-            (F.col("seq") % 3).cast("string"),
-        ).alias("object_id"),
-        F.col("b"),
-        (F.col("seq") % 3).alias("i"),
-    ).agg(F.max("n").alias("total"))
-    value = F.when((F.col("i") == 1) & (F.col("b") % 3 == 0), F.lit(0)).otherwise(F.col("total"))
-    payload = F.when((F.col("i") == 0) & (F.col("b") % 2 == 0), F.lit('{"result":{}}')).otherwise(
-        F.concat(
-            F.lit(
-                '{"result":{"data":{"content":{"fields":{"treasury_cap":{"fields":'
-                '{"total_supply":{"fields":{"value":"'
-            ),
-            value.cast("string"),
-            F.lit('"}}}}}}}}}'),
-        )
-    )
-    return decode.object_fallback(
-        cat.token_implementations, totals.select("object_id", payload.alias("payload"))
-    )
+    return decode.object_fallback(cat.token_implementations, fixtures.object_polls(spark, sf_dir))
+
+
+@query("skipped_blocks")
+def skipped_blocks(spark, sf_dir):
+    """Heights to scan again after some blocks were lost or came without transactions."""
+    found = _blocks(spark, sf_dir)
+    top = found.agg(F.max("height")).first()[0]
+    tx = F.when(F.col("height") % 11 != 5, F.col("tx"))
+    return blocks.skipped_blocks(found.where("height % 7 <> 3").withColumn("tx", tx), 0, top)
+
+
+@query("missing_transactions")
+def missing_transactions(spark, sf_dir):
+    """Hits looked up in blocks of which some have lost their transactions."""
+    found = _blocks(spark, sf_dir)
+    hits = blocks.staking_outputs(found)
+    kept = F.filter("tx", lambda t: F.col("height") % 11 != 5)
+    return blocks.missing_transactions(found.withColumn("tx", kept), hits)
 
 
 # ---------------------------------------------------------------- decoders
@@ -593,12 +637,18 @@ def _decode_one(spark, sf_dir, decoder):
     if decoder in ADDRESS_FORMS:
         cat = with_addresses(cat, ADDRESS_FORMS[decoder])
     source = DECODER_SOURCES[decoder]
-    row = (source, source, decoder, source in source_config.KEEP_ZERO, False, False, None, None, None, None)
+    if decoder == "asset_string":
+        # Its payloads name symbols, which only such slugs have.
+        slug = F.expr("concat('Proj-Tok', substr(token, 7), '_', network)")
+        impls = cat.token_implementations.withColumn("slug", slug)
+        cat = Catalog(cat.spark, {**cat.tables, "token_implementations": impls}, cat.as_of)
+    row = (source, None, decoder, source in source_config.KEEP_ZERO, False, False, None, None, None, None)
     return decode.decode_observations(
         cat,
         fixtures.polls(spark, sf_dir, decoder, source),
         source_config.source_config(spark, [row]),
         [decoder],
+        fixtures.object_polls(spark, sf_dir) if decoder == "coin_value" else None,
     )
 
 
@@ -614,18 +664,22 @@ for _decoder in DECODER_SOURCES:
     _decoder_query(_decoder)
 
 
-@query("decode_evm_reserve")
-def decode_evm_reserve(spark, sf_dir):
+def _reserve_polls(spark, sf_dir):
     """Events as polls of the reserves, each of some supplier and brand."""
-    cat = fixtures.catalog(spark, sf_dir)
     suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet")
     total = suppliers.agg(F.max("s_suppkey")).scalar()
-    polls = fixtures.poll_base(spark, sf_dir).select(
+    return fixtures.poll_base(spark, sf_dir).select(
         "seq",
         ((F.col("seq") % total + 1) * 100 + F.col("b")).cast("int").alias("reserve_implementation_id"),
+        "effective_day",
         F.expr(fixtures.PAYLOADS["evm_hex"]).alias("payload"),
         "status",
     )
+
+
+@query("decode_evm_reserve")
+def decode_evm_reserve(spark, sf_dir):
+    cat, polls = fixtures.catalog(spark, sf_dir), _reserve_polls(spark, sf_dir)
     decoded = decode.decode_reserves(cat, polls)
     kept = F.when(F.col("reason").isNull(), F.col("balance"))
     return decoded.select(

@@ -5,10 +5,13 @@ from __future__ import annotations
 import datetime as dt
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from satlake.schemas import BASE_TABLES, schema
+from satlake.sources.tables import MONTH, is_table, read_monthly
+
+FACTS = ("token_balances", "reserve_balances")
 
 # A dimension is broadcast by hint only up to this many rows; beyond it Spark
 # picks the join from its own size estimates and run-time shuffle sizes.
@@ -17,6 +20,11 @@ BROADCAST_ROWS = 200_000
 PERIOD_FILTER = re.compile(r"^eq\.(.+)$")
 
 
+def counted(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast if its counted rows allow it."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 class Catalog:
     """Base tables of the data model as DataFrames.
 
@@ -32,11 +40,17 @@ class Catalog:
         self.tables = dict(tables)
         self.as_of = as_of
         self._counts: dict[str, int] = {}
+        # Facts that lie in month partitions, with their month.
+        self.monthly: dict[str, DataFrame] = {}
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str, as_of: dt.date | None = None) -> Catalog:
-        """Scan the base tables below ``root`` with their fixed schemas."""
-        return cls(spark, {t: scan_table(spark, root, t) for t in BASE_TABLES}, as_of)
+        """Scan the base tables below ``root`` with their fixed schemas, flat or in months."""
+        monthly = {t: read_monthly(spark, f"{root}/{t}", t) for t in FACTS if is_table(spark, f"{root}/{t}")}
+        tables = {t: monthly[t].drop(MONTH) if t in monthly else scan_table(spark, root, t) for t in BASE_TABLES}
+        cat = cls(spark, tables, as_of)
+        cat.monthly = monthly
+        return cat
 
     def __getattr__(self, name: str) -> DataFrame:
         tables = self.__dict__.get("tables", {})
@@ -48,6 +62,14 @@ class Catalog:
     def as_of_column(self):
         return F.current_date() if self.as_of is None else F.lit(self.as_of)
 
+    def on_days(self, table: str, days: list[Column]) -> DataFrame:
+        """Rows of a fact table on some days; constant days prune its months."""
+        dated = F.col("date").isin(*days)
+        if table not in self.monthly:
+            return self.tables[table].where(dated)
+        months = [F.date_format(d, "yyyy-MM") for d in days]
+        return self.monthly[table].where(F.col(MONTH).isin(*months) & dated).drop(MONTH)
+
     def dimension_rows(self, table: str) -> int:
         """Size of a dimension, counted once per catalog (file footers only)."""
         if table not in self._counts:

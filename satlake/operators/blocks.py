@@ -62,9 +62,11 @@ def distinct_first_txid(hits: DataFrame, order: list[str]) -> DataFrame:
 def lookup_transactions(blocks: DataFrame, hits: DataFrame) -> DataFrame:
     """Hits joined back to their transaction; ``found`` is NULL where there is none.
 
-    Transactions are cut to hash, id and first value before they meet the hits.
+    Only blocks of a hit are unnested, and their transactions are cut to hash,
+    id and first value before they meet the hits.
     """
-    transactions = blocks.select(
+    wanted = hits.select(F.col("block_hash").alias("hash")).distinct()
+    transactions = blocks.join(wanted, "hash", "left_semi").select(
         F.col("hash").alias("block_hash"), F.explode("tx").alias("tx")
     ).select(
         "block_hash",
@@ -104,3 +106,16 @@ def staking_outputs_onepass(blocks: DataFrame, prefix: str = STAKING_PREFIX) ->
         ["block_height", "block_hash", "tx_index", "vout_index"],
         ["block_height", F.col("first_value").alias("value")],
     ).select("block_height", "txid", "value")
+
+
+def skipped_blocks(blocks: DataFrame, start: int, stop: int) -> DataFrame:
+    """Heights of [start, stop] to scan again: no block landed, or one without hash or transactions."""
+    whole = F.col("hash").isNotNull() & F.col("tx").isNotNull()
+    landed = blocks.groupBy("height").agg(F.max(whole).alias("whole"))
+    heights = blocks.sparkSession.range(start, stop + 1).withColumnRenamed("id", "height")
+    reason = F.when(F.col("whole").isNull(), "absent").otherwise("malformed")
+    return (
+        heights.join(landed, "height", "left")
+        .where(~F.coalesce("whole", F.lit(False)))
+        .select("height", reason.alias("reason"))
+    )

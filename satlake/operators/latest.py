@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -17,14 +19,17 @@ def latest_by(df: DataFrame, key: str, order: str, *carried: str) -> DataFrame:
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(*picks, F.max(order).alias(order))
 
 
-def latest_with_ties(df: DataFrame, key: str, order: str) -> DataFrame:
+def latest_with_ties(
+    df: DataFrame, key: str, order: str, small: Callable[[DataFrame], DataFrame] = lambda tops: tops
+) -> DataFrame:
     """Every row that carries its key's greatest ``order`` value.
 
-    The maxima are aggregated before the shuffle; the join is on (key, order),
-    so the old rows of a hot key spread over all tasks and then drop out.
+    The maxima are aggregated before the shuffle.  ``small`` may mark them for
+    broadcast, so that old rows are dropped where they are read; otherwise the
+    join is on (key, order), over which the rows of a hot key spread.
     """
     tops = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(order).alias(order))
-    return df.join(tops, [key, order], "inner")
+    return df.join(small(tops), [key, order], "inner")
 
 
 def first_per_key(df: DataFrame, key: str, order: list[str], carried: list[str]) -> DataFrame:

@@ -4,17 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from satlake.session import fresh_path
+
 # Groups up to this many rows are ranked by a plain window in one task.
 SINGLE_TASK_ROWS = 1_000_000
 
-_BUCKETS_PER_DECADE = 512
-_ZERO_BUCKET_GAP = 200_000
-_NULL_BUCKET = 1_000_000
-
 
 def with_rank(
     df: DataFrame,
@@ -34,50 +32,44 @@ def with_rank(
     return rank_by_counts(df, value, name, within)
 
 
-def value_bucket(value: Column) -> Column:
-    """Order-preserving bucket of a number: sign and a slice of its magnitude.
-
-    The number of buckets is fixed by the number format (about 512 per power
-    of ten), whatever the data.  Equal values share a bucket and a greater
-    value never has a smaller bucket.
-    """
-    magnitude = F.floor(F.log10(F.abs(value).cast("double")) * _BUCKETS_PER_DECADE).cast("bigint")
-    return (
-        F.when(value.isNull(), F.lit(_NULL_BUCKET).cast("bigint"))
-        .when(value == 0, F.lit(0).cast("bigint"))
-        .when(value > 0, magnitude + _ZERO_BUCKET_GAP)
-        .otherwise(-(magnitude + _ZERO_BUCKET_GAP))
-    )
-
-
 def rank_by_counts(
     df: DataFrame, value: str, name: str = "rank", within: Sequence[str] = ()
 ) -> DataFrame:
-    """Rank from counts per distinct value, counts per bucket and running sums.
+    """Rank from counts per distinct value, put together from ranges of values.
 
     Rows of one value are counted before the shuffle, so ties cannot make a
-    task heavy.  Only bucket totals (bounded by the format) meet in one task.
+    task heavy.  The counts are dealt by ranges of the value, however narrow a
+    band the values lie in, and fixed by a written table; a rank is the rows
+    before it in its range plus those of the ranges before, of which there is
+    one row per task.  The rows then join back on the value, where a value
+    that fills much of the table is split by the run-time skew join.
     """
     within = list(within)
-    counts = (
+    spark = df.sparkSession
+    order = [*[F.col(c).asc() for c in within], F.col(value).desc_nulls_first()]
+    path = fresh_path(spark, "rank-counts")
+    (
         df.groupBy(*within, value)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bucket", value_bucket(F.col(value)))
+        .repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order)
+        .withColumn("_range", F.spark_partition_id())
+        .write.parquet(path)
     )
-    above = Window.partitionBy(*within).orderBy(F.col("_bucket").desc())
-    offsets = (
-        counts.groupBy(*within, "_bucket")
+    counts = spark.read.parquet(path)
+    earlier = Window.partitionBy(*within).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        counts.groupBy(*within, "_range")
         .agg(F.sum("_n").alias("_total"))
-        .withColumn("_before", F.sum("_total").over(above.rowsBetween(Window.unboundedPreceding, -1)))
+        .withColumn("_before", F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
         .drop("_total")
     )
     inside = (
-        Window.partitionBy(*within, "_bucket")
+        Window.partitionBy(*within, "_range")
         .orderBy(F.col(value).desc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    before = F.coalesce(F.col("_before"), F.lit(0)) + F.coalesce(F.sum("_n").over(inside), F.lit(0))
-    positions = _join_null_safe(counts, offsets, [*within, "_bucket"]).withColumn(name, before + 1)
+    before = F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
+    positions = _join_null_safe(counts, starts, [*within, "_range"]).withColumn(name, before + 1)
     positions = positions.select(*within, value, F.col(name).cast("bigint").alias(name))
     return _join_null_safe(df, positions, [*within, value])
 

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from satlake.catalog import Catalog
+from satlake.catalog import Catalog, counted
 from satlake.functions.decoders import DECIMAL, DECODERS, HEX, HTTP_OK, INTEGER, Decoder
 from satlake.functions.scalars import (
     end_of_day_seconds,
@@ -87,8 +87,12 @@ def _any(names: Iterable[str], wanted: Callable[[Decoder], bool]) -> Column:
     return F.col("decoder").isin(*hits) if hits else F.lit(False)
 
 
-def rejection_reason(decoders: Iterable[str] = tuple(DECODERS)) -> Column:
-    """Why a row is not stored; NULL for a valid row. The first reason that applies."""
+def rejection_reason(decoders: Iterable[str] = tuple(DECODERS), scoped: bool = True) -> Column:
+    """Why a row is not stored; NULL for a valid row. The first reason that applies.
+
+    ``scoped`` also asks for a known implementation, of the network that the
+    source polls, and for a day to store it under.
+    """
     names = list(decoders)
     address, decimals = F.col("token_address"), F.col("token_decimals")
     no_address = _any(names, lambda d: d.needs_address) & (F.coalesce(address, F.lit("")) == "")
@@ -110,10 +114,18 @@ def rejection_reason(decoders: Iterable[str] = tuple(DECODERS)) -> Column:
         F.col("found").try_cast("double").isNotNull()
     )
     only = F.col("only_token")
+    reason = F.when(F.col("decoder").isNull(), "unknown_source").when(
+        only.isNotNull() & (F.col("token_implementation") != only), "unsupported_token"
+    )
+    if scoped:
+        polled = F.when(F.col("stored_as").isNull(), F.col("network"))
+        reason = (
+            reason.when(F.col("known").isNull(), "unknown_implementation")
+            .when(polled.isNotNull() & ~polled.eqNullSafe(F.col("impl_network")), "wrong_network")
+            .when(F.col("effective_day").isNull(), "no_day")
+        )
     return (
-        F.when(F.col("decoder").isNull(), "unknown_source")
-        .when(only.isNotNull() & (F.col("token_implementation") != only), "unsupported_token")
-        .when(no_address, "no_address")
+        reason.when(no_address, "no_address")
         .when(bad_form, "bad_address")
         .when(no_decimals, "no_decimals")
         .when(F.coalesce(bad_status, F.lit(True)), "bad_status")
@@ -132,7 +144,7 @@ def with_config(observations: DataFrame, config: DataFrame) -> DataFrame:
     sources is stored under a slug of its own.
     """
     special = F.col("token_implementation") == F.col("special_token")
-    joined = observations.join(F.broadcast(config), "source", "left")
+    joined = observations.join(counted(config), "source", "left")
     return joined.withColumns(
         {
             "decoder": F.when(special, F.col("special_decoder")).otherwise(F.col("decoder")),
@@ -146,20 +158,52 @@ def decode_observations(
     observations: DataFrame,
     config: DataFrame,
     decoders: Iterable[str] = tuple(DECODERS),
+    objects: DataFrame | None = None,
 ) -> DataFrame:
     """Every observation with its balance and, where it has none, the reason.
 
-    A scan with two joins against small sides; nothing is shuffled unless the
-    implementations outgrow a broadcast.
+    A scan with joins against small sides; nothing is shuffled unless the
+    implementations outgrow a broadcast.  Where a source has a second place to
+    look, a token that the first one does not serve is read there: a token
+    without an address from its latest reserve, a coin without a supply from
+    its listed ``objects`` (object_id, payload).
     """
     names = list(decoders)
     impls = cat.token_implementations.select(
-        F.col("slug").alias("token_implementation"), "token_address", "token_decimals"
+        F.col("slug").alias("token_implementation"),
+        F.col("network").alias("impl_network"),
+        "token_address",
+        "token_decimals",
+        F.lit(True).alias("known"),
     )
     rows = with_config(observations, config).join(
         cat.per_implementation(impls), "token_implementation", "left"
     )
-    return _computed(read_numbers(rows, names), reason=rejection_reason(names))
+    decoded = _computed(read_numbers(rows, names), reason=rejection_reason(names))
+    if "explorer_self" in names:
+        held = impl_fallback_reserve(cat).select(
+            F.col("derivative_token").alias("token_implementation"), F.col("balance").alias("_other")
+        )
+        decoded = _served(cat, decoded, held, "explorer_self", "no_address")
+    if "coin_value" in names and objects is not None:
+        listed = object_fallback(cat.token_implementations, objects).select(
+            F.col("slug").alias("token_implementation"), F.col("balance").alias("_other")
+        )
+        decoded = _served(cat, decoded, listed, "coin_value", "no_result")
+    return decoded
+
+
+def _served(cat: Catalog, decoded: DataFrame, other: DataFrame, decoder: str, reason: str) -> DataFrame:
+    """Rows of one decoder and reason take the balance of the other place, if it has one."""
+    joined = decoded.join(cat.per_implementation(other), "token_implementation", "left")
+    served = (F.col("decoder") == decoder) & (F.col("reason") == reason) & F.col("_other").isNotNull()
+    served = F.coalesce(served, F.lit(False))
+    return joined.withColumns(
+        {
+            "balance": F.when(served, F.col("_other").cast(BALANCE)).otherwise(F.col("balance")),
+            "reason": F.when(~served, F.col("reason")),
+        }
+    ).drop("_other")
 
 
 _VALID = (
@@ -213,7 +257,7 @@ def decode_reserves(cat: Catalog, observations: DataFrame) -> DataFrame:
     )
     names = ["evm_hex"]
     reason = F.when(F.col("collateral_token").isNull(), "no_collateral_token").otherwise(
-        rejection_reason(names)
+        rejection_reason(names, scoped=False)
     )
     return _computed(read_numbers(rows, names), reason=reason).drop(
         "token_implementation", "decoder", "only_token", "keep_zero"
@@ -240,19 +284,23 @@ def stamp_runs(runs: DataFrame, config: DataFrame) -> DataFrame:
 
     A run of the current day reads the newest state, a final run the last
     second of its day; some sources read the start of the day in both cases.
-    ``runs`` has source, invocation and observed_at.
+    ``runs`` has source, invocation and observed_at.  A run of an unknown source
+    has no day, and ``reason`` says so.
     """
-    rules = config.select("source", "final_only", "start_of_day")
+    rules = config.select("source", "final_only", "start_of_day", F.lit(True).alias("_known"))
     observed_day = F.col("observed_at").cast("date")
-    stamped = runs.join(F.broadcast(rules), "source").withColumn(
-        "day", effective_day(observed_day, F.col("invocation"), F.col("final_only"))
+    day = effective_day(observed_day, F.col("invocation"), F.col("final_only"))
+    stamped = (
+        runs.join(counted(rules), "source", "left")
+        .withColumn("reason", F.when(F.col("_known").isNull(), "unknown_source"))
+        .withColumn("day", F.when(F.col("_known"), day))
     )
     second = (
         F.when(F.col("start_of_day"), start_of_day_seconds(F.col("day")))
         .when(F.col("day") == observed_day, epoch_seconds(F.col("observed_at")))
         .otherwise(end_of_day_seconds(F.col("day")))
     )
-    return stamped.withColumn("block_second", second).drop("final_only", "start_of_day")
+    return stamped.withColumn("block_second", second).drop("final_only", "start_of_day", "_known")
 
 
 def poll_order(is_final: Column, observed_at: Column, seq: Column) -> Column:

@@ -20,14 +20,15 @@ def _anchor(cat: Catalog, index: int):
 def past_balances(cat: Catalog) -> DataFrame:
     """Balances on the four comparison days, tagged with their period.
 
-    The four days are constants of the plan, so the filter reaches the scan.
+    The four days are constants of the plan, so the filter reaches the scan
+    and leaves out the other months.
     """
     day = F.col("date")
     anchors = [_anchor(cat, i) for i in range(4)]
     period = F.lit(None).cast("string")
     for anchor in reversed(anchors):
         period = F.when(day == anchor["date"], anchor["period"]).otherwise(period)
-    return cat.token_balances.where(day.isin(*[a["date"] for a in anchors])).select(
+    return cat.on_days("token_balances", [a["date"] for a in anchors]).select(
         "token_implementation", F.col("balance").alias("past_balance"), period.alias("period")
     )
 

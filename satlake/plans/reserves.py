@@ -36,7 +36,7 @@ def recent_reserves(cat: Catalog) -> DataFrame:
     summed instead of the whole history.
     """
     latest = latest_with_ties(
-        cat.reserve_balances.select(*_GROUP, "balance"), "derivative_token", "date"
+        cat.reserve_balances.select(*_GROUP, "balance"), "derivative_token", "date", cat.per_implementation
     )
     return _summed(latest).select(
         F.col("derivative_token").alias("token_implementation"),
@@ -62,8 +62,14 @@ def adjusted_reserves(cat: Catalog, collapse: bool = False) -> DataFrame:
     return subtract_children(recent, totals, ["token_implementation"], TOTAL)
 
 
+def _rows_bound(cat: Catalog) -> int:
+    """Latest rows: one per implementation, or per reserve where it has several."""
+    return cat.implementation_rows + cat.dimension_rows("reserve_implementations")
+
+
 def current_reserves_by_tokenimpl(cat: Catalog, collapse: bool = False) -> DataFrame:
-    ranked = with_rank(describe(cat, adjusted_reserves(cat, collapse)), "balance")
+    rows = describe(cat, adjusted_reserves(cat, collapse))
+    ranked = with_rank(rows, "balance", max_group_rows=_rows_bound(cat))
     return ranked.select("token_implementation", "balance", "date", *DESCRIPTION, "rank")
 
 
@@ -87,4 +93,4 @@ def current_by_tokenimpl(cat: Catalog, collapse: bool = False) -> DataFrame:
         F.greatest("supply_date", "reserve_date").alias("latest_date"),
         *DESCRIPTION,
     )
-    return with_rank(rows, "supply_balance")
+    return with_rank(rows, "supply_balance", max_group_rows=_rows_bound(cat))

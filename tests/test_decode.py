@@ -6,10 +6,12 @@ import pytest
 from conftest import day, table
 from pyspark.sql import functions as F
 
+from satlake.catalog import Catalog
 from satlake.functions import scalars
 from satlake.operators.quality import fill_defaults
-from satlake.plans import decode
+from satlake.plans import decode, ingest
 from satlake.schemas import schema
+from satlake.sources import tables
 from satlake.sources.source_config import default_sources, source_config
 
 EVM = "0x" + "ab" * 20
@@ -127,7 +129,11 @@ def cat(build):
         .impl("Rootstock-RBTC", "Rootstock", address=EVM).impl("Botanix-BTC", "Botanix", address=EVM)
         .impl("Unit-UBTC", "Hyperliquid", address=EVM)
         .impl("M", "Mezo").impl("Sol", "Solana").impl("Stk", "Starknet").impl("P", "Stacks", address="SP1.tok")
-        .impl("P1", "Stacks", address="SP1").impl("Su", "Sui").impl("Tr", "Tron").impl("ck", "IC").impl("Lq", "Liquid")
+        .impl("P1", "Stacks", address="SP1").impl("Su", "Sui").impl("Tr", "Tron").impl("ck", "InternetComputer").impl("Lq", "Liquid")
+        .impl("Proj-TOK", "Libre").impl("L", "Lightning").impl("B", "Babylon").impl("Core-stakedBTC", "staking")
+        .impl("d", "any", slug="d").impl("Mnone", "Mezo", address=None).impl("Mheld", "Mezo", address="")
+        .reserve_impl(5, "Mheld_Mezo", "T_Arbitrum").reserve("Mheld_Mezo", "2024-01-01", "3", rid=5)
+        .reserve("Mheld_Mezo", "2024-01-02", "4", rid=5, address="b")
         .build()
     )
 
@@ -182,7 +188,7 @@ def test_other_payloads(spark, cat):
         ("Tron", "Tr_Tron", {"totalSupply": 12.5}, 200),
         ("Tron", "Tr_Tron", "7", 200),
         ("Tron", "Tr_Tron", "7", 503),
-        ("InternetComputer", "ck_IC", "x 1\nledger_total_supply 250000000 1\n", 200),
+        ("InternetComputer", "ck_InternetComputer", "x 1\nledger_total_supply 250000000 1\n", 200),
         ("Libre", "Proj-TOK_Libre", {"TOK": {"supply": "1.25 TOK"}}, 200),
         ("Libre", "Proj-TOK_Libre", {"OTHER": {"supply": "1.25 TOK"}}, 200),
         ("Lightning", "L_Lightning", {"networkcapacity": 100000001}, 200),
@@ -200,6 +206,78 @@ def test_other_payloads(spark, cat):
     ]
 
 
+def test_scope_of_a_poll(spark, cat):
+    assert run(
+        spark, cat,
+        ("Tron", "nobody", "7", 200),
+        ("Lightning", "nobody", {"networkcapacity": 1}, 200),
+        ("Base", "T_Arbitrum", {"result": "0x1"}, 200),
+        ("Hyperliquid", "T_Arbitrum", {"result": "0x1"}, 200),
+    ) == [
+        (None, "unknown_implementation"), (None, "unknown_implementation"), (None, "wrong_network"),
+        (None, "unsupported_token"),
+    ]
+    undated = polls(spark, ("Tron", "Tr_Tron", "7", 200)).withColumn("effective_day", F.lit(None).cast("date"))
+    assert table(decode.decode_observations(cat, undated, source_config(spark)), "reason") == [("no_day",)]
+
+
+def test_second_places_to_look(spark, cat):
+    assert run(
+        spark, cat,
+        ("Mezo", "Mheld_Mezo", {}, 500),
+        ("Mezo", "Mnone_Mezo", {"total_supply": "1", "decimals": "1"}, 200),
+    ) == [(D("4"), None), (None, "no_address")]
+    listed = cat.token_implementations.withColumn("reserve_implementations", F.lit('["o1"]'))
+    value = {"data": {"content": {"fields": {"treasury_cap": {"fields": {"total_supply": {"fields": {"value": "500000000"}}}}}}}}
+    objects = spark.createDataFrame([("o1", json.dumps({"result": value}))], "object_id string, payload string")
+    sui = Catalog(spark, {**cat.tables, "token_implementations": listed})
+    rows = polls(spark, ("Sui", "Su_Sui", {"result": {}}, 200), ("Sui", "Su_Sui", {"result": {"value": "7"}}, 200))
+    decoded = decode.decode_observations(sui, rows, source_config(spark), objects=objects)
+    assert table(decoded, "seq", "balance", "reason") == [(0, D("5.00000000"), None), (1, D("0.00000007"), None)]
+
+
+def test_runs_of_unknown_sources_are_named(spark):
+    runs = spark.createDataFrame([("Nowhere", "final", dt.datetime(2024, 3, 1))], "source string, invocation string, observed_at timestamp_ntz")
+    assert table(decode.stamp_runs(runs, source_config(spark)), "day", "reason") == [(None, "unknown_source")]
+
+
+def test_polls_end_as_balances_and_rejects(spark, cat, tmp_path):
+    values, balances, dead = (str(tmp_path / n) for n in ("values", "balances", "dead"))
+    tables.create_table(spark, values, "daily_values")
+    tables.create_table(spark, balances, "token_balances")
+    good, bad = ("Arbitrum", "T_Arbitrum", {"result": hex(10**8)}, 200), ("Arbitrum", "T_Arbitrum", {"error": {}}, 200)
+    stamp = F.lit("2024-03-01 00:00:00").cast("timestamp_ntz")
+    for _ in range(2):
+        ingest.ingest_polls(cat, polls(spark, good, bad), source_config(spark), values, balances, dead, stamp)
+        assert table(tables.read_table(spark, balances, "token_balances"), "token_implementation", "balance") == [
+            ("T_Arbitrum", D("1.00000000"))
+        ]
+        assert table(spark.read.parquet(dead), "seq", "reason") == [(1, "no_result")]
+    landing = str(tmp_path / "landing")
+    polls(spark, ("Arbitrum", "T_Arbitrum", {"result": hex(2 * 10**8)}, 200), bad).withColumn("seq", F.col("seq") + 10).write.parquet(landing)
+    landed = spark.readStream.schema(schema("observations")).parquet(landing)
+    ingest.stream_polls(cat, landed, source_config(spark), values, balances, dead + "2", str(tmp_path / "c"), stamp)
+    assert table(tables.read_table(spark, balances, "token_balances"), "balance") == [(D("2.00000000"),)]
+    assert table(spark.read.parquet(dead + "2"), "seq") == [(11,)]
+
+
+def test_reserve_polls_end_as_balances(spark, cat, tmp_path):
+    balances, dead = str(tmp_path / "balances"), str(tmp_path / "dead")
+    tables.create_table(spark, balances, "reserve_balances")
+    rows = spark.createDataFrame(
+        [(1, 5, day("2024-01-01"), '{"result":"0x5f5e100"}', 200), (2, 5, day("2024-01-01"), "{}", 200), (3, 9, day("2024-01-01"), "{}", 200)],
+        "seq long, reserve_implementation_id int, date date, payload string, status int",
+    )
+    networks = [r.reserve_network for r in cat.reserve_implementations.collect()]
+    stamp = F.lit("2024-03-01 00:00:00").cast("timestamp_ntz")
+    ingest.ingest_reserves(cat, rows, balances, dead, stamp, networks=networks)
+    assert table(tables.read_table(spark, balances, "reserve_balances"), "balance") == [(D("1.00000000"),)]
+    ingest.ingest_reserves(cat, rows, balances, dead, stamp, networks=["elsewhere"])
+    assert table(spark.read.parquet(dead), "seq", "reason") == [
+        (1, "unsupported_network"), (2, "no_result"), (3, "no_collateral_token"),
+    ]
+
+
 def test_valid_and_quarantined_split_all_rows(spark, cat):
     rows = polls(spark, ("Arbitrum", "T_Arbitrum", {"result": "0x1"}, 200), ("Arbitrum", "T_Arbitrum", "bad", 200))
     decoded = decode.decode_observations(cat, rows, source_config(spark))

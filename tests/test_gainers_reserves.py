@@ -74,6 +74,28 @@ def test_date_filter_of_the_past_reaches_the_scan(spark, build, tmp_path):
     assert "In(date, [2023-03-31,2024-02-29,2024-03-24,2024-03-30])" in pushed
 
 
+def test_the_past_prunes_the_months_of_an_upserted_table(spark, build, tmp_path):
+    from satlake.catalog import Catalog
+    from satlake.schemas import BASE_TABLES
+    from satlake.sources.tables import write_monthly
+
+    b = one_token(build).balance("T_A", "2024-03-31", "10").balance("T_A", "2024-03-24", "4").balance("T_A", "2022-01-01", "1")
+    small = b.build()
+    for name in BASE_TABLES:
+        if name in ("token_balances", "reserve_balances"):
+            write_monthly(small.tables[name], str(tmp_path / name))
+        else:
+            small.tables[name].write.parquet(str(tmp_path / name))
+    cat = Catalog.from_parquet(spark, str(tmp_path), b.as_of)
+    assert "month" not in cat.token_balances.columns
+    past = gainers.past_balances(cat)
+    plan = past._jdf.queryExecution().executedPlan().toString()
+    assert "month#" in plan[plan.index("PartitionFilters") : plan.index("PushedFilters")]
+    assert sorted(map(tuple, past.collect())) == sorted(map(tuple, gainers.past_balances(small).collect()))
+    name = "top_gainers_by_tokenimpl_absolute"
+    assert sorted(map(str, cat.view(name).collect())) == sorted(map(str, small.view(name).collect()))
+
+
 def reserve_case(build):
     b = build().network("native").network("A").network("B").token("T").token("W")
     b.impl("T", "A", "native").impl("T", "B", "A").impl("W", "A", "native")

@@ -26,6 +26,25 @@ def test_counting_rank_equals_window_rank(spark):
         assert table(ranking.with_rank(df, "v", within=within, max_group_rows=900), "i", "rank") == want
 
 
+def test_rank_of_a_narrow_band_with_a_heavy_tie(spark):
+    # All values within a thousandth of each other, and a third of the rows alike.
+    df = spark.range(30_000).selectExpr(
+        "id", "cast(case when id % 3 = 0 then 1000000.5 else 1000000 + id / 30000D end as decimal(20,8)) as v"
+    )
+    ranked = ranking.rank_by_counts(df, "v")
+    want = df.withColumn("want", F.rank().over(Window.orderBy(F.col("v").desc_nulls_first())))
+    assert ranked.join(want, ["id"]).where("rank <> want").count() == 0
+    assert ranked.count() == 30_000
+
+
+def test_skipped_blocks(spark):
+    rows = [(1, "a", 0, []), (2, None, 0, []), (4, "d", 0, None), (4, "d", 0, [])]
+    found = spark.createDataFrame(rows, schema("blocks"))
+    assert table(blocks.skipped_blocks(found, 0, 5), "height", "reason") == [
+        (0, "absent"), (2, "malformed"), (3, "absent"), (5, "absent"),
+    ]
+
+
 def test_latest_forms(spark):
     df = spark.createDataFrame(
         [("a", day("2024-01-01"), 1), ("a", day("2024-01-02"), 2), ("a", day("2024-01-02"), 3), (None, day("2024-01-09"), 4)],
