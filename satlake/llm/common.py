@@ -25,6 +25,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def once(value: Column, name: str) -> Column:
+    """A column that later filters and projections take as it is.
+
+    A generator of exactly one row keeps them from writing its expression out
+    again for every use, which in a lambda means for every element.
+    """
+    return F.explode(F.array(value)).alias(name)
+
+
 _shipped: set[str] = set()
 
 

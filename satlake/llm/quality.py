@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from satlake.llm.common import BLANKS, WORD, staged
+from satlake.llm.common import BLANKS, WORD, once, staged
 
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 5
@@ -132,8 +132,8 @@ def measured(docs: DataFrame) -> DataFrame:
         "n_capitals": F.regexp_count("__text", F.lit("[A-Z]")),
         "n_stops": _count_of(".", F.col("__text")),
     }
-    out = out.withColumn("__q", F.struct(*[values[m].cast("bigint").alias(m) for m in MEASURES]))
-    return out.select(*docs.columns, "__q")
+    q = F.struct(*[values[m].cast("bigint").alias(m) for m in MEASURES])
+    return out.select(*[f"`{c}`" for c in docs.columns], once(q, "__q"))
 
 
 def base_failed() -> Column:
@@ -154,22 +154,20 @@ class Model:
             for i in range(len(RULES))
         )
 
-    def weights(self, votes: list[Column]) -> list[Column]:
-        """Likelihood of the votes with each kind; who abstains says nothing."""
+    def weights(self, votes: list[str]) -> list[str]:
+        """SQL of the votes' likelihood with each kind; who abstains says nothing."""
         out = []
         for share, rates in zip(self.shares, self.bad):
-            log = F.lit(math.log(share))
+            terms = [f"({math.log(share)!r}D)"]
             for vote, rate in zip(votes, rates):
-                log = log + F.when(vote == -1, F.lit(math.log(rate))).when(vote == 1, F.lit(math.log(1 - rate))).otherwise(0.0)
-            out.append(F.exp(log))
+                terms.append(f"CASE {vote} WHEN -1 THEN {math.log(rate)!r}D WHEN 1 THEN {math.log(1 - rate)!r}D ELSE 0D END")
+            out.append(f"exp({' + '.join(terms)})")
         return out
 
-    def probability(self, votes: list[Column]) -> Column:
+    def probability(self, votes: list[str]) -> Column:
+        """Of being good, given the votes."""
         weights = self.weights(votes)
-        total = weights[0]
-        for w in weights[1:]:
-            total = total + w
-        return weights[0] / total
+        return F.expr(f"({weights[0]}) / ({' + '.join(weights)})")
 
 
 def _believed() -> Model:
@@ -201,7 +199,7 @@ def fit(voted: DataFrame, rounds: int = ROUNDS) -> Model:
         sums.append(F.sum(F.when(vote == -1, F.col("mass")).otherwise(0.0)).alias(f"bad{i}"))
         sums.append(F.sum(F.when(vote != 0, F.col("mass")).otherwise(0.0)).alias(f"said{i}"))
     for _ in range(rounds):
-        weighed = patterns.select(*names, "count", F.array(*model.weights(said)).alias("weights"))
+        weighed = patterns.select(*names, "count", F.expr(f"array({', '.join(model.weights(names))})").alias("weights"))
         whole = F.aggregate("weights", F.lit(0.0), lambda a, b: a + b)
         rows = (
             weighed.select(*names, "count", whole.alias("whole"), F.posexplode("weights").alias("kind", "weight"))
@@ -224,7 +222,7 @@ def fit(voted: DataFrame, rounds: int = ROUNDS) -> Model:
 
 def judged(voted: DataFrame, model: Model) -> DataFrame:
     """Add base_failed, probability and kept."""
-    probability = model.probability([F.col(f"vote_{rule.name}") for rule in RULES])
+    probability = model.probability([f"vote_{rule.name}" for rule in RULES])
     return (
         voted.withColumn("base_failed", base_failed())
         .withColumn("probability", probability)
@@ -247,4 +245,4 @@ def kept_documents(docs: DataFrame) -> DataFrame:
     model = fit(votes(measured(docs.select("text")).select("__q.*")))
     measures = measured(docs.withColumn("__row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])).select("__row", F.col("text")))
     found = judged(votes(measures.select("__row", "__q.*")), model)
-    return found.where("kept").select("__row.*")
+    return found.select("__row", once(F.col("kept"), "__kept")).where("__kept").select("__row.*")
