@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from satlake.llm.common import WORD, WORD_SQL, few, staged, tasks
+from satlake.llm.common import WORD, WORD_SQL, few, once, staged, tasks
 
 #: Words in a block, and output shards.
 BLOCK_WORDS = 64
@@ -172,7 +172,7 @@ def drawn(quota: DataFrame, shards: int, seed: int) -> DataFrame:
         F.explode(F.sequence("run", F.least(F.col("run") + RUN_SLOTS, F.col("slots")) - 1)).alias("of_source"),
     )
     passed = F.floor(F.col("of_source") / F.col("blocks"))
-    slots = permuted(slots, "place", F.col("first") + F.col("of_source"), F.lit(total), F.lit(seed))
+    slots = permuted(slots, "place", F.col("first") + F.col("of_source"), F.lit(max(1, total)), F.lit(seed))
     slots = permuted(
         slots.withColumn("pass", passed.cast("int")),
         "block",
@@ -276,7 +276,7 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
         parts, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__digest"))
     )
     return (
-        joined.withColumn("__words", words)
+        joined.select("*", once(words, "__words"))
         .withColumn("text", text)
         .withColumn("n_chars", F.length("text").cast("bigint"))
         .select(*docs.columns)
