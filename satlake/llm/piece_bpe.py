@@ -33,8 +33,8 @@ BLANK = "▁"
 #: Longer stretches go through the heap, shorter ones through matrices.
 MATRIX_CHARS = 40
 #: Characters encoded at a time (one text at least), and stretches that a worker remembers.
-SLICE_CHARS = 4_000_000
-REMEMBERED = 500_000
+SLICE_CHARS = 1_000_000
+REMEMBERED = 200_000
 
 _EMPTY = -1
 
@@ -355,7 +355,7 @@ def encode_documents(
                     ids_digest.append(hashlib.sha256(ids.encode()).hexdigest())
                     text_digest.append(hashlib.sha256(text.encode()).hexdigest())
                     if with_ids:
-                        ids_lists.append(np.array(ids.split(",") if ids else [], np.int32))
+                        ids_lists.append(np.fromstring(ids, np.int32, sep=","))
                 columns = [part.column(i) for i in range(len(kept))]
                 columns += [pa.array(counts, pa.int64()), pa.array(ids_digest, pa.string()), pa.array(text_digest, pa.string())]
                 if with_ids:

@@ -53,7 +53,7 @@ LONG = LENGTH + PERIOD - 1
 BLOCK_BYTES = 8_000_000
 BUCKET_ROWS = 2_000_000
 #: Positions that are hashed at a time.
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 NULL_ID = -(1 << 63)
 
@@ -371,7 +371,7 @@ def blocks_table(docs: DataFrame, keep: list[str]) -> tuple[DataFrame, int]:
 def repeats(docs: DataFrame, keep: list[str], with_text: bool = False) -> DataFrame:
     """One row per document: ``keep`` columns, n_bytes, n_removed, n_spans, kept_sha256.
 
-    ``with_text`` adds ``kept``, the bytes that stay.
+    ``with_text`` adds ``kept``, what stays as text without characters that were cut.
     """
     ship(docs.sparkSession)
     blocks, buckets = blocks_table(docs, keep)
@@ -409,7 +409,7 @@ def repeats(docs: DataFrame, keep: list[str], with_text: bool = False) -> DataFr
         answers = _asked(sent, _answer_early, label)
     fields = [f"__keep{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)]
     fields += ["n_bytes bigint", "n_removed bigint", "n_spans bigint", "kept_sha256 string"]
-    fields += ["kept binary"] * with_text
+    fields += ["kept string"] * with_text
     found = by_block.cogroup(answers.groupBy("block")).applyInArrow(last, ", ".join(fields))
     for i, c in enumerate(keep):
         found = found.withColumnRenamed(f"__keep{i}", c)
@@ -439,7 +439,7 @@ def _result(block: Block, table: pa.Table, gone: np.ndarray, n_keep: int, with_t
     columns.append(pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()))
     names = [f"__keep{i}" for i in range(n_keep)] + ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
     if with_text:
-        columns.append(pa.array(kept, pa.binary()))
+        columns.append(pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()))
         names.append("kept")
     return pa.table(columns, names=names)
 
@@ -450,14 +450,5 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     A character of which only some bytes stay goes as a whole.
     """
     others = [c for c in docs.columns if c not in ("text", "n_chars")]
-    found = repeats(docs, others, with_text=True)
-
-    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index("kept")
-            text = pa.array([b.decode("utf-8", "ignore") for b in batch.column(at).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:at], text], names=[*batch.schema.names[:at], "text"])
-
-    fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in others] + ["text string"]
-    texts = found.select(*others, "kept").mapInArrow(decoded, ", ".join(fields))
-    return texts.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+    found = repeats(docs, others, with_text=True).withColumn("text", F.col("kept"))
+    return found.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
