@@ -1,15 +1,10 @@
-import hashlib
-
-import brute
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
-import corpus_pipeline
 from check import TABLES, normal
-from satlake.llm import quality
 from satlake.llm.oracles import ORACLES
-from satlake.llm.queries import QUERIES, vocabulary
+from satlake.llm.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -30,43 +25,3 @@ def test_query_equals_sql(spark, name):
     columns = [d[0] for d in cursor.description]
     assert sorted(columns) == sorted(df.columns)
     assert normal([tuple(r) for r in df.collect()], df.columns) == normal(cursor.fetchall(), columns)
-
-
-def test_pipeline_stage_by_stage(spark, tmp_path):
-    import sentencepiece
-
-    def run(k, docs):
-        corpus_pipeline.STAGES[k][1](spark, docs, SF_DIR).write.parquet(str(tmp_path / str(k)))
-        return spark.read.parquet(str(tmp_path / str(k)))
-
-    def texts(df):
-        return {r.doc_id: r.text for r in df.collect()}
-
-    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
-    kept = run(0, docs)
-    assert texts(kept) == {i: t for i, t in texts(docs).items() if i in {r.doc_id for r in quality.assess(docs).where("kept").collect()}}
-    unique = run(1, kept)
-    rows = sorted(texts(kept).items())
-    assert texts(unique) == {i: t for i, t in rows if i in brute.near_unique(rows)}
-    cut = run(2, unique)
-    assert texts(cut) == brute.without_repeats(sorted(texts(unique).items()))
-    mixed = run(3, cut)
-    assert all(df.columns == docs.columns for df in (kept, unique, cut, mixed))
-    size = {i: len(brute.words(t)) for i, t in texts(cut).items()}
-    taken = {i: len(brute.words(t)) for i, t in texts(mixed).items()}
-    assert all(0 < n <= 2 * size[i] for i, n in taken.items())
-    assert abs(sum(taken.values()) - 1.5 * sum(size.values())) < 0.02 * sum(size.values())
-    tokens = run(4, mixed).collect()
-    library = sentencepiece.SentencePieceProcessor(model_file=vocabulary())
-    given = texts(mixed)
-    assert {r.doc_id for r in tokens} == set(given)
-    for r in tokens:
-        want = library.encode(given[r.doc_id])
-        assert r.ids == want and r.n_tokens == len(want)
-        assert r.decoded_sha256 == hashlib.sha256(library.decode(want).encode()).hexdigest()
-
-
-def test_pipeline_takes_an_empty_table(spark, tmp_path):
-    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(0)
-    docs.write.parquet(str(tmp_path / "documents.parquet"))
-    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
