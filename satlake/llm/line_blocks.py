@@ -4,7 +4,8 @@ Markup is stripped to lines, one per block element; parts that are no article
 text (menus, adverts, forms, scripts, comments and the like) leave one empty
 line each.  Text lengths, without the text of links, are summed over sliding
 windows of lines.  A text starts where the sums surge and ends where they dive
-to nothing; the lines between are kept.
+to nothing; the lines between are kept.  This decides on every page: lines in
+an article or main element only weigh more than lines outside.
 
 Defined results: a null or empty page has no text; unclosed and stray tags are
 accepted; a page whose sums never surge keeps the run of its highest window;
@@ -23,9 +24,11 @@ from pyspark.sql import DataFrame
 
 from satlake.llm.common import ship
 
-#: Lines in a window, and the sum that counts as a surge where the page does not mark its article.
+#: Lines in a window, and the sum that counts as a surge.
 WINDOW = 3
 SURGE = 80
+#: What a character inside <article> or <main> weighs, that of a link as well.
+ARTICLE_WEIGHT = SURGE
 
 # Names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -86,10 +89,10 @@ def _left_out(name: str, rest: str, in_article: bool) -> bool:
 
 
 class _Lines:
-    """Lines of a page with their weight, and whether they are inside a marked article."""
+    """Lines of a page with their weight."""
 
     def __init__(self) -> None:
-        self.lines: list[tuple[str, int, bool]] = []
+        self.lines: list[tuple[str, int]] = []
         self.open: list[str] = []
         self.linked = 0
 
@@ -97,16 +100,17 @@ class _Lines:
         if self.open:
             text = " ".join(html.unescape("".join(self.open)).split())
             if text:
-                self.lines.append((text, max(0, len(text) - self.linked), inside))
+                weight = len(text) * ARTICLE_WEIGHT if inside else max(0, len(text) - self.linked)
+                self.lines.append((text, weight))
             self.open, self.linked = [], 0
 
     def gap(self, inside: bool) -> None:
         self.end(inside)
-        self.lines.append(("", 0, inside))
+        self.lines.append(("", 0))
 
 
-def page_lines(page: str) -> list[tuple[str, int, bool]]:
-    """(text, weight, inside a marked article) per block; parts left out are empty lines."""
+def page_lines(page: str) -> list[tuple[str, int]]:
+    """(text, weight) per block; parts left out are empty lines."""
     out = _Lines()
     stack: list[tuple[str, str]] = []  # name, and what the element does: "", article, link or out
     articles = links = outs = 0
@@ -198,15 +202,8 @@ def text_runs(weights: list[int], surge: int, window: int = WINDOW) -> list[tupl
 def main_text(page: str | None) -> str:
     """The article's lines, joined by one line feed."""
     lines = page_lines(page or "")
-    marked = any(inside and text for text, _, inside in lines)
-    if marked:
-        # The page says where its article is: what is outside weighs nothing, and any text surges.
-        kept = [(text, len(text)) if inside else ("", 0) for text, _, inside in lines]
-        runs = text_runs([w for _, w in kept], 1)
-    else:
-        kept = [(text, weight) for text, weight, _ in lines]
-        runs = text_runs([w for _, w in kept], SURGE)
-    return "\n".join(text for a, b in runs for text, _ in kept[a:b] if text)
+    runs = text_runs([weight for _, weight in lines], SURGE)
+    return "\n".join(text for a, b in runs for text, _ in lines[a:b] if text)
 
 
 def extract(pages: DataFrame) -> DataFrame:

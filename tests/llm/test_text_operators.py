@@ -312,6 +312,12 @@ def test_surge_and_dive_without_marked_article():
     assert line_blocks.main_text(page).split("\n") == [("long sentence " * 10).strip(), "short", ("another one " * 9).strip()]
 
 
+def test_window_sums_decide_beside_an_article():
+    body = ["long sentence " * 10, "another one " * 9]
+    page = "<article><p>teaser</article><nav>n</nav><div class=ad>a</div><form>f</form><div>" + "".join(f"<p>{t}" for t in body)
+    assert line_blocks.main_text(page + "</div>").split("\n") == ["teaser", *(t.strip() for t in body)]
+
+
 def test_text_runs():
     assert line_blocks.text_runs([0, 5, 0, 0, 0, 90, 3, 0, 0, 40, 0, 0, 0, 2], 80) == [(5, 10)]
     assert line_blocks.text_runs([], 80) == []
