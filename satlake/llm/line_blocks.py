@@ -29,6 +29,8 @@ WINDOW = 3
 SURGE = 80
 #: What a character inside <article> or <main> weighs, that of a link as well.
 ARTICLE_WEIGHT = SURGE
+#: Empty lines that part two runs.
+GAP = [("", 0)] * WINDOW
 
 # Names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -67,32 +69,78 @@ _ATTRIBUTE = re.compile(r"([a-z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>
 _WORDS = re.compile(r"[a-z0-9]+")
 
 
-def _left_out(name: str, rest: str, in_article: bool) -> bool:
-    """Whether an element is none of the article's text."""
+def _left_out(name: str, rest: str, in_article: bool) -> str:
+    """Whether an element is none of the article's text: out, or by its class a part or comments, which may be undone."""
     if name in LEFT_OUT or (name == "header" and not in_article):
-        return True
+        return "out"
     if not rest.strip(" /") or name in ("html", "body", "main"):
-        return False
+        return ""
+    found = ""
     for key, *values in _ATTRIBUTE.findall(rest):
         key, value = key.lower(), "".join(values).lower()
         if key == "hidden" or (key == "style" and "display:none" in value.replace(" ", "")):
-            return True
+            return "out"
         if key == "role" and value in LEFT_OUT_ROLES:
-            return True
+            return "out"
         if key in ("class", "id"):
             words = set(_WORDS.findall(value))
             if name == "article":
                 words &= COMMENT_WORDS
-            if words & LEFT_OUT_WORDS or (not in_article and words & HEADER_WORDS):
-                return True
-    return False
+            if words & COMMENT_WORDS:
+                found = "comments"
+            elif words & LEFT_OUT_WORDS or (not in_article and words & HEADER_WORDS):
+                found = found or "part"
+    return found
+
+
+class _Part:
+    """Lines of the page, or of an element with a word in its class that is left out."""
+
+    def __init__(self, does: str = "", above: _Part | None = None) -> None:
+        self.does, self.above = does, above
+        self.items: list[_Part | tuple[str, int, bool]] = []
+        self.weight = 0  # of all lines, those of parts inside as well
+        self.articles = self.heads = 0  # <article>; <main> and <h1>, those of parts inside as well
+
+    def add(self, articles: int = 0, heads: int = 0, weight: int = 0) -> None:
+        part: _Part | None = self
+        while part:
+            part.articles += articles
+            part.heads += heads
+            part.weight += weight
+            part = part.above
+
+    def lines(self, page: _Part, lower: bool = False) -> Iterator[tuple[str, int]]:
+        """(text, weight), with one empty line for a part that stays left out.
+
+        A part stays in the page if it holds a <main> or <h1>, or most of the
+        text of a page that has no such mark elsewhere.  One that holds an
+        <article> while the page has marks elsewhere weighs half and has to
+        surge on its own.
+        """
+        for item in self.items:
+            if not isinstance(item, _Part):
+                text, weight, inside = item
+                yield text, weight // 2 if lower else weight * ARTICLE_WEIGHT if inside else weight
+                continue
+            marked = page.articles + page.heads > item.articles + item.heads
+            if item.heads or (item.articles and not marked):
+                yield from item.lines(page, lower)
+            elif item.articles and item.does == "part":
+                yield from GAP
+                yield from item.lines(page, True)
+                yield from GAP
+            elif not marked and 2 * item.weight > page.weight and (item.does == "part" or page.weight - item.weight < SURGE):
+                yield from item.lines(page, lower)
+            else:
+                yield "", 0
 
 
 class _Lines:
     """Lines of a page with their weight."""
 
     def __init__(self) -> None:
-        self.lines: list[tuple[str, int]] = []
+        self.page = self.part = _Part()
         self.open: list[str] = []
         self.linked = 0
 
@@ -100,25 +148,38 @@ class _Lines:
         if self.open:
             text = " ".join(html.unescape("".join(self.open)).split())
             if text:
-                weight = len(text) * ARTICLE_WEIGHT if inside else max(0, len(text) - self.linked)
-                self.lines.append((text, weight))
+                own = max(0, len(text) - self.linked)
+                self.part.items.append((text, len(text) if inside else own, inside))
+                self.part.add(weight=own)
             self.open, self.linked = [], 0
 
     def gap(self, inside: bool) -> None:
         self.end(inside)
-        self.lines.append(("", 0))
+        self.part.items.append(("", 0, inside))
+
+    def enter(self, does: str, inside: bool) -> None:
+        self.end(inside)
+        part = _Part(does, self.part)
+        self.part.items.append(part)
+        self.part = part
+
+    def leave(self, inside: bool) -> None:
+        self.end(inside)
+        self.part = self.part.above
 
 
 def page_lines(page: str) -> list[tuple[str, int]]:
     """(text, weight) per block; parts left out are empty lines."""
     out = _Lines()
-    stack: list[tuple[str, str]] = []  # name, and what the element does: "", article, link or out
+    stack: list[tuple[str, str]] = []  # name, and what the element does: "", article, link, out, part or comments
     articles = links = outs = 0
 
     def close(to: int) -> None:
         nonlocal articles, links, outs
         while len(stack) > to:
             _, does = stack.pop()
+            if does in ("part", "comments"):
+                out.leave(articles > 0)
             articles -= does == "article"
             links -= does == "link"
             outs -= does == "out"
@@ -150,11 +211,16 @@ def page_lines(page: str) -> list[tuple[str, int]]:
             continue
         does = ""
         if not outs:
-            if _left_out(name, token["rest"], inside):
-                does = "out"
+            does = _left_out(name, token["rest"], inside)
+            if does == "out":
                 out.gap(inside)
+            elif does:
+                out.enter(does, inside)
             elif name in ("article", "main"):
                 does = "article"
+                out.part.add(articles=name == "article", heads=name == "main")
+            elif name == "h1":
+                out.part.add(heads=1)
             elif name == "a":
                 does = "link"
         if name == "p" or name == "li":
@@ -166,7 +232,7 @@ def page_lines(page: str) -> list[tuple[str, int]]:
         links += does == "link"
         outs += does == "out"
     out.end(articles > 0)
-    return out.lines
+    return list(out.page.lines(out.page))
 
 
 def text_runs(weights: list[int], surge: int, window: int = WINDOW) -> list[tuple[int, int]]:

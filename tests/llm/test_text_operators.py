@@ -318,6 +318,24 @@ def test_window_sums_decide_beside_an_article():
     assert line_blocks.main_text(page + "</div>").split("\n") == ["teaser", *(t.strip() for t in body)]
 
 
+@pytest.mark.parametrize("classes", ["content-sidebar-wrap", "layout has-sidebar", "entry has-comments", "page-header"])
+def test_wrappers_named_after_what_is_left_out(classes):
+    text, card = "long sentence " * 10, "<div class=widget>w</div><div class=sidebar><p>menu</div>"
+    wrap = f"<body><nav>n</nav><div class='{classes}'>{{}}</div><footer>f</footer>"
+    for body in (f"<article><p>{text}</article>{card}", f"{card}<h1>T</h1><p>{text}", f"<main>{text}</main>{card}", f"<p>{text}{card}"):
+        assert line_blocks.main_text(wrap.format(body)).split("\n")[-1] == text.strip()
+        assert "w" not in line_blocks.main_text(wrap.format(body)).split("\n")
+
+
+def test_parts_left_out_by_class():
+    text = "long sentence " * 10
+    two = f"<article><p>teaser</article><div class='layout has-sidebar'><article><p>{text * 2}</article></div>"
+    assert line_blocks.main_text(two).split("\n") == ["teaser", (text * 2).strip()]
+    page = f"<div><h1>T</h1><p>{text}</div><div class=related><article>card</article></div><div id=comments><article>{text * 3}</article></div>"
+    assert line_blocks.main_text(page).split("\n") == ["T", text.strip()]
+    assert line_blocks.main_text(f"<p>{text}</p><div id=comments><p>{text * 3}</div>") == text.strip()
+
+
 def test_text_runs():
     assert line_blocks.text_runs([0, 5, 0, 0, 0, 90, 3, 0, 0, 40, 0, 0, 0, 2], 80) == [(5, 10)]
     assert line_blocks.text_runs([], 80) == []
