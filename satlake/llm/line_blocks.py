@@ -4,8 +4,9 @@ Markup is stripped to lines, one per block element; parts that are no article
 text (menus, adverts, forms, scripts, comments and the like) leave one empty
 line each.  Text lengths, without the text of links, are summed over sliding
 windows of lines.  A text starts where the sums surge and ends where they dive
-to nothing; the lines between are kept.  This decides on every page: lines in
-an article or main element only weigh more than lines outside.
+to nothing; the lines between are kept, with the lines that adjoin them and
+short runs beside them.  This decides on every page: lines in an article or main
+element only weigh more than lines outside, and links in an h1 weigh as text.
 
 Defined results: a null or empty page has no text; unclosed and stray tags are
 accepted; a page whose sums never surge keeps the run of its highest window;
@@ -30,7 +31,7 @@ SURGE = 80
 #: What a character inside <article> or <main> weighs, that of a link as well.
 ARTICLE_WEIGHT = SURGE
 #: Empty lines that part two runs.
-GAP = [("", 0)] * WINDOW
+GAP = [("", 0, False)] * WINDOW
 
 # Names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -110,8 +111,8 @@ class _Part:
             part.weight += weight
             part = part.above
 
-    def lines(self, page: _Part, lower: bool = False) -> Iterator[tuple[str, int]]:
-        """(text, weight), with one empty line for a part that stays left out.
+    def lines(self, page: _Part, lower: bool = False) -> Iterator[tuple[str, int, bool]]:
+        """(text, weight, whether lowered), with one empty line for a part that stays left out.
 
         A part stays in the page if it holds a <main> or <h1>, or most of the
         text of a page that has no such mark elsewhere.  One that holds an
@@ -121,7 +122,7 @@ class _Part:
         for item in self.items:
             if not isinstance(item, _Part):
                 text, weight, inside = item
-                yield text, weight // 2 if lower else weight * ARTICLE_WEIGHT if inside else weight
+                yield text, weight // 2 if lower else weight * ARTICLE_WEIGHT if inside else weight, lower
                 continue
             marked = page.articles + page.heads > item.articles + item.heads
             if item.heads or (item.articles and not marked):
@@ -133,7 +134,7 @@ class _Part:
             elif not marked and 2 * item.weight > page.weight and (item.does == "part" or page.weight - item.weight < SURGE):
                 yield from item.lines(page, lower)
             else:
-                yield "", 0
+                yield "", 0, lower
 
 
 class _Lines:
@@ -168,20 +169,21 @@ class _Lines:
         self.part = self.part.above
 
 
-def page_lines(page: str) -> list[tuple[str, int]]:
-    """(text, weight) per block; parts left out are empty lines."""
+def page_lines(page: str) -> list[tuple[str, int, bool]]:
+    """(text, weight, whether lowered) per block; parts left out are empty lines."""
     out = _Lines()
-    stack: list[tuple[str, str]] = []  # name, and what the element does: "", article, link, out, part or comments
-    articles = links = outs = 0
+    stack: list[tuple[str, str]] = []  # name, and what the element does: "", article, link, title, out, part or comments
+    articles = links = titles = outs = 0
 
     def close(to: int) -> None:
-        nonlocal articles, links, outs
+        nonlocal articles, links, titles, outs
         while len(stack) > to:
             _, does = stack.pop()
             if does in ("part", "comments"):
                 out.leave(articles > 0)
             articles -= does == "article"
             links -= does == "link"
+            titles -= does == "title"
             outs -= does == "out"
 
     for token in _TOKEN.finditer(page):
@@ -189,7 +191,7 @@ def page_lines(page: str) -> list[tuple[str, int]]:
         if text is not None:
             if not outs:
                 out.open.append(text)
-                if links:
+                if links and not titles:
                     out.linked += len(text.strip())
             continue
         name = token["name"]
@@ -220,6 +222,7 @@ def page_lines(page: str) -> list[tuple[str, int]]:
                 does = "article"
                 out.part.add(articles=name == "article", heads=name == "main")
             elif name == "h1":
+                does = "title"
                 out.part.add(heads=1)
             elif name == "a":
                 does = "link"
@@ -230,23 +233,20 @@ def page_lines(page: str) -> list[tuple[str, int]]:
         stack.append((name, does))
         articles += does == "article"
         links += does == "link"
+        titles += does == "title"
         outs += does == "out"
     out.end(articles > 0)
     return list(out.page.lines(out.page))
 
 
-def text_runs(weights: list[int], surge: int, window: int = WINDOW) -> list[tuple[int, int]]:
-    """[start, end) of the lines between a surge and the dive after it.
-
-    A run is a stretch of lines in which no window is empty; it counts if one of
-    its windows reaches the surge.
-    """
+def stretches(weights: list[int], window: int = WINDOW) -> list[tuple[int, int, int]]:
+    """[start, end) of the stretches of lines in which no window is empty, and their highest sum."""
     n = len(weights)
     sums, total = [0] * n, 0
     for i in range(n - 1, -1, -1):
         total += weights[i] - (weights[i + window] if i + window < n else 0)
         sums[i] = total
-    runs, highest = [], (0, 0, 0)
+    found = []
     i = 0
     while i < n:
         if not weights[i]:
@@ -256,20 +256,41 @@ def text_runs(weights: list[int], surge: int, window: int = WINDOW) -> list[tupl
         while j < n and sums[j]:
             peak = max(peak, sums[j])
             j += 1
-        if peak >= surge:
-            runs.append((i, j))
-        highest = max(highest, (peak, -i, -j))
+        found.append((i, j, peak))
         i = j
-    if not runs and highest[0]:
-        runs.append((-highest[1], -highest[2]))
+    return found
+
+
+def text_runs(weights: list[int], surge: int, window: int = WINDOW) -> list[tuple[int, int]]:
+    """[start, end) of the stretches that reach the surge, or else of the highest one."""
+    found = stretches(weights, window)
+    runs = [(i, j) for i, j, peak in found if peak >= surge]
+    if not runs and found:
+        runs.append(max(found, key=lambda run: (run[2], -run[0]))[:2])
     return runs
 
 
 def main_text(page: str | None) -> str:
     """The article's lines, joined by one line feed."""
     lines = page_lines(page or "")
-    runs = text_runs([weight for _, weight in lines], SURGE)
-    return "\n".join(text for a, b in runs for text, _ in lines[a:b] if text)
+    found = stretches([weight for _, weight, _ in lines])
+    surged = {(i, j) for i, j in text_runs([weight for _, weight, _ in lines], SURGE)}
+    whether = [False, *((i, j) in surged for i, j, _ in found), False]
+    kept = [False] * len(lines)
+    for k, (a, b, _) in enumerate(found):
+        if not whether[k + 1]:
+            # A short run beside a surged one stays, but at the ends no single word.
+            said = " ".join(text for text, _, lower in lines[a:b] if not lower).split()
+            beside = whether[k] + whether[k + 2]
+            if not beside or len(said) < 3 - beside:
+                continue
+        # What adjoins it, such as lines of links, stays up to the next part left out.
+        while a and lines[a - 1][0]:
+            a -= 1
+        while b < len(lines) and lines[b][0]:
+            b += 1
+        kept[a:b] = [True] * (b - a)
+    return "\n".join(text for (text, _, _), keep in zip(lines, kept) if keep and text)
 
 
 def extract(pages: DataFrame) -> DataFrame:

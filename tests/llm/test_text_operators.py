@@ -336,6 +336,17 @@ def test_parts_left_out_by_class():
     assert line_blocks.main_text(f"<p>{text}</p><div id=comments><p>{text * 3}</div>") == text.strip()
 
 
+def test_lines_beside_a_surge_are_kept():
+    text, parts = "long sentence " * 10, "<div class=ad>a</div><div class=share>s</div><nav>n</nav>"
+    link = "<a href=x>A link as title</a>"
+    want = ["A link as title", text.strip(), "A link as title"]
+    assert line_blocks.main_text(f"{parts}<h2>{link}</h2><p>{text}<p>{link}").split("\n") == want
+    assert line_blocks.main_text(f"<h1>{link}</h1>{parts}<p>{text}<p>{link}").split("\n") == want
+    assert line_blocks.main_text(f"<p>{text}</p>{parts}<p>This is the end.").split("\n") == [text.strip(), "This is the end."]
+    assert line_blocks.main_text(f"<p>{text}</p>{parts}<p>Then</p>{parts}<p>{text}").split("\n") == [text.strip(), "Then", text.strip()]
+    assert line_blocks.main_text(f"<p>{text}</p>{parts}<p>{link}") == text.strip()
+
+
 def test_text_runs():
     assert line_blocks.text_runs([0, 5, 0, 0, 0, 90, 3, 0, 0, 40, 0, 0, 0, 2], 80) == [(5, 10)]
     assert line_blocks.text_runs([], 80) == []
