@@ -247,20 +247,50 @@ def mix_counts(docs: DataFrame, **options) -> DataFrame:
     )
 
 
+def _numbered(docs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Add the keys of the pieces, and ``__copy``: 1, 2 and so on over rows of one id, text and source."""
+    key = ["__id", "__digest", "__source"]
+    repeated = staged(
+        sizes.groupBy(F.col("doc_id").alias("__i"), F.col("digest").alias("__d"), F.col("source").alias("__s"))
+        .count()
+        .where("count > 1")
+        .drop("count"),
+        "mix-repeats",
+    )
+    keyed = docs.select(
+        "*", F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__digest"), F.col("source").alias("__source")
+    )
+    if repeated.isEmpty():
+        return keyed.withColumn("__copy", F.lit(1))
+    repeated = few(repeated)
+    same = (
+        F.col("__id").eqNullSafe(F.col("__i"))
+        & (F.col("__digest") == F.col("__d"))
+        & F.col("__source").eqNullSafe(F.col("__s"))
+    )
+    single = keyed.join(repeated, same, "left_anti").withColumn("__copy", F.lit(1))
+    others = F.xxhash64(F.lit(0), *[f"`{c}`" for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"])
+    copies = F.row_number().over(Window.partitionBy(*key).orderBy(others))
+    return single.unionByName(keyed.join(repeated, same, "left_semi").withColumn("__copy", copies))
+
+
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """The taken words of each document as its text, whole passes one after the other.
 
     Documents of which nothing is taken go; words are joined by one space; the
-    other columns stay and n_chars is counted anew.
+    other columns stay and n_chars is counted anew.  Of rows of one id, text and
+    source each has its own pieces.
     """
-    _, _, pieces = mixed_pieces(sized(docs), **options)
+    sizes = sized(docs)
+    _, _, pieces = mixed_pieces(sizes, **options)
+    key = ["doc_id", "digest", "source"]
     parts = (
         pieces.where(F.col("slots").isNotNull())
         .withColumn("slot", F.explode("slots"))
-        .groupBy("doc_id", "digest", "start", "number")
-        .agg(F.array_sort(F.collect_list(F.struct("slot.pass", "word", "words"))).alias("parts"))
-        .groupBy(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"))
-        .agg(F.min("parts").alias("__parts"))
+        .groupBy(*key, "start")
+        .agg(F.array_sort(F.collect_list(F.struct("slot.pass", "word", "words"))).alias("__parts"))
+        .withColumn("__place", F.row_number().over(Window.partitionBy(*key).orderBy("start")))
+        .select(F.col("doc_id").alias("__i"), F.col("digest").alias("__d"), F.col("source").alias("__s"), "__place", "__parts")
     )
     words = F.expr(f"regexp_extract_all(text, '{WORD_SQL}', 0)")
     text = F.array_join(
@@ -272,8 +302,12 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
         ),
         " ",
     )
-    joined = docs.withColumn("__own", F.xxhash64("text")).join(
-        parts, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__digest"))
+    joined = _numbered(docs, sizes).join(
+        parts,
+        F.col("__id").eqNullSafe(F.col("__i"))
+        & (F.col("__digest") == F.col("__d"))
+        & F.col("__source").eqNullSafe(F.col("__s"))
+        & (F.col("__copy") == F.col("__place")),
     )
     return (
         joined.select("*", once(words, "__words"))

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from satlake.llm.common import ship, staged
@@ -62,19 +62,18 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp) of every row; fp holds the 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The kept columns and fp of every row; fp holds the 64 bits as a signed long."""
     ship(docs.sparkSession)
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    kinds = ", ".join(f"{name} {docs.schema[name].dataType.simpleString()}" for name in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(text.as_py(), words) for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(found, np.uint64).view(np.int64))], names=["doc_id", "fp"]
-            )
+            found = [fingerprint(text.as_py(), words) for text in batch.column(len(keep))]
+            fps = pa.array(np.array(found, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], fps], names=[*keep, "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp bigint")
+    return docs.select(*keep, "text").mapInArrow(run, f"{kinds}, fp bigint")
 
 
 def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -230,12 +229,9 @@ def links(nodes: DataFrame, distance: int = DISTANCE, group_rows: int = GROUP_RO
     return out
 
 
-def components(
-    docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = DISTANCE, group_rows: int = GROUP_ROWS
-) -> DataFrame:
-    """(doc_id, fp, component_id) of every row: the smallest id that links lead to."""
-    found = staged(fingerprints(docs, words), "simhash")
-    nodes = staged(found.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-nodes")
+def _rooted(found: DataFrame, first: Column, distance: int, group_rows: int) -> DataFrame:
+    """(fp, first, root) of every fingerprint: ``first`` of its rows, and its component's root."""
+    nodes = staged(found.groupBy("fp").agg(first.alias("first")), "simhash-nodes")
     labels = connected(links(nodes, distance, group_rows))
     if labels is None:
         rooted = nodes.withColumn("root", F.col("fp"))
@@ -243,13 +239,43 @@ def components(
         rooted = nodes.join(labels.withColumnRenamed("vertex", "fp"), "fp", "left").withColumn(
             "root", F.coalesce("root", "fp")
         )
-    rooted = staged(rooted, "simhash-roots")
-    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    return staged(rooted, "simhash-roots")
+
+
+def components(
+    docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = DISTANCE, group_rows: int = GROUP_ROWS
+) -> DataFrame:
+    """(doc_id, fp, component_id) of every row: the smallest id that links lead to."""
+    found = staged(fingerprints(docs, words), "simhash")
+    rooted = _rooted(found, F.min("doc_id"), distance, group_rows)
+    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = rooted.join(smallest, "root").select("fp", "component_id")
     return found.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
 def near_unique(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = DISTANCE) -> DataFrame:
-    """One row per component: the one with the smallest id, all its columns kept."""
-    kept = components(docs, words, distance).select(F.col("component_id").alias("__kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi").dropDuplicates(["doc_id"])
+    """One row per component: the one with the smallest id, null as the last one, all its columns kept.
+
+    Rows of one id are told apart by a digest of the text and then of the other
+    columns, so components are as many rows whatever their ids, and the same
+    ones in every run.
+    """
+    others = [f"`{c}`" for c, kind in docs.dtypes if c not in ("doc_id", "text") and "map<" not in kind and kind != "variant"]
+    text, rest = F.xxhash64("text"), F.xxhash64(F.lit(0), *others)
+    ids = docs.select("doc_id", text.alias("digest"), rest.alias("rest"), "text")
+    found = staged(fingerprints(ids, words, ("doc_id", "digest", "rest")), "simhash")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest", "rest")
+    rooted = _rooted(found, F.min(order), distance, GROUP_ROWS)
+    kept = (
+        rooted.groupBy("root")
+        .agg(F.min("first").alias("first"))
+        .select(F.col("first.doc_id").alias("__id"), F.col("first.digest").alias("__digest"), F.col("first.rest").alias("__rest"))
+    )
+    marked = docs.withColumn("__text_digest", text).withColumn("__rest_digest", rest)
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("__id"))
+        & (F.col("__text_digest") == F.col("__digest"))
+        & (F.col("__rest_digest") == F.col("__rest"))
+    )
+    one = marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__text_digest", "__rest_digest"])
+    return one.drop("__text_digest", "__rest_digest")

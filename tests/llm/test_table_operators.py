@@ -214,3 +214,18 @@ def test_shards_draw_their_counts(spark):
     # Multinomial draws scatter about their mean, neither equal nor far off.
     spread = (total / 16 * share * (1 - share)) ** 0.5
     assert len(set(counts)) > 3 and all(abs(c - total / 16 * share) < 5 * spread for c in counts)
+
+
+def test_mix_gives_each_copy_its_own_pieces(spark):
+    text = " ".join(f"w{k}" for k in range(150))
+    rows = [(None, text, "a")] * 3 + [(None, text, "b")] * 2 + [(1, "one two three", "a"), (2, text + " x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("n_chars", F.length("text"))
+    counts, texts = {}, {}
+    for found, rows in ((counts, mixing.mix_counts(docs).collect()), (texts, mixing.mix_documents(docs).collect())):
+        for r in rows:
+            n = r.taken if found is counts else len(r.text.split())
+            if n:
+                found.setdefault(r.doc_id, []).append(n)
+    assert {i: sorted(n) for i, n in texts.items()} == {i: sorted(n) for i, n in counts.items()}
+    for r in mixing.mix_documents(docs, weights=(1, 1, 1), total_times=2).collect():
+        assert len(r.text.split()) == 2 * {None: 150, 1: 3, 2: 151}[r.doc_id]

@@ -101,6 +101,15 @@ def test_simhash_edges(spark, odd, empty):
     assert Counter(r.component_id for r in simhash.components(nulls).collect()) == {None: 2, 4: 1}
 
 
+def test_near_unique_keeps_one_row_per_component(spark):
+    one, two, three = ("".join(f"{w}{k} " for k in range(40)) for w in ("red", "blue", "green"))
+    rows = [(None, one, "s"), (None, two, "s"), (None, two, "r"), (1, three, "s"), (2, three, "s"), (2, "x y z " * 20, "s")]
+    df = spark.createDataFrame(rows * 2, "doc_id long, text string, digest string")
+    kept = [{tuple(r) for r in simhash.near_unique(df.repartition(n)).collect()} for n in (1, 5)]
+    assert kept[0] == kept[1] and len(kept[0]) == 4 == simhash.near_unique(df).count()
+    assert {r[:2] for r in kept[0]} == {(None, one), (None, two), (1, three), (2, "x y z " * 20)}
+
+
 def dense_prints():
     rnd = np.random.default_rng(3)
     out = set()
