@@ -34,7 +34,9 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +53,8 @@ LONG = LENGTH + PERIOD - 1
 
 #: Bytes of text in a block, and fingerprints in a bucket, on average.
 BLOCK_BYTES = 8_000_000
+#: What a row adds to its block besides its text.
+ROW_BYTES = 16
 BUCKET_ROWS = 2_000_000
 #: Positions that are hashed at a time.
 SLICE = 1 << 18
@@ -344,21 +348,36 @@ def _told(table: pa.Table) -> tuple[list[bytes], bytes | None]:
 
 
 def blocks_table(docs: DataFrame, keep: list[str]) -> tuple[DataFrame, int]:
-    """Documents written once, in blocks that are bucketed by their number; and the buckets to use."""
+    """Documents written once, in blocks that are bucketed by their number; and the buckets to use.
+
+    A block ends before its bytes pass the limit, so only a longer document makes a longer block.
+    """
     spark = docs.sparkSession
-    size = docs.select(F.octet_length("text").alias("n")).agg(F.count("*").alias("rows"), F.sum("n").alias("bytes")).first()
-    total = size["bytes"] or 0
-    rows = max(1, int(BLOCK_BYTES * size["rows"] / total)) if total else max(1, size["rows"])
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    limit = BLOCK_BYTES
     parts = tasks(spark)
     kept = [F.col(c).alias(f"__keep{i}") for i, c in enumerate(keep)]
     name = f"satlake_blocks_{uuid.uuid4().hex}"
+    rows = docs.select(
+        F.col("doc_id").cast("bigint").alias("__id"),
+        F.coalesce("text", F.lit("")).cast("binary").alias("__text"),
+        *kept,
+    )
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held = TaskContext.get().partitionId() << 33, 0
+        for batch in batches:
+            blocks = []
+            for size in pc.add(pc.binary_length(batch.column(1)), ROW_BYTES).to_pylist():
+                if held and held + size > limit:
+                    block, held = block + 1, 0
+                held += size
+                blocks.append(block)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(blocks, pa.int64())], names=[*batch.schema.names, "block"])
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
     (
-        docs.select(
-            F.col("doc_id").cast("bigint").alias("__id"),
-            F.coalesce("text", F.lit("")).cast("binary").alias("__text"),
-            *kept,
-        )
-        .withColumn("block", F.expr(f"monotonically_increasing_id() div {rows}"))
+        rows.mapInArrow(cut, f"{fields}, block bigint")
         .write.bucketBy(parts, "block")
         .option("compression", "zstd")
         .option("path", fresh_path(spark, "blocks"))

@@ -172,6 +172,17 @@ def test_suffixes_over_documents_in_many_blocks(sf_docs, monkeypatch):
     assert sorted(tuple(r) for r in got) == sorted(brute.removal_rows(rows))
 
 
+def test_no_block_is_longer_than_its_limit(spark, monkeypatch):
+    monkeypatch.setattr(suffix_blocks, "BLOCK_BYTES", 20_000)
+    rows = [(k, "ab" * 10) for k in range(2000)] + [(2000 + k, "c" * 5_000) for k in range(30)] + [(3000, "d" * 50_000), (3001, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    blocks, _ = suffix_blocks.blocks_table(docs, ["doc_id"])
+    sizes = blocks.groupBy("block").agg(F.sum(F.octet_length("__text")).alias("bytes"), F.count("*").alias("rows")).collect()
+    assert sum(r.rows for r in sizes) == len(rows)
+    assert all(r.bytes <= 20_000 or r.rows == 1 for r in sizes)
+    assert len(sizes) < 20
+
+
 def test_suffix_edges(spark, odd, odd_rows, empty):
     assert suffix_blocks.repeats(empty, ["doc_id"]).collect() == []
     twice = suffix_blocks.repeats(odd.unionByName(odd), ["doc_id"]).collect()
