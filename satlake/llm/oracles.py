@@ -190,3 +190,88 @@ from voted join chances using ({", ".join(names)})
 
 
 ORACLES["op8_weak_supervision"] = _quality_sql()
+
+
+def _importance_sql() -> str:
+    words = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    return f"""
+with crc_table as (
+  select list(list_reduce([i] || range(8),
+           lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as crcs
+  from range(256) t(i)
+),
+docs as materialized (select row_number() over () as r, doc_id, {words} as w from documents),
+said as materialized (select r, unnest(w) as word from docs),
+asked as materialized (select unnest({words}) as word from benchmark),
+lexicon as materialized (
+  select word,
+    xor(list_reduce([4294967295::bigint]
+          || list_transform(range(octet_length(encode(word))), lambda i: ('0x' || hex(encode(word))[2 * i + 1 : 2 * i + 2])::bigint),
+        lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])), 4294967295) % 10000 as bucket
+  from (select word from said union select word from asked), crc_table
+),
+s as (select bucket, count(*) as n from said join lexicon using (word) group by bucket),
+t as (select bucket, count(*) as n from asked join lexicon using (word) group by bucket),
+totals as (select (select count(*) from said) + 10000 as s_all, (select count(*) from asked) + 10000 as t_all),
+gains as materialized (
+  select b as bucket,
+         cast(floor(1000 * ln((coalesce(t.n, 0) + 1)::double * s_all / ((coalesce(s.n, 0) + 1)::double * t_all))) as bigint) as gain
+  from range(10000) k(b) left join s on s.bucket = b left join t on t.bucket = b, totals
+),
+weights as (
+  select r, count(*) as n, cast(floor(sum(gain)::double / count(*)) as bigint) as weight
+  from said join lexicon using (word) join gains using (bucket) group by r
+),
+scored as (
+  select docs.r, doc_id, coalesce(n, 0) as n_features, coalesce(weight, 0) as weight,
+         coalesce(weight, 0) + cast(floor(-1000 * ln(-ln(
+           (('0x' || substr(sha256('2024:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint + 0.5) / 4294967296.0))) as bigint) as score
+  from docs left join weights on weights.r = docs.r
+),
+able as (
+  select r, row_number() over (order by score desc, doc_id nulls last, r) as place, count(*) over () as n_able
+  from scored where n_features >= 20
+)
+select doc_id, n_features, weight, score, case when place <= 10 * n_able // 100 then place end as rank
+from scored left join able using (r)
+"""
+
+
+ORACLES["op12_importance"] = _importance_sql()
+
+
+def _part_codes_sql(rounds: int = 6, parts: int = 8, entries: int = 16) -> str:
+    near = "min(struct_pack(d := list_sum(list_transform(list_zip(part, entry), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint, e := e))"
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"a{k} as materialized (select r, p, any_value(part) as part, {near} as best from parts join b{k} using (p) group by r, p)")
+        if k < rounds:
+            steps.append(
+                f"m{k} as (select p, e, list(mean order by i) as entry from (select p, best.e as e, i,"
+                f" cast(floor(sum(part[i])::double / count(*)) as bigint) as mean from a{k}, range(1, len(part) + 1) t(i) group by all) group by p, e),"
+                f" b{k + 1} as materialized (select o.p, o.e, coalesce(m.entry, o.entry) as entry from b{k} o left join m{k} m on m.p = o.p and m.e = o.e)"
+            )
+    return f"""
+with kept as materialized (
+  select row_number() over () as r, vec_id, label, list_transform(embedding, lambda x: cast(floor(4096 * x::double) as bigint)) as v
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+),
+parts as materialized (
+  select r, p, v[p * (len(v) // {parts}) + 1 : (p + 1) * (len(v) // {parts})] as part from kept, range({parts}) t(p)
+),
+b0 as materialized (
+  select p, e, part as entry
+  from parts join (select r, row_number() over (order by vec_id nulls last, v) - 1 as e from kept) using (r) where e < {entries}
+),
+{", ".join(steps)},
+coded as (
+  select r, string_agg(lpad(lower(hex(best.e)), 2, '0'), '' order by p) as code, sum(best.d)::bigint as error from a{rounds} group by r
+),
+books as (select sha256(string_agg(array_to_string(entry, ','), ',' order by p, e)) as codebooks_sha256 from b{rounds})
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256
+from kept join coded using (r), books
+"""
+
+
+ORACLES["op13_part_codes"] = _part_codes_sql()

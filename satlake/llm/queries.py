@@ -5,7 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from satlake.llm import chat_parts, hilbert, line_blocks, mixing, piece_bpe, piecewise, quality, simhash, suffix_blocks, url_filters
+from satlake.llm import (
+    chat_parts,
+    hilbert,
+    importance,
+    line_blocks,
+    mixing,
+    part_codes,
+    piece_bpe,
+    piecewise,
+    quality,
+    simhash,
+    suffix_blocks,
+    url_filters,
+)
 from satlake.llm.common import table
 
 SHARDS = 8
@@ -125,6 +138,18 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.encode_documents(docs, vocabulary(), with_ids=False)
 
 
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's likeness to the benchmark texts, and the tenth of the longer ones that is drawn."""
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_part_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding as eight codes of 16 entries, with its error and that of its label."""
+    coded = part_codes.compress(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 QUERIES = {
     "op1_piecewise_fingerprints": op1_piecewise_fingerprints,
     "op2_hilbert_sharding": op2_hilbert_sharding,
@@ -136,4 +161,6 @@ QUERIES = {
     "op8_weak_supervision": op8_weak_supervision,
     "op9_source_mixing": op9_source_mixing,
     "op10_sentencepiece": op10_sentencepiece,
+    "op12_importance": op12_importance,
+    "op13_part_codes": op13_part_codes,
 }
