@@ -17,6 +17,7 @@ from satlake.llm import (
     quality,
     simhash,
     suffix_blocks,
+    token_files,
     url_filters,
 )
 from satlake.llm.common import table
@@ -126,10 +127,10 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(table(spark, sf_dir, "documents"))
 
 
-def vocabulary() -> str:
+def vocabulary(name: str = "piece_bpe_32k.model") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("piece_bpe_32k.model")
+    return public_tokenizers.path(name)
 
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,6 +139,11 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.encode_documents(docs, vocabulary(), with_ids=False)
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's ids, written to coded files in ascending doc_id order and read back from them."""
+    return token_files.through_files(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=2)
+
+
 def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's likeness to the benchmark texts, and the tenth of the longer ones that is drawn."""
     drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -161,6 +167,7 @@ QUERIES = {
     "op8_weak_supervision": op8_weak_supervision,
     "op9_source_mixing": op9_source_mixing,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_token_files": op11_token_files,
     "op12_importance": op12_importance,
     "op13_part_codes": op13_part_codes,
 }
