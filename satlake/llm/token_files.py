@@ -24,8 +24,8 @@ Defined results
   null id              after all others, in files as in the order
   equal ids, repeated rows   each is a document of its own, in an order fixed
                        by the written ids
-  very long text       cut at blanks for the library where that leaves its ids
-                       as they are; ids may run over many blocks
+  very long text       cut at blanks for the library, which leaves its ids as
+                       they are; ids may run over many blocks
   empty table          no file, no rows
   other columns        not looked at, whatever their names
 """
@@ -40,6 +40,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -48,11 +49,13 @@ from satlake.llm.common import ship, staged, tasks
 from satlake.llm.rans import FrequencyTable, decode_block, encode_block
 from satlake.session import fresh_path
 
-#: Words of up to this many bytes are remembered with their ids, so many at a time.
-WORD_BYTES = 48
-REMEMBERED = 200_000
-#: Text given to the encoder at once, in bytes.
-SLICE_BYTES = 1 << 20
+#: Words of up to this many characters are remembered with their ids, so many at a time.
+WORD_CHARS = 48
+REMEMBERED = 400_000
+#: New words given to the library as one text.
+TOGETHER = 256
+#: Text whose words are numbered at once, in bytes.
+SLICE_BYTES = 1 << 23
 
 BLOCK_IDS = 1 << 18
 #: A file is closed with the document that brings it to this many ids.
@@ -60,7 +63,10 @@ FILE_IDS = 1 << 23
 #: Blocks that one reading task decodes at a time.
 RUN_BLOCKS = 8
 
-_BLANK_RUN = re.compile(rb"[ \t\n\r]+")
+#: Units of words whose parts any version of Unicode classes alike: letters of the first Latin
+#: blocks, single digits, other ASCII signs.  The apostrophe, which may begin a unit with letters, is in none.
+_UNIT = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+|[0-9]|[!-&(-/:-@[-`{-~]+")
+_TRIED = [chr(c) for c in range(0x21, 0x7F) if c != 0x27] + list("ÀØéßÿœƵɏ")
 
 
 class WordEncoder:
@@ -68,46 +74,127 @@ class WordEncoder:
 
     Right for vocabularies that drop white space and never join across it, as
     those with word ends do: a text's ids are then those of its words in turn.
+    New words go to the library many at a time.  Each unit of a word ends in an
+    id with the mark of word ends, so that the ids are dealt to the words by
+    counting units.  Whether the vocabulary has these units is tried out first,
+    on all pairs of signs; other words, and groups whose counts do not fit, go
+    to the library word by word.
     """
 
     def __init__(self, model: str, id_type: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
-        self.id_type = id_type
-        self.known: dict[bytes, bytes] = {}
-
-    def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        return {w: np.array(e.ids, self.id_type).tobytes() for w, e in zip(words, found)}
-
-    def __call__(self, texts: list[bytes]) -> list[bytes]:
-        cut = [[w for w in _BLANK_RUN.split(t) if w] for t in texts]
-        met = set().union(*cut)
+        self.id_type = np.dtype(id_type)
+        # The empty word stands before a leading and after a trailing blank.
+        self.known: dict[str, bytes] = {"": b""}
+        suffix = self.tokenizer.model.end_of_word_suffix
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends[[i for said, i in vocabulary.items() if said.endswith(suffix)]] = True
+        # Strings that the library takes out of a text before it looks for words.
+        taken = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.taken = re.compile("|".join(taken) or "(?!)")
+        tried = [a + b for a in _TRIED for b in _TRIED]
+        self.counted = all(
+            self.ends[ids[-1]] and int(self.ends[ids].sum()) == len(_UNIT.findall(pair))
+            for pair, ids in zip(tried, self._ids(tried))
+        )
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _alone(self, words: list[str]) -> None:
+        for word, ids in zip(words, self._ids(words)):
+            self.known[word] = np.array(ids, self.id_type).tobytes()
+
+    def _together(self, words: list[str], units: list[int]) -> None:
+        text = " ".join(words)
+        [found] = self._ids([text])
+        ids = np.array(found, self.id_type)
+        marks, last = np.flatnonzero(self.ends[ids]), np.cumsum(units)
+        if len(marks) != last[-1] or self.taken.search(text):
+            self._alone(words)
+            return
+        packed, size = ids.tobytes(), self.id_type.itemsize
+        stops = ((marks[last - 1] + 1) * size).tolist()
+        self.known.update(zip(words, [packed[a:b] for a, b in zip([0, *stops], stops)]))
+
+    def learn(self, words: list[str]) -> None:
+        rest, some, units = [], [], []
+        for word in words:
+            left, n = _UNIT.subn("", word) if self.counted and len(word) <= WORD_CHARS else (word, 0)
+            if left:
+                rest.append(word)
+            else:
+                some.append(word)
+                units.append(n)
+        for at in range(0, len(some), TOGETHER):
+            self._together(some[at : at + TOGETHER], units[at : at + TOGETHER])
+        if rest:
+            self._alone(rest)
+
+    def __call__(self, texts: pa.Array, end: bytes = b"") -> pa.Array:
+        """The packed ids of each text, with ``end`` after each.
+
+        Arrow cuts and numbers the words; the ids of the different ones are
+        laid out once and gathered by number.
+        """
+        cut = pc.ascii_split_whitespace(texts)
+        numbered = cut.flatten().dictionary_encode()
+        words = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.known) > REMEMBERED:
-            self.known = {w: self.known[w] for w in met if w in self.known}
-        fresh = self.learn(list(met.difference(self.known)))
+            self.known = {w: self.known[w] for w in ["", *words] if w in self.known}
         known = self.known
-        known.update(fresh)
-        found = [b"".join([known[w] for w in words]) for words in cut]
-        for word in fresh:
-            if len(word) > WORD_BYTES:
-                del known[word]
-        return found
-
-
-def _slices(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[bytes]]]:
-    """Rows in groups of about SLICE_BYTES of text: (first row, texts)."""
-    at, held, size = 0, [], 0
-    for row, value in enumerate(batch.column(column)):
-        text = value.as_py() or b""
-        if held and size + len(text) > SLICE_BYTES:
-            yield at, held
-            at, held, size = row, [], 0
-        held.append(text)
-        size += len(text)
-    if held:
-        yield at, held
+        found = list(map(known.get, words))
+        fresh = [w for w, ids in zip(words, found) if ids is None]
+        if fresh:
+            self.learn(fresh)
+            found = list(map(known.get, words))
+            for word in fresh:
+                if len(word) > WORD_CHARS:
+                    del known[word]
+        found.append(end)
+        size = self.id_type.itemsize
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // size
+        laid = np.frombuffer(b"".join(found), self.id_type)
+        firsts = np.cumsum(lengths) - lengths
+        # The end id is one more word, after the last of each text.
+        last = cut.offsets.to_numpy()[1:] - cut.offsets[0].as_py()
+        numbers = np.insert(numbered.indices.to_numpy(), last, len(found) - 1)
+        counts = lengths[numbers]
+        ends = np.cumsum(counts)
+        gathered = laid[np.repeat(firsts[numbers] - (ends - counts), counts) + np.arange(counts.sum())]
+        stops = ends[last + np.arange(len(last))] * size
+        offsets = np.r_[0, stops].astype(np.int64)
+        return pa.Array.from_buffers(
+            pa.large_binary(), len(texts), [None, pa.py_buffer(offsets), pa.py_buffer(gathered.tobytes())]
+        ).cast(pa.binary())
+
+
+_encoders: dict[tuple[int, str], WordEncoder] = {}
+
+
+def encoder(model: str, kind: str) -> WordEncoder:
+    """The worker's encoder of this vocabulary; it keeps what it has learnt from task to task."""
+    name = (crc32(model.encode()), kind)
+    if name not in _encoders:
+        _encoders.clear()
+        _encoders[name] = WordEncoder(model, kind)
+    return _encoders[name]
+
+
+def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Rows in groups of about SLICE_BYTES of text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    at = held = 0
+    for row, size in enumerate(sizes.tolist()):
+        if held and held + size > SLICE_BYTES:
+            yield batch.slice(at, row - at)
+            at, held = row, 0
+        held += size
+    if at < batch.num_rows:
+        yield batch.slice(at)
 
 
 def id_type(vocabulary_size: int) -> str:
@@ -135,13 +222,12 @@ def encode_texts(docs: DataFrame, vocabulary_path: str, end_id: int | None) -> t
     model = spark.sparkContext.broadcast(said)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordEncoder(model.value, kind)
+        encode = encoder(model.value, kind)
         for batch in batches:
-            for at, texts in _slices(batch, 1):
-                ids = pa.array([found + end for found in encode(texts)], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), ids], names=["doc_id", "ids"])
+            for some in _slices(batch, 1):
+                yield pa.RecordBatch.from_arrays([some.column(0), encode(some.column(1), end)], names=["doc_id", "ids"])
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return rows.mapInArrow(run, "doc_id bigint, ids binary"), kind
 
 
