@@ -3,8 +3,10 @@
 A visitor flattens the parts of a turn (text, image, audio, document) into one
 string: text is escaped, every attachment becomes a placeholder and is recorded
 with its reference and the number of tokens that it expands to.  Turns are
-marked with control strings; no escaped text can contain their opening, so the
-formatted string reads back exactly.  All of it is DataFrame operators.
+marked with control strings; no escaped text can contain their opening.  Texts
+that follow each other are joined before they are escaped, so that no control
+string comes about where two parts meet, and the formatted string reads back
+exactly.  All of it is DataFrame operators.
 
 Defined results: null texts, roles and parts are empty, an unknown part type is
 text, a null turn sorts first, rows that share a turn are ordered by role and
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 START = "<|im_start|>"
 END = "<|im_end|>\n"
 PLACEHOLDERS = {"image": "<|image|>", "audio": "<|audio|>", "document": "<|document|>"}
+PLACEHOLDER = r"<\|(image|audio|document)\|>"
 LOSS_ROLE = "assistant"
 
 #: Tokens that an attachment expands to.
@@ -69,12 +72,24 @@ def _is_attachment(part: Column) -> Column:
     return F.coalesce(part["type"].isin(list(PLACEHOLDERS)), F.lit(False))
 
 
-def _visit(part: Column) -> Column:
-    kind = part["type"]
-    out = escape(F.coalesce(part["text"], F.lit("")))
-    for name, mark in PLACEHOLDERS.items():
-        out = F.when(kind == name, F.lit(mark)).otherwise(out)
-    return out
+def _visit(parts: Column) -> Column:
+    """The parts of a turn as one string.
+
+    The visitor carries what is flattened so far and the text since the last
+    attachment; that text is escaped as a whole when an attachment or the end
+    of the turn is met.
+    """
+    empty = F.lit("")
+    start = F.struct(empty.alias("done"), empty.alias("said"))
+
+    def meet(state: Column, part: Column) -> Column:
+        mark = F.concat(F.lit("<|"), part["type"], F.lit("|>"))
+        attached = _is_attachment(part)
+        done = F.when(attached, F.concat(state["done"], escape(state["said"]), mark)).otherwise(state["done"])
+        said = F.when(attached, empty).otherwise(F.concat(state["said"], F.coalesce(part["text"], empty)))
+        return F.struct(done.alias("done"), said.alias("said"))
+
+    return F.aggregate(parts, start, meet, lambda state: F.concat(state["done"], escape(state["said"])))
 
 
 def _tokens(part: Column) -> Column:
@@ -109,7 +124,7 @@ def format_conversations(turns: DataFrame) -> DataFrame:
             "conv_id",
             "turn",
             "role",
-            F.array_join(F.transform("parts", _visit), "").alias("body"),
+            _visit(F.col("parts")).alias("body"),
             F.transform(
                 F.filter("parts", _is_attachment),
                 lambda p: F.struct(
@@ -151,9 +166,10 @@ def format_conversations(turns: DataFrame) -> DataFrame:
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Add what the formatted string says: ``read_turns`` (role, text) and ``read_loss`` (texts).
+    """Add what the formatted string says: ``read_turns`` (role, text, types) and ``read_loss`` (texts).
 
-    Placeholders of attachments are part of the text they stand in.
+    Placeholders of attachments are part of the text they stand in; ``types``
+    lists them in order, without those that a text merely spells.
     """
     pieces = F.slice(F.split("formatted", r"<\|im_start\|>", -1), 2, 2147483647 - 2)
 
@@ -163,6 +179,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
         return F.struct(
             _unescape_role(F.substr(piece, F.lit(1), at - F.lit(1))).alias("role"),
             unescape(body).alias("text"),
+            F.regexp_extract_all(body, F.lit(PLACEHOLDER), F.lit(1)).alias("types"),
         )
 
     def trained(span: Column) -> Column:
