@@ -378,6 +378,64 @@ def test_odd_pages(page):
     line_blocks.main_text(page)
 
 
+WIDE = "word " * 60
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<svg class="i"/><p>{0}</p>',
+        "<script src='a.js'/><p>{0}</p><script>var x;</script>",
+        "<svg><path d='x'><p>{0}</p>",
+        "<iframe src=a /><p>{0}</p><iframe src=b></iframe>",
+        "<form id=f action=/x><div><p>{0}</p></div><input name=a></form>",
+        "<form><fieldset><article><h1>{0}</h1></article></fieldset></form>",
+        "<p title='a > b' data-x=\"c > d\">{0}</p>",
+        "<p>{0}<br/></p><b x='",
+    ],
+)
+def test_markup_that_hides_no_article(page):
+    assert line_blocks.main_text(page.format(WIDE)).split() == WIDE.split()
+
+
+def test_forms_beside_an_article_go():
+    page = "<article><h1>T</h1><p>{0}</p><form><p>your mail please</p></form></article><form><p>{0} {0}</p></form>"
+    assert line_blocks.main_text(page.format(WIDE)).split("\n") == ["T", WIDE.strip()]
+
+
+DEEP = [
+    ('<div class="widget">', 1200),
+    ('<div class="widget">', 100_000),
+    ("<script ", 250_000),
+    ("<svg>", 300_000),
+    ("<b x='", 300_000),
+    ("<b x='<c y=\"", 150_000),
+    ('<p "', 400_000),
+    ("<!-- ", 400_000),
+    ("<!x ", 400_000),
+    ("<", 1_000_000),
+    ("<div></p>", 200_000),
+    ("<ul><li>", 200_000),
+    ("</li>", 300_000),
+]
+
+
+@pytest.mark.parametrize("mark,times", DEEP)
+def test_time_grows_with_the_page(mark, times):
+    """Pages of up to two megabytes, with the article after what is odd where that leaves it readable."""
+    start = time.process_time()
+    text = line_blocks.main_text(mark * times + "<h1>T</h1><p>" + WIDE)
+    assert time.process_time() - start < 20
+    if "class" in mark:
+        assert text.split("\n") == ["T", WIDE.strip()]
+
+
+def test_many_stray_closing_tags():
+    start = time.process_time()
+    line_blocks.main_text("<div>" * 100_000 + "</p>" * 100_000 + ("<p>short</p>" + "<p><a>l</a></p>" * 4) * 10_000)
+    assert time.process_time() - start < 20
+
+
 def test_pages_in_spark(spark):
     rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, None), (3, "v", "<p>" + "w " * 50_000, "y")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
