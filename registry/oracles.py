@@ -281,6 +281,22 @@ O["skipped_blocks"] = """
 O["missing_transactions"] = """
     select block_height, block_hash, txid, 'no_transaction' as reason from hits where block_height % 11 = 5"""
 O["staking_outputs"] = "select * exclude (event_id) from hits"
+O["staking_outputs_by_prefix"] = """
+    select o.block_height, o.block_hash, o.txid, o.value, o.script_hex,
+        strftime(make_timestamp(t.time * 1000000), '%Y-%m-%dT%H:%M:%S') as timestamp, p.prefix, p.project
+    from block_outputs o join block_times t using (block_height)
+    join (values ('6a', 'data'), ('6a4762626e31', 'staking'), ('6a24aa21a9ed', 'commitment'), ('0014', 'key'))
+        p(prefix, project) on starts_with(o.script_hex, p.prefix)
+    qualify row_number() over (partition by o.txid, o.vout_index order by length(p.prefix) desc) = 1"""
+CTES["finished"] = """
+    select block_height - block_height % 3 as first, block_height - block_height % 3 + 2 as last from hits"""
+CTES["finished_heights"] = "select distinct unnest(range(first, last + 1)) as height from finished"
+O["covered_intervals"] = """
+    select min(height) as first, max(height) as last
+    from (select height, height - row_number() over (order by height) as island from finished_heights) group by island"""
+O["scan_uncovered"] = """
+    select block_height as height, 'bh' || cast(block_height as varchar) as hash
+    from block_times where block_height not in (select height from finished_heights)"""
 O["sink_csv"] = """
     select cast(block_height as varchar) as block_height, block_hash, txid, cast(value as varchar) as value,
         script_hex, timestamp from hits"""
@@ -334,6 +350,7 @@ O["stream_upsert"] = "select * exclude (id) from merged_balances"
 O["stream_latest_state"] = """
     select token_implementation, cast(arg_max(balance, date) as decimal(20,8)) as balance, max(date) as date
     from final_days group by 1"""
+O["stream_latest_store"] = O["stream_latest_state"]
 
 # ---------------------------------------------------------------- polls and decoders
 
@@ -751,6 +768,58 @@ O["ordered_top_gainers_by_tokenimpl"] = f"""
     from ({O['top_gainers_by_tokenimpl']})"""
 CTES["held_fallback"] = O["join_reserve_to_impl"]
 CTES["object_values"] = O["sui_fallback_objects"]
+O["ordered_historical_supplies_by_tokenimpl"] = f"""
+    select project_rank, network_rank, date, row_number() over (order by
+        nullif(project_rank, 0) desc nulls last, nullif(network_rank, 0) desc nulls last, date desc nulls last) - 1 as place
+    from ({O['historical_supplies_by_tokenimpl']})"""
+O["ordered_helper_token_balances_adjusted"] = """
+    select date, token_implementation,
+        row_number() over (order by date desc nulls first, token_implementation asc nulls last) - 1 as place
+    from adjusted"""
+
+# ---------------------------------------------------------------- kept tables, dollars
+
+
+def _over(source: str, replaced: str, suffix: str, names: list[str]) -> None:
+    """The same tables derived from another one in place of ``replaced``."""
+    renamed = {replaced: source, **{n: f"{n}_{suffix}" for n in names}}
+    for name in names:
+        sql = CTES[name]
+        for old, new in renamed.items():
+            sql = re.sub(rf"\b(from|join)(\s+){old}\b", rf"\1\2{new}", sql)
+        CTES[f"{name}_{suffix}"] = sql
+
+
+CTES["grown_balances"] = "select date, token_implementation, balance, created_at, id from merged_balances"
+_over("grown_balances", "balances", "grown", ["recent", "pegged_recent", "adjusted_now", "supply_now", "child_sums"])
+O["kept_latest_supplies"] = f"""
+    select token_implementation, balance, date, {DESCRIBED},
+        rank() over (order by balance desc nulls first) as rank from supply_now_grown"""
+O["kept_adjusted_history"] = """
+    select b.date, b.token_implementation,
+        cast(b.balance - coalesce(c.total, 0) as decimal(20,8)) as balance, b.created_at, b.id
+    from grown_balances b
+    left join child_sums_grown c on c.parent = b.token_implementation and c.date = b.date"""
+CTES["grown_reserves"] = O["upsert_reserve_balances"]
+_over("grown_reserves", "reserves", "grown", ["reserves_now", "reserves_adjusted"])
+O["kept_latest_reserves"] = f"""
+    select token_implementation, balance, date, {DESCRIBED},
+        rank() over (order by balance desc nulls first) as rank
+    from reserves_adjusted_grown join star using (token_implementation)"""
+_USD = "cast(round(cast({0} as decimal(20,8)) * price_usd, 8) as decimal(38,8)) as supply_usd"
+O["supply_usd_current"] = f"""
+    select token_implementation, network_slug, s.token_slug, balance, s.date, price_usd, p.date as price_date,
+        {_USD.format('balance')}
+    from (select *, {AS_OF} as valued_on from supply_now) s
+    asof left join prices p on p.token_slug = s.token_slug and s.valued_on >= p.date"""
+CTES["token_days"] = """
+    select a.date, s.token_slug, cast(sum(a.balance) as decimal(38,8)) as total_balance
+    from adjusted a join star s using (token_implementation) where not s.depegged group by 1, 2"""
+O["supply_usd_history"] = f"""
+    select t.date, t.token_slug, total_balance, price_usd, cast(p.known as date) as price_date,
+        {_USD.format('total_balance')}
+    from token_days t
+    asof left join (select *, date + 1 as known from prices) p on p.token_slug = t.token_slug and t.date >= p.known"""
 O["endpoint_read"] = f"select * from ({O['top_gainers_by_tokenimpl_absolute']}) where period = 'weekly'"
 
 # ---------------------------------------------------------------- assembly

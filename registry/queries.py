@@ -12,10 +12,10 @@ from satlake import fixtures
 from satlake.catalog import Catalog
 from satlake.functions import scalars
 from satlake.operators import adjust, asof, blocks, latest, quality, ranking, star, upsert
-from satlake.plans import decode, gainers, ingest, network_config, prices, reserves, supplies
+from satlake.plans import decode, gainers, ingest, maintain, network_config, prices, reserves, supplies, usd
 from satlake.session import fresh_path
 from satlake.sources import chain, source_config, tables
-from satlake.streaming import daily
+from satlake.streaming import daily, latest_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -291,6 +291,51 @@ def dead_letter(spark, sf_dir):
     return decode.quarantined(_mixed(spark, sf_dir)).select("seq", "source", "token_implementation", "reason")
 
 
+# Cuts of the polls in the order in which they are merged: later ones first.
+POLL_CUTS = (2, 0, 1)
+
+
+def _kept_after_polls(spark, sf_dir):
+    """Catalog over kept tables after the shifted polls came in cuts, none of them in order."""
+    root = fixtures.kept_copy(spark, sf_dir)
+    cat = Catalog.from_parquet(spark, root, fixtures.AS_OF)
+    values = fresh_path(spark, "daily-values")
+    tables.create_table(spark, values, "daily_values")
+    follow = maintain.followers(cat, root, "token_balances")
+    write = daily.write_daily_values(spark, values, f"{root}/token_balances", inserted_at(), follow)
+    polled = _decoded_observations(spark, sf_dir, fixtures.UPSERT_SHIFT_DAYS)
+    for cut in POLL_CUTS:
+        write(daily.finalize_day(polled.where(F.col("seq") % len(POLL_CUTS) == cut)), cut)
+    return cat.reopened()
+
+
+@query("kept_latest_supplies")
+def kept_latest_supplies(spark, sf_dir):
+    """Current supplies from the kept latest rows, after polls that came in cuts."""
+    return supplies.current_supplies_by_tokenimpl(_kept_after_polls(spark, sf_dir))
+
+
+@query("kept_adjusted_history")
+def kept_adjusted_history(spark, sf_dir):
+    """The adjusted history as the upserts keep it, after polls that came in cuts."""
+    result = adjust.adjusted_history(_kept_after_polls(spark, sf_dir))
+    return result.withColumn("id", F.when(F.col("created_at") != inserted_at(), F.col("id")))
+
+
+@query("kept_latest_reserves")
+def kept_latest_reserves(spark, sf_dir):
+    """Current reserves from the kept latest rows, after reserve polls."""
+    root = fixtures.kept_copy(spark, sf_dir)
+    cat = Catalog.from_parquet(spark, root, fixtures.AS_OF)
+    maintain.upsert_reserves(cat, root, _incoming_reserves(spark, sf_dir), ["seq"], inserted_at())
+    return reserves.current_reserves_by_tokenimpl(cat.reopened())
+
+
+catalog_query("supply_usd_current", usd.current_supply_usd)
+# Prices known a day late, so that every supply takes an earlier one.
+catalog_query("supply_usd_history", lambda cat: usd.historical_supply_usd(cat, "slug", delay_days=1))
+
+
 @query("decode_observations")
 def decode_observations(spark, sf_dir):
     return decode.valid_balances(_mixed(spark, sf_dir)).drop("observed_at")
@@ -310,6 +355,34 @@ def resume_checkpoint(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+# Two prefixes within another, and one of other scripts.
+PREFIXES = {"6a": "data", blocks.STAKING_PREFIX: "staking", "6A24aa21A9ed": "commitment", "0014": "key"}
+
+
+@query("staking_outputs_by_prefix")
+def staking_outputs_by_prefix(spark, sf_dir):
+    """All outputs whose script starts with one of several prefixes, in one scan."""
+    return blocks.staking_outputs_by_prefix(_blocks(spark, sf_dir), blocks.prefix_table(spark, PREFIXES))
+
+
+def _finished_intervals(spark, sf_dir):
+    """Each block with a hit stands for a scan of some heights around it; they overlap and leave gaps."""
+    hits = blocks.staking_outputs(_blocks(spark, sf_dir)).select("block_height")
+    reach = F.col("block_height") % 3
+    return hits.select((F.col("block_height") - reach).alias("first"), (F.col("block_height") + 2 - reach).alias("last"))
+
+
+@query("covered_intervals")
+def covered_intervals(spark, sf_dir):
+    return chain.covered_intervals(_finished_intervals(spark, sf_dir))
+
+
+@query("scan_uncovered")
+def scan_uncovered(spark, sf_dir):
+    """Blocks that no finished interval holds, below, between and above them."""
+    return chain.scan_uncovered(_blocks(spark, sf_dir), _finished_intervals(spark, sf_dir)).select("height", "hash")
+
+
 catalog_query(
     "endpoint_read",
     lambda cat: cat.view("top_gainers_by_tokenimpl_absolute", {"period": "eq.weekly"}),
@@ -326,6 +399,8 @@ def _ordered(view: str, *columns: str) -> None:
 
 _ordered("current_supplies_by_network", "total_balance")
 _ordered("top_gainers_by_tokenimpl", "period", "percent_change")
+_ordered("historical_supplies_by_tokenimpl", "project_rank", "network_rank", "date")
+_ordered("helper_token_balances_adjusted", "date", "token_implementation")
 
 
 @query("observation_source")
@@ -890,3 +965,13 @@ def stream_latest_state(spark, sf_dir):
     candidates = daily.finalize_day(_stream_values(spark, sf_dir))
     daily.stream_latest_state(candidates, path, fresh_path(spark, "stream-checkpoint"))
     return tables.read_table(spark, path, "daily_values").drop("poll_order")
+
+
+@query("stream_latest_store")
+def stream_latest_store(spark, sf_dir):
+    """The same from the state store of the stream, started twice on one checkpoint."""
+    checkpoint = fresh_path(spark, "latest-store")
+    candidates = daily.finalize_day(_stream_values(spark, sf_dir))
+    for _ in range(2):
+        latest_store.stream_latest(candidates, checkpoint)
+    return latest_store.read_latest(spark, checkpoint).drop("poll_order")

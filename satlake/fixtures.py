@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from satlake.catalog import Catalog, scan_table
 from satlake.functions.scalars import epoch_seconds
-from satlake.schemas import DDL, schema
+from satlake.plans.maintain import build_kept
+from satlake.schemas import BASE_TABLES, DDL, schema
 from satlake.session import apply_settings, fresh_path, widen
 from satlake.sources.tables import ROWS_PER_FILE, write_monthly
 
@@ -31,7 +32,7 @@ _catalogs: dict[str, Catalog] = {}
 
 
 def stage(spark: SparkSession, sf_dir: str) -> str:
-    """Write the seven base tables of a scale factor once and return their folder."""
+    """Write the seven base tables of a scale factor, and those kept next to them, once; returns their folder."""
     return _once(spark, sf_dir, "domain", _write_balances)
 
 
@@ -214,6 +215,8 @@ def _write_balances(spark: SparkSession, sf_dir: str, root: str) -> None:
         )
     ).withColumn("created_at", F.lit(None).cast("timestamp_ntz"))
     _save(networks.coalesce(1), root, "networks")
+    # Kept from here on by the upserts of the facts.
+    build_kept(Catalog.from_parquet(spark, root, AS_OF), root)
 
 
 def _write_chain(spark: SparkSession, sf_dir: str, root: str) -> None:
@@ -270,6 +273,19 @@ def _write_chain(spark: SparkSession, sf_dir: str, root: str) -> None:
     _save(observations, root, "observations")
 
 
+def kept_copy(spark: SparkSession, sf_dir: str) -> str:
+    """A new copy of the seven tables with kept latest rows and adjusted history, for one upsert job."""
+    cat = catalog(spark, sf_dir)
+    root = fresh_path(spark, "kept")
+    for table in BASE_TABLES:
+        if table in cat.monthly:
+            write_monthly(cat.tables[table], f"{root}/{table}")
+        else:
+            cat.tables[table].write.parquet(f"{root}/{table}")
+    build_kept(cat, root)
+    return root
+
+
 def monthly_copy(spark: SparkSession, sf_dir: str, table: str, name: str) -> str:
     """A month-partitioned copy of a fact table for one upsert job, made once."""
 

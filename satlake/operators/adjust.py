@@ -7,10 +7,10 @@ the dependency graph is an edge list of at most one row per implementation.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from satlake.catalog import Catalog
+from satlake.catalog import ADJUSTED, Catalog
 from satlake.functions.scalars import concat_skip_null
 from satlake.schemas import BALANCE, TOTAL
 
@@ -106,8 +106,17 @@ def subtract_children(balances: DataFrame, totals: DataFrame, on: list[str], tar
     )
 
 
+def adjusted_history(cat: Catalog, only: DataFrame | None = None) -> DataFrame:
+    """The adjusted balances as the upserts keep them, or computed where they do not."""
+    kept = cat.kept.get(ADJUSTED)
+    return helper_token_balances_adjusted(cat, only=only) if kept is None else kept
+
+
 def helper_token_balances_adjusted(
-    cat: Catalog, balances: DataFrame | None = None, only: DataFrame | None = None
+    cat: Catalog,
+    balances: DataFrame | None = None,
+    only: DataFrame | None = None,
+    groups: DataFrame | None = None,
 ) -> DataFrame:
     """Daily balances minus the children's balances of the same date.
 
@@ -115,7 +124,8 @@ def helper_token_balances_adjusted(
     their own date only, so one date range can be recomputed on its own by
     passing its ``balances``.  ``only`` names the wanted implementations: rows
     that neither belong to them nor are subtracted from them stay out of the
-    shuffle.
+    shuffle.  ``groups`` names the wanted (token_implementation, date), or
+    token_implementation alone.
     """
     facts = cat.token_balances if balances is None else balances
     links = cat.per_implementation(_family_links(cat, only))
@@ -125,7 +135,7 @@ def helper_token_balances_adjusted(
     # Rows without an implementation belong to nobody: their id keeps them apart.
     nameless = F.when(F.col("token_implementation").isNull(), F.col("id"))
     adjusted = net_of_children(
-        rows.withColumn("nameless", nameless), ["date", "nameless"], ["created_at", "id"]
+        rows.withColumn("nameless", nameless), ["date", "nameless"], ["created_at", "id"], groups
     )
     return adjusted.select(
         "date", "token_implementation", F.col("balance").cast(BALANCE).alias("balance"), "created_at", "id"
@@ -149,13 +159,21 @@ def _family_links(cat: Catalog, only: DataFrame | None) -> DataFrame:
     )
 
 
-def net_of_children(rows: DataFrame, keys: list[str], carried: list[str]) -> DataFrame:
+def same_group(rows: DataFrame, groups: DataFrame, holder: str = "token_implementation") -> Column:
+    """Condition that a row belongs to one of ``groups``; a missing date is a date of its own."""
+    same = rows[holder] == groups["token_implementation"]
+    return same & rows["date"].eqNullSafe(groups["date"]) if "date" in groups.columns else same
+
+
+def net_of_children(
+    rows: DataFrame, keys: list[str], carried: list[str], groups: DataFrame | None = None
+) -> DataFrame:
     """Balance minus the children's balances, in one scan and one shuffle.
 
     ``rows`` has one row per implementation and ``keys``, with the columns
     parent and keep_own.  Each row goes to its own key and, if bridged, also to
     its parent's; a key gets one row per child at most, so none is hot.  Keys
-    that only children reached are dropped.
+    that only children reached are dropped, as are those not in ``groups``.
     """
     types = {f.name: f.dataType for f in rows.schema}
     nothing = F.lit(None).cast(TOTAL)
@@ -179,9 +197,11 @@ def net_of_children(rows: DataFrame, keys: list[str], carried: list[str]) -> Dat
         .otherwise(F.array(lent))
     )
     taken = F.coalesce(F.sum("bridged").cast(TOTAL), F.lit(0).cast(TOTAL))
+    dealt = rows.select(F.inline(pieces))
+    if groups is not None:
+        dealt = dealt.join(groups, same_group(dealt, groups, "holder"), "left_semi")
     return (
-        rows.select(F.inline(pieces))
-        .groupBy("holder", *keys)
+        dealt.groupBy("holder", *keys)
         .agg(
             F.max("own").alias("own"),
             (F.max("own") - taken).cast(TOTAL).alias("balance"),

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from satlake.catalog import counted
 from satlake.functions.scalars import iso_from_epoch
 from satlake.operators.latest import first_per_key
 
@@ -54,6 +57,45 @@ def staking_outputs(blocks: DataFrame, prefix: str = STAKING_PREFIX) -> DataFram
     return staking_hits(blocks, prefix).select(*HIT_COLUMNS)
 
 
+def prefix_table(spark: SparkSession, prefixes: Mapping[str, str]) -> DataFrame:
+    """(prefix, project) of the script prefixes to look for; letters of hex texts are lower-case."""
+    rows = [(prefix.lower(), project) for prefix, project in prefixes.items()]
+    return spark.createDataFrame(rows, "prefix string, project string")
+
+
+def staking_hits_by_prefix(blocks: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """Outputs whose script starts with one of many prefixes, each with the longest that fits.
+
+    One scan serves all prefixes: a script is cut to every length that occurs
+    among them, and the cuts meet the prefixes by equality, so the work does
+    not grow with the number of prefixes but with that of their lengths.  Only
+    outputs that fit are shuffled.
+    """
+    # A script has few possible prefix lengths, whatever the number of prefixes.
+    lengths = sorted(r[0] for r in prefixes.select(F.length("prefix")).distinct().collect() if r[0])
+    outputs = _outputs(blocks)
+    hex_text = F.col("vout.scriptPubKey.hex")
+    cuts = F.array(*[F.substring(hex_text, 1, n) for n in lengths]).cast("array<string>")
+    known = prefixes.where("prefix <> ''").groupBy("prefix").agg(F.min("project").alias("project"))
+    fitting = outputs.withColumn("prefix", F.explode(F.array_distinct(cuts))).join(counted(known), "prefix")
+    carried = [
+        F.col("vout.value").alias("value"),
+        hex_text.alias("script_hex"),
+        iso_from_epoch(F.col("time")).alias("timestamp"),
+        "first_value",
+        "project",
+        "prefix",
+    ]
+    place = ["block_height", "block_hash", "txid", "tx_index", "vout_index"]
+    longest = F.max_by(F.struct(*carried), F.length("prefix")).alias("hit")
+    return fitting.groupBy(*place).agg(longest).select(*place, "hit.*")
+
+
+def staking_outputs_by_prefix(blocks: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """The scan's columns with the prefix and its project."""
+    return staking_hits_by_prefix(blocks, prefixes).select(*HIT_COLUMNS, "prefix", "project")
+
+
 def distinct_first_txid(hits: DataFrame, order: list[str]) -> DataFrame:
     """The first hit of each transaction id."""
     return first_per_key(hits, "txid", order, ["block_height", "block_hash"])

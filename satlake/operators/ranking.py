@@ -37,8 +37,10 @@ def rank_by_counts(
 ) -> DataFrame:
     """Rank from counts per distinct value, put together from ranges of values.
 
-    Rows of one value are counted before the shuffle, so ties cannot make a
-    task heavy.  The counts are dealt by ranges of the value, however narrow a
+    The rows are written first, and both the counts and the result are made of
+    what was written: the result is a snapshot, and rows that reach the input
+    later cannot miss their counts.  Rows of one value are counted before the
+    shuffle, so ties cannot make a task heavy.  The counts are dealt by ranges of the value, however narrow a
     band the values lie in, and fixed by a written table; a rank is the rows
     before it in its range plus those of the ranges before, of which there is
     one row per task.  The rows then join back on the value, where a value
@@ -47,7 +49,9 @@ def rank_by_counts(
     within = list(within)
     spark = df.sparkSession
     order = [*[F.col(c).asc() for c in within], F.col(value).desc_nulls_first()]
-    path = fresh_path(spark, "rank-counts")
+    rows_path, path = fresh_path(spark, "rank-rows"), fresh_path(spark, "rank-counts")
+    df.write.parquet(rows_path)
+    df = spark.read.schema(df.schema).parquet(rows_path)
     (
         df.groupBy(*within, value)
         .agg(F.count(F.lit(1)).alias("_n"))

@@ -339,7 +339,8 @@ def impl_fallback_reserve(cat: Catalog) -> DataFrame:
     reserves = cat.reserve_implementations.select("id", "derivative_token")
     # The latest row of a derivative token is the latest of one of its reserves,
     # so the history is reduced per reserve before it meets the dimension.
-    facts = latest_by(cat.reserve_balances, "reserve_implementation_id", "date", "balance")
+    rows = cat.recent_rows("reserve_balances", "reserve_implementation_id")
+    facts = latest_by(rows, "reserve_implementation_id", "date", "balance")
     joined = facts.join(reserves, facts["reserve_implementation_id"] == reserves["id"])
     order = F.struct("date", (-F.col("id")).alias("low_id"))
     return (

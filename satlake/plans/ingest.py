@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,16 +10,16 @@ from pyspark.sql import functions as F
 from satlake.catalog import Catalog
 from satlake.operators.upsert import upsert_reserve_balances
 from satlake.plans.decode import decode_observations, decode_reserves, quarantined, valid_balances
-from satlake.session import fresh_path
+from satlake.session import work_path
 from satlake.sources.source_config import RESERVE_NETWORKS
-from satlake.sources.tables import upsert_months
+from satlake.sources.tables import Landed, upsert_months
 from satlake.streaming.daily import drain, finalize_day, write_daily_values
 
 
-def _kept(df: DataFrame, label: str) -> DataFrame:
-    """Written once, so that the valid and the rejected rows come from one decoding."""
-    path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+def _kept(df: DataFrame, dead_path: str) -> DataFrame:
+    """Written once, in place of the batch before, so that valid and rejected rows come from one decoding."""
+    path = f"{work_path(df.sparkSession, dead_path)}/decoded"
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -33,14 +33,17 @@ def ingest_polls(
     created_at: Column,
     batch: str = "0",
     objects: DataFrame | None = None,
+    follow: Sequence[Callable[[Landed], None]] = (),
 ) -> None:
     """One batch of token polls into the daily values and the balances; rejects go to ``dead_path``.
 
     Repeating a batch changes nothing: its rejects take the same folder again.
+    ``objects`` are the polled second places of coins, ``follow`` the steps
+    that keep further tables up to date (``maintain.followers``).
     """
-    decoded = _kept(decode_observations(cat, observations, config, objects=objects), "decoded")
+    decoded = _kept(decode_observations(cat, observations, config, objects=objects), dead_path)
     quarantined(decoded).write.mode("overwrite").parquet(f"{dead_path}/batch={batch}")
-    write = write_daily_values(cat.spark, values_path, balances_path, created_at)
+    write = write_daily_values(cat.spark, values_path, balances_path, created_at, follow)
     write(finalize_day(valid_balances(decoded)), 0)
 
 
@@ -53,11 +56,20 @@ def stream_polls(
     dead_path: str,
     checkpoint: str,
     created_at: Column,
+    objects: Callable[[], DataFrame] | None = None,
+    follow: Sequence[Callable[[Landed], None]] = (),
 ) -> None:
-    """The same for a stream of landed polls, batch by batch."""
+    """The same for a stream of landed polls, batch by batch.
+
+    ``objects`` is called per batch: the objects are polled as often as the
+    coins, and a batch sees what has landed of them when it runs.
+    """
 
     def write(batch: DataFrame, epoch: int) -> None:
-        ingest_polls(cat, batch, config, values_path, balances_path, dead_path, created_at, str(epoch))
+        second = None if objects is None else objects()
+        ingest_polls(
+            cat, batch, config, values_path, balances_path, dead_path, created_at, str(epoch), second, follow
+        )
 
     drain(observations.writeStream.foreachBatch(write), checkpoint)
 
@@ -70,6 +82,7 @@ def ingest_reserves(
     created_at: Column,
     batch: str = "0",
     networks: Sequence[str] = RESERVE_NETWORKS,
+    follow: Sequence[Callable[[Landed], None]] = (),
 ) -> None:
     """One batch of reserve polls (seq, reserve_implementation_id, date, payload, status).
 
@@ -78,7 +91,7 @@ def ingest_reserves(
     decoded = decode_reserves(cat, observations)
     reported = F.col("reserve_network").isin(*networks)
     reason = F.coalesce("reason", F.when(~reported, F.lit("unsupported_network")))
-    decoded = _kept(decoded.withColumn("reason", reason), "decoded-reserves")
+    decoded = _kept(decoded.withColumn("reason", reason), dead_path)
     rejected = decoded.where(F.col("reason").isNotNull()).select(
         "seq", "reserve_implementation_id", "date", "status", "payload", "reason"
     )
@@ -97,4 +110,6 @@ def ingest_reserves(
     def merge(existing: DataFrame, incoming: DataFrame) -> DataFrame:
         return upsert_reserve_balances(existing, incoming, ["seq"], created_at)
 
-    upsert_months(cat.spark, balances_path, "reserve_balances", rows, merge)
+    landed = upsert_months(cat.spark, balances_path, "reserve_balances", rows, merge)
+    for step in follow if landed else ():
+        step(landed)

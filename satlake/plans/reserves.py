@@ -35,9 +35,8 @@ def recent_reserves(cat: Catalog) -> DataFrame:
     The latest date is found on the raw rows, so only rows of that date are
     summed instead of the whole history.
     """
-    latest = latest_with_ties(
-        cat.reserve_balances.select(*_GROUP, "balance"), "derivative_token", "date", cat.per_implementation
-    )
+    rows = cat.recent_rows("reserve_balances", "derivative_token").select(*_GROUP, "balance")
+    latest = latest_with_ties(rows, "derivative_token", "date", cat.per_implementation)
     return _summed(latest).select(
         F.col("derivative_token").alias("token_implementation"),
         F.col("total_balance").alias("balance"),

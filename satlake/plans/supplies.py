@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from satlake.catalog import Catalog
 from satlake.functions.scalars import concat_skip_null, distinct_array
 from satlake.operators.adjust import (
-    helper_token_balances_adjusted,
+    adjusted_history,
     net_of_children,
     pegged_links,
 )
@@ -18,9 +18,13 @@ from satlake.operators.star import DESCRIPTION, describe, described_implementati
 from satlake.schemas import LIQUID_STAKING, STAKING, TOTAL
 
 
+def _recent_rows(cat: Catalog) -> DataFrame:
+    return cat.recent_rows("token_balances", "token_implementation")
+
+
 def recent_balances(cat: Catalog) -> DataFrame:
     """Latest raw balance per implementation, each at its own latest date."""
-    return latest_by(cat.token_balances, "token_implementation", "date", "balance")
+    return latest_by(_recent_rows(cat), "token_implementation", "date", "balance")
 
 
 def recent_pegged_balances(cat: Catalog) -> DataFrame:
@@ -30,7 +34,7 @@ def recent_pegged_balances(cat: Catalog) -> DataFrame:
     shuffled.
     """
     links = cat.per_implementation(pegged_links(cat))
-    facts = cat.token_balances.join(links, "token_implementation")
+    facts = _recent_rows(cat).join(links, "token_implementation")
     # An implementation has one parent or none, so the parent splits no group.
     return facts.groupBy("token_implementation", "parent").agg(
         F.max_by("balance", "date").alias("balance"), F.max("date").alias("date")
@@ -96,7 +100,7 @@ def current_supplies_by_tokenproject(cat: Catalog) -> DataFrame:
 def _historical_rows(cat: Catalog, type_filter: Column) -> DataFrame:
     kept = (F.col("depegged") == F.lit(False)) & type_filter
     dim = described_implementations(cat).where(kept)
-    adjusted = helper_token_balances_adjusted(cat, only=dim)
+    adjusted = adjusted_history(cat, only=dim)
     return adjusted.join(cat.per_implementation(dim), "token_implementation")
 
 
@@ -185,7 +189,7 @@ def historical_supplies_by_tokenimpl(cat: Catalog) -> DataFrame:
     )
     zero = F.lit(0).cast("bigint")
     return (
-        helper_token_balances_adjusted(cat)
+        adjusted_history(cat)
         .join(cat.per_implementation(dim), "token_implementation")
         .select(
             "network_name",

@@ -20,6 +20,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Upserts replace only the partitions that a batch touches.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # A table of some decades of months is listed by the driver, without a job.
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "1000",
 }
 
 # Settings that must be there when the session starts.

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from satlake.schemas import schema
 
@@ -43,6 +44,62 @@ def scan_after(blocks: DataFrame, done: DataFrame) -> DataFrame:
     return blocks.where(F.col("height") > F.coalesce(last, F.lit(-1)))
 
 
+# Heights that one task of the interval steps looks at together.
+INTERVAL_SPAN = 1 << 16
+
+
+def _spans(intervals: DataFrame) -> DataFrame:
+    """Intervals cut at the spans that they reach over, with their span."""
+    span = F.explode(F.sequence(F.floor(F.col("first") / INTERVAL_SPAN), F.floor(F.col("last") / INTERVAL_SPAN)))
+    cut = intervals.where("first <= last").select("first", "last", span.alias("span"))
+    low = F.col("span") * INTERVAL_SPAN
+    return cut.select(
+        "span",
+        F.greatest("first", low).alias("first"),
+        F.least("last", low + F.lit(INTERVAL_SPAN - 1)).alias("last"),
+    ).distinct()
+
+
+def covered_intervals(intervals: DataFrame) -> DataFrame:
+    """(first, last) of the stretches of heights that the given (first, last) cover, merged where they meet.
+
+    The intervals may overlap, repeat and adjoin each other.  Each span of
+    heights is merged on its own; what is left, at least one interval per span
+    but no more than the gaps ask for, is merged across spans.
+    """
+    return _merged(_merged(_spans(intervals), ["span"]).drop("span"), [])
+
+
+def _merged(intervals: DataFrame, within: list[str]) -> DataFrame:
+    order = Window.partitionBy(*within).orderBy("first", "last")
+    reached = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.col("first") > F.coalesce(reached, F.lit(-2)) + 1
+    island = F.sum(begins.cast("bigint")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    marked = intervals.withColumn("begins", begins).withColumn("island", island)
+    return marked.groupBy(*within, "island").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("island")
+
+
+def heights_done(done: DataFrame) -> DataFrame:
+    """Finished heights as intervals of one height each."""
+    return done.where("height is not null").select(F.col("height").alias("first"), F.col("height").alias("last"))
+
+
+def scan_uncovered(blocks: DataFrame, intervals: DataFrame) -> DataFrame:
+    """Blocks in none of the finished intervals, wherever the gaps are.
+
+    Blocks and intervals meet by equality of their span; of the merged
+    intervals a span has no more than it has gaps, and a block keeps its place
+    as soon as one of them is found to hold it.
+    """
+    spans = _spans(covered_intervals(intervals))
+    inside = (
+        (F.floor(F.col("height") / INTERVAL_SPAN) == F.col("span"))
+        & (F.col("height") >= F.col("first"))
+        & (F.col("height") <= F.col("last"))
+    )
+    return blocks.join(spans, inside, "left_anti")
+
+
 def write_csv(df: DataFrame, path: str, append: bool) -> None:
     """CSV with a header; either added to the folder or in place of its content.
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed values. Networks whose tokens report a hex total supply under result.
 EVM_HEX_NETWORKS = (
@@ -95,6 +97,19 @@ def default_sources() -> list[tuple]:
     ]
 
 
+def _literal(value: str | bool | None) -> str:
+    if value is None:
+        return "null"
+    return str(value).lower() if isinstance(value, bool) else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def source_config(spark: SparkSession, rows: list[tuple] | None = None) -> DataFrame:
-    """The configuration as a DataFrame; its size is fixed by the list of sources."""
-    return spark.createDataFrame(rows if rows is not None else default_sources(), CONFIG_SCHEMA)
+    """The configuration as literal rows; its size is fixed by the list of sources."""
+    fields = T.StructType.fromDDL(CONFIG_SCHEMA).fields
+    if rows is None:
+        rows = default_sources()
+    if not rows:
+        return spark.createDataFrame([], CONFIG_SCHEMA)
+    values = ", ".join(f"({', '.join(map(_literal, row))})" for row in rows)
+    said = spark.sql(f"select * from values {values} as t({', '.join(f.name for f in fields)})")
+    return said.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])

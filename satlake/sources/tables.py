@@ -7,14 +7,19 @@ A write puts its months into a new version and then writes the next pointer,
 which counts from the moment its job is committed.  Until then readers see the
 table as it was; a write that was cut off leaves folders that nobody points to
 and can simply be repeated.  One writer per table.
+
+No write drops anything: a DataFrame keeps the files that it was opened on.
+``sweep``, run apart from the writes, drops what has been out of use for longer
+than any reader is held.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,8 +33,8 @@ UNDATED = "undated"
 # Files of one month are split beyond this many rows.
 ROWS_PER_FILE = 5_000_000
 
-# Pointers whose versions stay readable for those who have read them.
-KEPT_POINTERS = 2
+# How long a version that is out of use stays readable for those who hold it.
+KEPT_FOR = timedelta(days=1)
 
 Merge = Callable[[DataFrame, DataFrame], DataFrame]
 
@@ -55,14 +60,21 @@ class _Folder:
     def holds(self, name: str) -> bool:
         return self.fs.exists(self.path_of(self.path, name))
 
+    def written(self, name: str) -> float:
+        """When an entry was last changed, in seconds."""
+        return self.fs.getFileStatus(self.path_of(self.path, name)).getModificationTime() / 1000
+
     def drop(self, name: str) -> None:
         self.fs.delete(self.path_of(self.path, name), True)
 
 
-def _pointers(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the committed pointers, in order."""
+def _last_pointer(spark: SparkSession, path: str) -> int:
+    """Number of the last committed pointer; 0 without one."""
     folder = _Folder(spark, f"{path}/pointers")
-    return sorted(int(n) for n in folder.names() if folder.holds(f"{n}/_SUCCESS"))
+    for n in sorted(map(int, folder.names()), reverse=True):
+        if folder.holds(f"{n}/_SUCCESS"):
+            return n
+    return 0
 
 
 def _pointed(spark: SparkSession, path: str, pointer: int) -> dict[str, str]:
@@ -71,32 +83,46 @@ def _pointed(spark: SparkSession, path: str, pointer: int) -> dict[str, str]:
 
 
 def is_table(spark: SparkSession, path: str) -> bool:
-    return bool(_pointers(spark, path))
+    return _last_pointer(spark, path) > 0
 
 
 def current(spark: SparkSession, path: str) -> dict[str, str]:
     """Version of each month, one entry per calendar month."""
-    found = _pointers(spark, path)
-    return _pointed(spark, path, found[-1]) if found else {}
+    last = _last_pointer(spark, path)
+    return _pointed(spark, path, last) if last else {}
 
 
 def _commit(spark: SparkSession, path: str, months: dict[str, str]) -> None:
-    following = max(_pointers(spark, path), default=0) + 1
-    rows = spark.createDataFrame(sorted(months.items()), "month string, version string")
+    following = _last_pointer(spark, path) + 1
+    entries = ", ".join(f"('{month}', '{version}')" for month, version in sorted(months.items()))
+    rows = spark.sql(f"select * from values {entries or '(null, null)'} as t(month, version)").where("month is not null")
     rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/pointers/{following}")
 
 
-def _sweep(spark: SparkSession, path: str) -> None:
-    """Drop the versions that no kept pointer names."""
-    found = _pointers(spark, path)
-    kept = {v for n in found[-KEPT_POINTERS:] for v in _pointed(spark, path, n).values()}
-    data = _Folder(spark, f"{path}/data")
-    for name in data.names():
-        if name.removeprefix("version=") not in kept:
-            data.drop(name)
+def sweep(spark: SparkSession, path: str, kept_for: timedelta = KEPT_FOR) -> list[str]:
+    """Drop the versions that no pointer has named for ``kept_for``; returns their names.
+
+    A pointer is out of use from the moment its successor was committed.
+    Versions that were written more recently stay, pointed to or not: they may
+    belong to a write that is under way.
+    """
     pointers = _Folder(spark, f"{path}/pointers")
-    for n in found[:-KEPT_POINTERS]:
+    committed = sorted(int(n) for n in pointers.names() if pointers.holds(f"{n}/_SUCCESS"))
+    if not committed:
+        return []
+    now = spark.sparkContext._jvm.java.lang.System.currentTimeMillis() / 1000
+    oldest = now - kept_for.total_seconds()
+    ended = [n for n, later in zip(committed, committed[1:]) if pointers.written(f"{later}/_SUCCESS") < oldest]
+    used = {v for n in committed if n not in ended for v in _pointed(spark, path, n).values()}
+    data = _Folder(spark, f"{path}/data")
+    gone = [
+        name for name in data.names() if name.removeprefix("version=") not in used and data.written(name) < oldest
+    ]
+    for name in gone:
+        data.drop(name)
+    for n in ended:
         pointers.drop(str(n))
+    return [name.removeprefix("version=") for name in gone]
 
 
 def write_monthly(df: DataFrame, path: str, replace: bool = False) -> None:
@@ -118,15 +144,17 @@ def write_monthly(df: DataFrame, path: str, replace: bool = False) -> None:
     months = {} if replace else current(spark, path)
     months |= {name.removeprefix(f"{MONTH}="): version for name in written}
     _commit(spark, path, months)
-    _sweep(spark, path)
 
 
-def read_monthly(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """The table with its month, which filters prune the files by."""
+def read_monthly(spark: SparkSession, path: str, table: str, only: Iterable[str] | None = None) -> DataFrame:
+    """The table with its month, which filters prune the files by; folders other than of ``only`` are not listed."""
     columns = T.StructType(
         [*schema(table).fields, T.StructField("version", T.StringType()), T.StructField(MONTH, T.StringType())]
     )
     months = current(spark, path)
+    if only is not None:
+        wanted = set(only)
+        months = {m: v for m, v in months.items() if m in wanted}
     if not months:
         return spark.createDataFrame([], columns).drop("version")
     folders = [f"{path}/data/version={v}/{MONTH}={m}" for m, v in sorted(months.items())]
@@ -142,19 +170,36 @@ def create_table(spark: SparkSession, path: str, table: str) -> None:
     write_monthly(spark.createDataFrame([], schema(table)), path)
 
 
-def touched_months(spark: SparkSession, path: str, table: str, batch: DataFrame) -> DataFrame:
-    """The months of the table that occur in the batch; other directories are not listed as input.
+class Landed:
+    """A batch as written, with the months that occur in it."""
+
+    def __init__(self, rows: DataFrame, months: list[str]):
+        self.rows, self.months = rows, months
+
+    def touched(self, path: str, table: str) -> DataFrame:
+        """The rows of these months in a table, with their month; its other months are not opened."""
+        return read_monthly(self.rows.sparkSession, path, table, self.months)
+
+
+def land(path: str, incoming: DataFrame) -> Landed:
+    """Write a batch below the work folder of a table, in place of the previous one.
 
-    The names are collected, at most one per calendar month, because a join
-    would not be sure to prune the scan.
+    The months are observed while the rows are written: at most one entry per
+    calendar month reaches the driver, and no job of its own is needed.
     """
-    months = [row[0] for row in batch.select(MONTH).distinct().collect()]
-    return read_monthly(spark, path, table).where(F.col(MONTH).isin(months))
+    spark = incoming.sparkSession
+    batch_path = f"{work_path(spark, path)}/batch"
+    seen = Observation()
+    rows = _with_month(incoming)
+    rows.observe(seen, F.collect_set(MONTH).alias("months")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static"
+    ).parquet(batch_path)
+    return Landed(spark.read.schema(rows.schema).parquet(batch_path), sorted(seen.get.get("months") or []))
 
 
 def upsert_months(
     spark: SparkSession, path: str, table: str, incoming: DataFrame, merge: Merge
-) -> DataFrame | None:
+) -> Landed | None:
     """Merge ``incoming`` into the months of the table that it touches.
 
     The batch is first written next to the shared work of this table, in place
@@ -163,13 +208,8 @@ def upsert_months(
     the first run was cut off or not.  Returns the batch as written, or None
     when it is empty.
     """
-    work = work_path(spark, path)
-    batch_path = f"{work}/batch"
-    written = _with_month(incoming)
-    written.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(batch_path)
-    batch = spark.read.schema(written.schema).parquet(batch_path)
-    if batch.isEmpty():
+    landed = land(path, incoming)
+    if not landed.months:
         return None
-    touched = touched_months(spark, path, table, batch).drop(MONTH)
-    write_monthly(merge(touched, batch.drop(MONTH)), path)
-    return batch
+    write_monthly(merge(landed.touched(path, table).drop(MONTH), landed.rows.drop(MONTH)), path)
+    return landed

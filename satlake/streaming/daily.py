@@ -6,7 +6,7 @@ the same checkpoint: it goes on where it stopped.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from satlake.operators.blocks import STAKING_PREFIX, staking_outputs
 from satlake.operators.upsert import merge_by_order, upsert_token_balances
 from satlake.plans.decode import poll_order
 from satlake.schemas import schema
-from satlake.sources.tables import MONTH, read_table, touched_months, upsert_months, write_monthly
+from satlake.sources.tables import MONTH, Landed, read_table, upsert_months, write_monthly
 
 
 def stream_observations(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -54,12 +54,17 @@ def finalize_day(observations: DataFrame) -> DataFrame:
 
 
 def write_daily_values(
-    spark: SparkSession, values_path: str, balances_path: str | None, created_at: Column
+    spark: SparkSession,
+    values_path: str,
+    balances_path: str | None,
+    created_at: Column,
+    follow: Sequence[Callable[[Landed], None]] = (),
 ) -> Callable[[DataFrame, int], None]:
     """Batch writer: merge candidates into the daily values, then upsert the winners.
 
     No state is kept between batches other than the tables, and repeating a
-    batch changes neither.
+    batch changes neither.  ``follow`` is called with the winners once they
+    are in the balance table.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
@@ -70,13 +75,15 @@ def write_daily_values(
         if balances_path is None or landed is None:
             return
         keys = [MONTH, "token_implementation", "date"]
-        current = touched_months(spark, values_path, "daily_values", landed)
-        winners = current.join(landed.select(*keys), keys, "left_semi")
+        current = landed.touched(values_path, "daily_values")
+        winners = current.join(landed.rows.select(*keys), keys, "left_semi")
 
         def merge(existing: DataFrame, incoming: DataFrame) -> DataFrame:
             return upsert_token_balances(existing, incoming, ["poll_order"], created_at)
 
-        upsert_months(spark, balances_path, "token_balances", winners.drop(MONTH), merge)
+        upserted = upsert_months(spark, balances_path, "token_balances", winners.drop(MONTH), merge)
+        for step in follow if upserted else ():
+            step(upserted)
 
     return write
 
@@ -87,9 +94,10 @@ def stream_daily_values(
     checkpoint: str,
     created_at: Column,
     balances_path: str | None = None,
+    follow: Sequence[Callable[[Landed], None]] = (),
 ) -> None:
     """Run candidates into the daily values and, if given, into a balance table."""
-    write = write_daily_values(candidates.sparkSession, values_path, balances_path, created_at)
+    write = write_daily_values(candidates.sparkSession, values_path, balances_path, created_at, follow)
     drain(candidates.writeStream.outputMode("append").foreachBatch(write), checkpoint)
 
 

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+from datetime import timedelta
 from decimal import Decimal as D
 
 import pytest
@@ -7,9 +8,10 @@ from conftest import day, table
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from satlake.catalog import FACTS, Catalog
 from satlake.operators import asof, blocks, latest, quality, ranking, upsert
-from satlake.plans import network_config
-from satlake.schemas import schema
+from satlake.plans import maintain, network_config
+from satlake.schemas import BASE_TABLES, schema
 from satlake.sources import chain, tables
 
 
@@ -248,14 +250,15 @@ def test_slug_rule(spark):
 def test_upsert_prunes_the_scan_to_its_months(spark, tmp_path):
     path = str(tmp_path / "balances")
     tables.write_monthly(existing_balances(spark), path)
-    batch = spark.createDataFrame([("2024-02",)], "month string")
-    touched = tables.touched_months(spark, path, "token_balances", batch)
-    plan = touched._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(month" in plan and "2024-02" in plan
+    landed = tables.land(path, incoming(spark, ("a", "2024-02-05", "5", 1), ("b", "2024-02-06", "5", 1)))
+    assert landed.months == ["2024-02"] and landed.rows.count() == 2
+    touched = landed.touched(path, "token_balances")
+    assert {file.split("month=")[1][:7] for file in touched.inputFiles()} == {"2024-02"}
     assert table(touched, "date") == [(day("2024-02-01"),)]
+    assert tables.land(path, incoming(spark)).months == []
 
 
-@pytest.mark.parametrize("step", ["_commit", "_sweep", "write_monthly", "touched_months"])
+@pytest.mark.parametrize("step", ["_commit", "write_monthly", "land", "read_monthly"])
 def test_a_cut_off_upsert_can_be_repeated(spark, tmp_path, monkeypatch, step):
     path = str(tmp_path / "balances")
     rows = [(day("2024-01-01"), k, D("1"), None, i) for i, k in enumerate("ad")]
@@ -275,12 +278,102 @@ def test_a_cut_off_upsert_can_be_repeated(spark, tmp_path, monkeypatch, step):
         m.setattr(tables, step, cut)
         with pytest.raises(RuntimeError):
             tables.upsert_months(spark, path, "token_balances", batch, merge)
-    # Readers see the old table or the new one, never less.
-    assert table(tables.read_table(spark, path, "token_balances"), *columns) == (new if step == "_sweep" else old)
+    # Readers see the old table, never less.
+    assert table(tables.read_table(spark, path, "token_balances"), *columns) == old
     for _ in range(3):
         tables.upsert_months(spark, path, "token_balances", batch, merge)
         assert table(tables.read_table(spark, path, "token_balances"), *columns) == new
-    assert len(list((tmp_path / "balances" / "data").iterdir())) == 2
+    # What was superseded or left behind goes with a sweep, and only then.
+    assert len(list((tmp_path / "balances" / "data").iterdir())) >= 4
+    tables.sweep(spark, path, timedelta(0))
+    assert len(list((tmp_path / "balances" / "data").iterdir())) == 1
+    assert table(tables.read_table(spark, path, "token_balances"), *columns) == new
+
+
+def test_held_readers_outlive_upserts(spark, tmp_path):
+    path = str(tmp_path / "balances")
+    tables.write_monthly(existing_balances(spark), path)
+    columns = ("token_implementation", "date", "balance")
+
+    def merge(existing, fresh):
+        return upsert.upsert_token_balances(existing, fresh, ["seq"])
+
+    held = [tables.read_table(spark, path, "token_balances")]
+    seen = [table(held[0], *columns)]
+    for k in range(5):
+        tables.upsert_months(spark, path, "token_balances", incoming(spark, ("a", "2024-02-01", str(k + 10), 1)), merge)
+        held.append(tables.read_table(spark, path, "token_balances"))
+        seen.append(table(held[-1], *columns))
+    assert [table(df, *columns) for df in held] == seen and len(set(map(tuple, seen))) == 6
+    # Versions out of use for less than the time kept stay, others go; the current one always stays.
+    assert tables.sweep(spark, path, timedelta(hours=1)) == []
+    assert [table(df, *columns) for df in held] == seen
+    assert len(tables.sweep(spark, path, timedelta(0))) == 5
+    assert table(tables.read_table(spark, path, "token_balances"), *columns) == seen[-1]
+
+
+def test_a_catalog_opens_its_facts_anew_for_each_view(spark, build, tmp_path):
+    root = str(tmp_path)
+    b = model(build)
+    for name in BASE_TABLES:
+        if name in FACTS:
+            tables.write_monthly(b.frame(name), f"{root}/{name}")
+        else:
+            b.frame(name).write.parquet(f"{root}/{name}")
+    cat = Catalog.from_parquet(spark, root, b.as_of)
+    view = "helper_current_supplies_by_tokenimpl_raw"
+    held = cat.view(view)
+    cat.register_views()
+    before = table(held, "token_implementation", "balance")
+    maintain.upsert_tokens(cat, root, incoming(spark, ("T_B", "2024-02-01", "7", 1)), ["seq"])
+    assert table(held, "token_implementation", "balance") == before
+    assert table(spark.table(view), "token_implementation", "balance") == before
+    after = table(cat.view(view), "token_implementation", "balance")
+    assert ("T_B", D("7.00000000")) in after and after != before
+    cat.register_views()
+    assert table(spark.table(view), "token_implementation", "balance") == after
+    with pytest.raises(KeyError):
+        cat.view("nothing")
+
+
+def test_ranks_from_counts_are_of_one_snapshot(spark, tmp_path):
+    path = str(tmp_path / "grown")
+    spark.range(5).selectExpr("id as i", "cast(id as decimal(20,8)) as v").write.parquet(path)
+    ranked = ranking.rank_by_counts(spark.read.parquet(path), "v")
+    spark.range(5, 9).selectExpr("id as i", "cast(id as decimal(20,8)) as v").write.mode("append").parquet(path)
+    assert table(ranked, "i", "rank") == [(i, 5 - i) for i in range(5)]
+    assert table(ranking.rank_by_counts(spark.read.parquet(path), "v"), "i", "rank") == [(i, 9 - i) for i in range(9)]
+
+
+def block_of(height, *scripts):
+    outputs = [(D(n + 1), (script,)) for n, script in enumerate(scripts)]
+    return (height, f"h{height}", 1704067200, [(f"t{height}", outputs)])
+
+
+def test_overlapping_prefixes_in_one_scan(spark):
+    rows = [block_of(1, "6a47ff", "6a", "6A47"), block_of(2, "6a4", None), block_of(3), (4, "h4", 0, None)]
+    found = spark.createDataFrame(rows, schema("blocks"))
+    prefixes = blocks.prefix_table(spark, {"6a": "short", "6a47": "long", "6a47ff00": "longer than any", "": "empty"})
+    got = blocks.staking_hits_by_prefix(found, prefixes)
+    assert table(got, "block_height", "vout_index", "project") == [(1, 0, "long"), (1, 1, "short"), (2, 0, "short")]
+    assert blocks.staking_outputs_by_prefix(found, prefixes.limit(0)).count() == 0
+    one = blocks.prefix_table(spark, {"6a47": "x"})
+    assert table(blocks.staking_hits_by_prefix(found, one), *blocks.HIT_COLUMNS) == table(
+        blocks.staking_hits(found, "6a47"), *blocks.HIT_COLUMNS
+    )
+
+
+def test_covered_intervals_merge_over_gaps_overlaps_and_spans(spark, monkeypatch):
+    monkeypatch.setattr(chain, "INTERVAL_SPAN", 4)
+    given = [(0, 1), (1, 2), (1, 2), (3, 3), (9, 21), (10, 12), (30, 29), (40, 40), (42, 42)]
+    intervals = spark.createDataFrame(given, "first long, last long")
+    assert table(chain.covered_intervals(intervals), "first", "last") == [(0, 3), (40, 40), (42, 42), (9, 21)]
+    heights = spark.range(50).withColumnRenamed("id", "height")
+    left = [r.height for r in chain.scan_uncovered(heights, intervals).orderBy("height").collect()]
+    assert left == [h for h in range(50) if not any(a <= h <= b for a, b in given)]
+    assert chain.scan_uncovered(heights, intervals.limit(0)).count() == 50
+    done = chain.heights_done(spark.createDataFrame([(3,), (None,), (4,), (4,)], "height long"))
+    assert table(chain.covered_intervals(done), "first", "last") == [(3, 4)]
 
 
 def test_upserts_refuse_missing_balances_and_keep_undated_rows(spark, tmp_path):
