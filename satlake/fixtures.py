@@ -273,17 +273,19 @@ def _write_chain(spark: SparkSession, sf_dir: str, root: str) -> None:
     _save(observations, root, "observations")
 
 
-def kept_copy(spark: SparkSession, sf_dir: str) -> str:
-    """A new copy of the seven tables with kept latest rows and adjusted history, for one upsert job."""
-    cat = catalog(spark, sf_dir)
-    root = fresh_path(spark, "kept")
-    for table in BASE_TABLES:
-        if table in cat.monthly:
-            write_monthly(cat.tables[table], f"{root}/{table}")
-        else:
-            cat.tables[table].write.parquet(f"{root}/{table}")
-    build_kept(cat, root)
-    return root
+def kept_copy(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """A copy of the seven tables with kept latest rows and adjusted history for one upsert job, made once."""
+
+    def write(spark: SparkSession, sf_dir: str, root: str) -> None:
+        cat = catalog(spark, sf_dir)
+        for table in BASE_TABLES:
+            if table in cat.monthly:
+                write_monthly(cat.tables[table], f"{root}/{table}")
+            else:
+                cat.tables[table].write.parquet(f"{root}/{table}")
+        build_kept(cat, root)
+
+    return _once(spark, sf_dir, f"kept-{name}", write)
 
 
 def monthly_copy(spark: SparkSession, sf_dir: str, table: str, name: str) -> str:
