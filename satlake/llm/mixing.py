@@ -4,8 +4,8 @@ The words of a source's documents, laid end to end in a pseudorandom order, are
 packed into blocks of a fixed length.  A target size per source follows from
 its weight, at most a given number of times its own size (the excess goes to
 the others).  The slots of all output shards are dealt to the sources by a
-pseudorandom permutation, so that every shard draws multinomial source counts
-whose totals meet the targets; a slot's place among its source's slots goes
+pseudorandom permutation, so that every shard draws its source counts without
+replacement and their totals meet the targets; a slot's place among its source's slots goes
 through the source's own permutation to a block, and blocks are joined by
 (source, index).  All of it is DataFrame operators.
 
@@ -27,8 +27,9 @@ BLOCK_WORDS = 64
 SHARDS = 64
 #: Slots listed by one row of the quota's runs.
 RUN_SLOTS = 4096
-#: Documents in a bin of the running sums, on average.
-BIN_ROWS = 4096
+#: Documents in a bin of the running sums, on average, and bins that are summed together.
+BIN_ROWS = 1024
+SHELF_BINS = 4096
 #: Turns of the permutation.
 TURNS = 7
 SEED = 42
@@ -113,18 +114,26 @@ def targets(sizes: DataFrame, weights: tuple[int, ...], total_times: float, most
 def packed(docs: DataFrame) -> DataFrame:
     """(key, number, size) plus ``start``: its first word's place in the source's stream.
 
-    The stream follows a pseudorandom bin per document, then its key.  Sums are
-    taken per (source, bin) and run over the bins, so a source with a third of
-    all rows is spread over its bins.
+    The stream follows a pseudorandom bin per document, then its key.  The bin
+    is taken from id and text, so rows that share an id, or have none, are
+    spread like others.  Sums are taken per (source, bin) and run over the bins
+    of a shelf and over the shelves, so neither a source with a third of all
+    rows nor the number of bins makes a task large.
     """
     n_bins = max(1, docs.count() // BIN_ROWS)
-    binned = docs.withColumn("bin", F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(n_bins)))
-    before = Window.partitionBy("number").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    bins = (
-        binned.groupBy("number", "bin")
-        .agg(F.sum("size").alias("words"))
-        .withColumn("bin_start", F.coalesce(F.sum("words").over(before), F.lit(0)))
-        .drop("words")
+    place = F.pmod(F.xxhash64("doc_id", "digest", F.lit(SEED)), F.lit(n_bins))
+    binned = docs.withColumn("bin", place).withColumn("shelf", F.floor(F.col("bin") / SHELF_BINS))
+
+    def run_up(rows: DataFrame, within: list[str], by: str) -> DataFrame:
+        """``words`` of the rows before, as ``<by>_start``."""
+        before = Window.partitionBy(*within).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+        return rows.withColumn(f"{by}_start", F.coalesce(F.sum("words").over(before), F.lit(0))).drop("words")
+
+    words = binned.groupBy("number", "shelf", "bin").agg(F.sum("size").alias("words"))
+    bins = run_up(words, ["number", "shelf"], "bin")
+    shelves = run_up(words.groupBy("number", "shelf").agg(F.sum("words").alias("words")), ["number"], "shelf")
+    starts = bins.join(shelves, ["number", "shelf"]).select(
+        "number", "bin", (F.col("shelf_start") + F.col("bin_start")).alias("bin_start")
     )
     inside = (
         Window.partitionBy("number", "bin")
@@ -132,7 +141,7 @@ def packed(docs: DataFrame) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     placed = binned.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    return placed.join(bins, ["number", "bin"]).select(
+    return placed.join(starts, ["number", "bin"]).select(
         *docs.columns, (F.col("bin_start") + F.col("inside")).alias("start")
     )
 
