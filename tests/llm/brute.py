@@ -100,3 +100,81 @@ def measures(text):
         len(lines) - len(set(lines)),
         len(covered),
     )
+
+
+# -- piecewise fingerprints, byte by byte
+
+MASK = (1 << 64) - 1
+
+
+def _mixed(x):
+    x = (x ^ (x >> 33)) * 0xFF51AFD7ED558CCD & MASK
+    x = (x ^ (x >> 29)) * 0xC4CEB9FE1A85EC53 & MASK
+    return x ^ (x >> 32)
+
+
+def _hash(values, base, piece):
+    """Bytes as digits of a number, the first one lowest."""
+    total = 0
+    for byte in reversed(piece):
+        total = (total * base + values[byte]) & MASK
+    return _mixed(total)
+
+
+def piecewise(text, values, base, letters, roll=7, signature=64, enough=32):
+    data = (text or "").encode()
+    if not data:
+        return "1::"
+    triggers = {}
+    for end in range(roll, len(data) + 1):
+        h = _hash(values, base, data[end - roll : end])
+        triggers[end] = (h & -h).bit_length() - 1 if h else -1
+    block = 1
+    while block * signature < len(data):
+        block *= 2
+    while block > 1 and sum(1 << z >= block for z in triggers.values() if z >= 0) < enough:
+        block //= 2
+    marks = []
+    for size in (block, 2 * block):
+        said, start = "", 0
+        for end in range(1, len(data) + 1):
+            cut = triggers.get(end, -1) >= 0 and 1 << triggers[end] >= size and len(said) < signature - 1
+            if end == len(data) or cut:
+                said += letters[_hash(values, base, data[start:end]) >> 58]
+                start = end
+        marks.append(said)
+    return f"{block}:{marks[0]}:{marks[1]}"
+
+
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
+def likeness(one, other, common=7):
+    if one == other:
+        return 1.0
+
+    def short(said):
+        out = ""
+        for c in said:
+            if out[-3:] != c * 3:
+                out += c
+        return out
+
+    def alike(a, b):
+        shorter = min(len(a), len(b))
+        need = min(common, max(1, shorter // 2))
+        if not shorter or not any(a[i : i + need] in b for i in range(len(a) - need + 1)):
+            return 0.0
+        return 1 - edit_distance(a, b) / max(len(a), len(b))
+
+    (n, *a), (m, *b) = one.split(":"), other.split(":")
+    n, m, a, b = int(n), int(m), list(map(short, a)), list(map(short, b))
+    if n == m:
+        return max(alike(a[0], b[0]), alike(a[1], b[1]))
+    return alike(a[0], b[1]) if n == 2 * m else alike(a[1], b[0]) if m == 2 * n else 0.0
