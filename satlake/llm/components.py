@@ -1,4 +1,9 @@
-"""Connected components of an undirected graph by repeated contraction."""
+"""Connected components of an undirected graph by repeated contraction.
+
+Defined results: loops and repeated edges, in either direction, change nothing;
+an edge with a null end is no edge; a root is one of its component's vertices,
+the same one for the same edges; without edges there is no table.
+"""
 
 from __future__ import annotations
 
