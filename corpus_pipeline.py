@@ -3,6 +3,19 @@
 quality rules -> SimHash near-dedup -> suffix-array dedup -> mixing to target
 weights -> SentencePiece encoding.  Every stage works on all rows that the one
 before kept; all but the last return the columns of documents.
+
+Defined results, by stage
+  quality rules      null, empty and short texts go, as the base rules say; equal
+                     rows share their fate
+  near-dedup         one row per component: the smallest id, null as the last, of
+                     equal ids the one of the lowest hash of text and row
+  suffix dedup       a null id is smaller than all others; rows of equal ids do
+                     not take from each other; a text may become empty
+  mixing             a null source is a source, last in order; rows of which
+                     nothing is taken go; equal rows have pieces of their own
+  encoding           one row per row, ids and sources as they came
+An empty table gives an empty one at every stage.  Extra columns stay until the
+last stage, whatever their names; of a null or repeated id no row is lost.
 """
 
 from __future__ import annotations
