@@ -563,6 +563,7 @@ O["poll_to_balances"] = f"""
         b.id
     from balances b full join polled_days f
         on f.token_implementation = b.token_implementation and f.date = b.date"""
+O["replayed_letters"] = O["poll_to_balances"]
 O["decode_evm_reserve"] = f"""
     select seq, reserve_implementation_id, reserve_address, collateral_token, derivative_token, reason,
         case when reason is null then cast({_scaled('number', _CONFIG)} as decimal(20,8)) end as balance
@@ -742,6 +743,21 @@ O["cascade_delete"] = """
     union all select 'reserve', date, collateral_token, reserve_address, balance from reserves
     where collateral_token in (select slug from kept)
         and (derivative_token in (select slug from kept) or derivative_token not in (select slug from impls))"""
+O["cascade_stored"] = O["cascade_delete"]
+CTES["loose_days"] = f"""
+    select 'Brand#' || cast(user_id % 30 as varchar) || '_' || r_name as token_implementation, day - {SHIFT} as date,
+        cast(arg_max(u, (is_final, ts, seq)) as decimal(12,0)) * cast(0.01 as decimal(3,2)) as balance
+    from polls group by 1, 2"""
+O["checked_upsert"] = """
+    select coalesce(b.token_implementation, f.token_implementation) as token_implementation,
+        coalesce(b.date, f.date) as date, cast(coalesce(f.balance, b.balance) as decimal(20,8)) as balance,
+        cast(null as varchar) as broken
+    from balances b
+    full join (select * from loose_days where token_implementation in (select slug from impls)) f
+        on f.token_implementation = b.token_implementation and f.date = b.date
+    union all select token_implementation, date, cast(balance as decimal(20,8)),
+        'token_balances.token_implementation->token_implementations'
+    from loose_days where token_implementation not in (select slug from impls)"""
 O["check_domain"] = """
     select 'tokens.type in domain: ' || type as rule, count(*) as n from tokens
     where type not in ('staking', 'liquid_staking') group by 1

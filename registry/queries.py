@@ -12,7 +12,7 @@ from satlake import fixtures
 from satlake.catalog import Catalog
 from satlake.functions import scalars
 from satlake.operators import adjust, asof, blocks, latest, quality, ranking, star, upsert
-from satlake.plans import decode, gainers, ingest, maintain, network_config, prices, reserves, supplies, usd
+from satlake.plans import constraints, decode, gainers, ingest, maintain, network_config, prices, reserves, supplies, usd
 from satlake.session import fresh_path
 from satlake.sources import chain, source_config, tables
 from satlake.streaming import daily, latest_store
@@ -272,6 +272,24 @@ def poll_to_balances(spark, sf_dir):
     return result.withColumn("id", F.when(F.col("created_at") != inserted_at(), F.col("id")))
 
 
+@query("replayed_letters")
+def replayed_letters(spark, sf_dir):
+    """Polls of which one network is unknown at first, and again once it is known."""
+    cat, polls, config, objects = _mixed_polls(spark, sf_dir)
+    polls = polls.withColumn("effective_day", F.date_sub("effective_day", fixtures.UPSERT_SHIFT_DAYS))
+    balances = fresh_path(spark, "replayed-balances")
+    tables.write_monthly(cat.token_balances, balances)
+    values, dead = fresh_path(spark, "daily-values"), fresh_path(spark, "dead")
+    tables.create_table(spark, values, "daily_values")
+    known = cat.token_implementations.where("network <> 'EUROPE'")
+    before = Catalog(spark, {**cat.tables, "token_implementations": known}, cat.as_of)
+    ingest.ingest_polls(before, polls, config, values, balances, dead, inserted_at(), "0", objects)
+    for _ in range(2):
+        ingest.replay_dead_letters(cat, config, values, balances, dead, inserted_at(), objects)
+    result = tables.read_table(spark, balances, "token_balances")
+    return result.withColumn("id", F.when(F.col("created_at") != inserted_at(), F.col("id")))
+
+
 @query("poll_to_reserves")
 def poll_to_reserves(spark, sf_dir):
     """Reserve polls into the reserve table, of the networks that report them."""
@@ -859,14 +877,8 @@ def check_fk(spark, sf_dir):
     )
 
 
-@query("cascade_delete")
-def cascade_delete(spark, sf_dir):
-    """Balances left after deleting a network and the depegged tokens."""
-    cat = quality.cascade_delete(
-        fixtures.catalog(spark, sf_dir),
-        networks=F.col("slug") == "ASIA",
-        tokens=F.col("depegged"),
-    )
+def _left_balances(cat):
+    """Token and reserve balances in one form."""
     supply = cat.token_balances.select(
         F.lit("token").alias("kind"), "date", F.col("token_implementation").alias("holder"),
         F.lit(None).cast("string").alias("address"), "balance",
@@ -878,6 +890,45 @@ def cascade_delete(spark, sf_dir):
     return supply.unionByName(held)
 
 
+def _doomed():
+    return {"networks": F.col("slug") == "ASIA", "tokens": F.col("depegged")}
+
+
+@query("cascade_delete")
+def cascade_delete(spark, sf_dir):
+    """Balances left after deleting a network and the depegged tokens."""
+    return _left_balances(quality.cascade_delete(fixtures.catalog(spark, sf_dir), **_doomed()))
+
+
+@query("cascade_stored")
+def cascade_stored(spark, sf_dir):
+    """The same delete from the stored month tables."""
+    root = fixtures.kept_copy(spark, sf_dir, "cascade")
+    cat = Catalog.from_parquet(spark, root, fixtures.AS_OF)
+    return _left_balances(constraints.cascade_stored(cat, root, **_doomed()))
+
+
+@query("checked_upsert")
+def checked_upsert(spark, sf_dir):
+    """Daily polls of known and unknown implementations: the balances, and the quarantine next to them."""
+    root, dead = fixtures.kept_copy(spark, sf_dir, "checked"), fresh_path(spark, "quarantine")
+    cat = Catalog.from_parquet(spark, root, fixtures.AS_OF)
+    polled = fixtures.poll_base(spark, sf_dir).select(
+        F.concat(F.lit("Brand#"), (F.col("user_id") % 30).cast("string"), F.lit("_"), "r_name").alias("token_implementation"),
+        F.date_sub("effective_day", fixtures.UPSERT_SHIFT_DAYS).alias("date"),
+        (F.col("u") / 100).cast("decimal(20,8)").alias("balance"),
+        F.struct("is_final", "observed_at", "seq").alias("place"),
+        "seq",
+    )
+    last = polled.groupBy("token_implementation", "date").agg(
+        F.max_by("balance", "place").alias("balance"), F.max("seq").alias("seq")
+    )
+    constraints.upsert_checked(cat, root, "token_balances", last, ["seq"], dead, "0", inserted_at())
+    columns = ["token_implementation", "date", "balance"]
+    stored = cat.reopened().token_balances.select(*columns, F.lit(None).cast("string").alias("broken"))
+    return stored.unionByName(spark.read.parquet(dead).select(*columns, "broken"))
+
+
 catalog_query("check_domain", lambda cat: quality.check_domain(cat, ["staking", "liquid_staking"]))
 
 

@@ -51,7 +51,7 @@ def orphans(df: DataFrame, column: str, parent: DataFrame, parent_key: str, rule
     return missing.select(F.lit(rule).alias("rule"), F.col("value").cast("string").alias("value"), "n")
 
 
-def _parent_key(table: str) -> str:
+def parent_key(table: str) -> str:
     return "id" if table == "reserve_implementations" else "slug"
 
 
@@ -61,7 +61,7 @@ def check_fk(cat: Catalog) -> DataFrame:
             cat.tables[table],
             column,
             cat.tables[parent],
-            _parent_key(parent),
+            parent_key(parent),
             f"{table}.{column}->{parent}",
         )
         for table, column, parent in FOREIGN_KEYS
@@ -79,8 +79,8 @@ def cascade_delete(cat: Catalog, networks: Column | None = None, tokens: Column
         if condition is not None:
             kept[table] = kept[table].where(~F.coalesce(condition, F.lit(False)))
     for table, column, parent in FOREIGN_KEYS:
-        parents = kept[parent].select(F.col(_parent_key(parent)).alias(column))
-        gone = cat.tables[parent].select(F.col(_parent_key(parent)).alias(column)).join(
+        parents = kept[parent].select(F.col(parent_key(parent)).alias(column))
+        gone = cat.tables[parent].select(F.col(parent_key(parent)).alias(column)).join(
             cat.small(parents, parent), column, "left_anti"
         )
         kept[table] = kept[table].join(cat.small(gone, parent), column, "left_anti").select(

@@ -18,7 +18,7 @@ from satlake.functions.scalars import (
     start_of_day_seconds,
 )
 from satlake.operators.latest import latest_by
-from satlake.schemas import BALANCE
+from satlake.schemas import BALANCE, schema
 
 RAW = "decimal(38,0)"
 
@@ -148,6 +148,7 @@ def with_config(observations: DataFrame, config: DataFrame) -> DataFrame:
     return joined.withColumns(
         {
             "decoder": F.when(special, F.col("special_decoder")).otherwise(F.col("decoder")),
+            "polled_implementation": F.col("token_implementation"),
             "token_implementation": F.coalesce("stored_as", "token_implementation"),
         }
     )
@@ -222,12 +223,27 @@ def valid_balances(decoded: DataFrame) -> DataFrame:
 
 
 def quarantined(decoded: DataFrame) -> DataFrame:
-    """Rejected observations with the payload as it landed."""
+    """Rejected observations with all that they landed with, so that they can be polled again from here."""
     return decoded.where(F.col("reason").isNotNull()).select(
-        "seq", "source", "token_implementation", "effective_day", "status", "payload", "reason"
+        "seq",
+        "source",
+        "token_implementation",
+        "polled_implementation",
+        "observed_at",
+        "effective_day",
+        "is_final",
+        "status",
+        "payload",
+        "reason",
     )
 
 
+def as_observations(letters: DataFrame) -> DataFrame:
+    """Rejected observations as they landed, each once however often it was rejected."""
+    polls = letters.withColumn("token_implementation", F.col("polled_implementation"))
+    return polls.select(*[f.name for f in schema("observations")]).distinct()
+
+
 def decode_reserves(cat: Catalog, observations: DataFrame) -> DataFrame:
     """Reserve polls to reserve balances and reasons.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -9,10 +10,16 @@ from pyspark.sql import functions as F
 
 from satlake.catalog import Catalog
 from satlake.operators.upsert import upsert_reserve_balances
-from satlake.plans.decode import decode_observations, decode_reserves, quarantined, valid_balances
+from satlake.plans.decode import (
+    as_observations,
+    decode_observations,
+    decode_reserves,
+    quarantined,
+    valid_balances,
+)
 from satlake.session import work_path
 from satlake.sources.source_config import RESERVE_NETWORKS
-from satlake.sources.tables import Landed, upsert_months
+from satlake.sources.tables import Folder, Landed, upsert_months
 from satlake.streaming.daily import drain, finalize_day, write_daily_values
 
 
@@ -74,6 +81,36 @@ def stream_polls(
     drain(observations.writeStream.foreachBatch(write), checkpoint)
 
 
+def replay_dead_letters(
+    cat: Catalog,
+    config: DataFrame,
+    values_path: str,
+    balances_path: str,
+    dead_path: str,
+    created_at: Column,
+    objects: DataFrame | None = None,
+    follow: Sequence[Callable[[Landed], None]] = (),
+) -> None:
+    """Take rejected polls through the normal path again, by the rules and implementations as they are now.
+
+    The balances become what they would be had the polls been valid at first:
+    days are settled by poll order, not by arrival.  What is rejected again
+    stays, once, with its present reason.  The old letters go last, so a run
+    that was cut off is repeated without harm.  Not to be run while polls of the
+    same dead-letter folder are taken in.
+    """
+    folder = Folder(cat.spark, dead_path)
+    batches = sorted(n for n in folder.names() if n.startswith("batch=") and folder.holds(f"{n}/_SUCCESS"))
+    if not batches:
+        return
+    letters = cat.spark.read.parquet(*[f"{dead_path}/{n}" for n in batches])
+    again = f"replay-{uuid.uuid4().hex[:12]}"
+    polls = as_observations(letters)
+    ingest_polls(cat, polls, config, values_path, balances_path, dead_path, created_at, again, objects, follow)
+    for name in batches:
+        folder.drop(name)
+
+
 def ingest_reserves(
     cat: Catalog,
     observations: DataFrame,

@@ -43,7 +43,7 @@ def _with_month(df: DataFrame) -> DataFrame:
     return df.withColumn(MONTH, F.coalesce(F.date_format("date", "yyyy-MM"), F.lit(UNDATED)))
 
 
-class _Folder:
+class Folder:
     """A folder of any file system that Spark reaches."""
 
     def __init__(self, spark: SparkSession, path: str):
@@ -70,7 +70,7 @@ class _Folder:
 
 def _last_pointer(spark: SparkSession, path: str) -> int:
     """Number of the last committed pointer; 0 without one."""
-    folder = _Folder(spark, f"{path}/pointers")
+    folder = Folder(spark, f"{path}/pointers")
     for n in sorted(map(int, folder.names()), reverse=True):
         if folder.holds(f"{n}/_SUCCESS"):
             return n
@@ -106,7 +106,7 @@ def sweep(spark: SparkSession, path: str, kept_for: timedelta = KEPT_FOR) -> lis
     Versions that were written more recently stay, pointed to or not: they may
     belong to a write that is under way.
     """
-    pointers = _Folder(spark, f"{path}/pointers")
+    pointers = Folder(spark, f"{path}/pointers")
     committed = sorted(int(n) for n in pointers.names() if pointers.holds(f"{n}/_SUCCESS"))
     if not committed:
         return []
@@ -114,7 +114,7 @@ def sweep(spark: SparkSession, path: str, kept_for: timedelta = KEPT_FOR) -> lis
     oldest = now - kept_for.total_seconds()
     ended = [n for n, later in zip(committed, committed[1:]) if pointers.written(f"{later}/_SUCCESS") < oldest]
     used = {v for n in committed if n not in ended for v in _pointed(spark, path, n).values()}
-    data = _Folder(spark, f"{path}/data")
+    data = Folder(spark, f"{path}/data")
     gone = [
         name for name in data.names() if name.removeprefix("version=") not in used and data.written(name) < oldest
     ]
@@ -125,9 +125,12 @@ def sweep(spark: SparkSession, path: str, kept_for: timedelta = KEPT_FOR) -> lis
     return [name.removeprefix("version=") for name in gone]
 
 
-def write_monthly(df: DataFrame, path: str, replace: bool = False) -> None:
+def write_monthly(df: DataFrame, path: str, replace: bool = False, settled: Iterable[str] = ()) -> None:
     """Put the months that occur in ``df`` in place; ``replace`` drops all others.
 
+    The ``settled`` months become what ``df`` has of them, even if that is
+    nothing.
+
     Rebalancing by month keeps small months in one file and lets a large month
     be split over several tasks.
     """
@@ -140,8 +143,9 @@ def write_monthly(df: DataFrame, path: str, replace: bool = False) -> None:
         .partitionBy(MONTH)
         .parquet(f"{path}/data/version={version}")
     )
-    written = _Folder(spark, f"{path}/data/version={version}").names()
-    months = {} if replace else current(spark, path)
+    written = Folder(spark, f"{path}/data/version={version}").names()
+    emptied = set(settled)
+    months = {} if replace else {m: v for m, v in current(spark, path).items() if m not in emptied}
     months |= {name.removeprefix(f"{MONTH}="): version for name in written}
     _commit(spark, path, months)
 

@@ -261,6 +261,45 @@ def test_polls_end_as_balances_and_rejects(spark, cat, tmp_path):
     assert table(spark.read.parquet(dead + "2"), "seq") == [(11,)]
 
 
+def test_dead_letters_come_back_once_they_are_valid(spark, cat, tmp_path, monkeypatch):
+    values, balances, dead = (str(tmp_path / n) for n in ("values", "balances", "dead"))
+    tables.create_table(spark, values, "daily_values")
+    tables.create_table(spark, balances, "token_balances")
+    stamp = F.lit("2024-03-01 00:00:00").cast("timestamp_ntz")
+    config = source_config(spark)
+    columns = ("token_implementation", "balance")
+    ingest.replay_dead_letters(cat, config, values, balances, dead, stamp)  # nothing has been rejected yet
+    rows = polls(
+        spark,
+        ("Arbitrum", "T_Arbitrum", {"result": hex(10**8)}, 200),
+        ("Arbitrum", "T_Arbitrum", {"error": {}}, 200),
+        ("Tron", "Tr_Tron", "7", 200),
+    )
+    unknown = cat.token_implementations.where("network <> 'Arbitrum'")
+    before = Catalog(spark, {**cat.tables, "token_implementations": unknown})
+    for batch in ("0", "1"):  # a batch that came twice leaves its letters twice
+        ingest.ingest_polls(before, rows, config, values, balances, dead, stamp, batch)
+    first = table(tables.read_table(spark, balances, "token_balances"), *columns)
+    assert [slug for slug, _ in first] == ["Tr_Tron"] and spark.read.parquet(dead).count() == 4
+
+    # Cut off before the old letters go, then run to the end, then run again.
+    with monkeypatch.context() as m:
+        m.setattr(tables.Folder, "drop", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            ingest.replay_dead_letters(cat, config, values, balances, dead, stamp)
+    for _ in range(2):
+        ingest.replay_dead_letters(cat, config, values, balances, dead, stamp)
+        assert table(spark.read.parquet(dead), "seq", "reason") == [(1, "no_result")]
+        got = tables.read_table(spark, balances, "token_balances")
+        assert table(got, *columns) == sorted([("T_Arbitrum", D("1.00000000")), *first])
+
+    values, at_once = str(tmp_path / "v2"), str(tmp_path / "b2")
+    tables.create_table(spark, values, "daily_values")
+    tables.create_table(spark, at_once, "token_balances")
+    ingest.ingest_polls(cat, rows, config, values, at_once, str(tmp_path / "d2"), stamp)
+    assert table(tables.read_table(spark, at_once, "token_balances"), *got.columns) == table(got, *got.columns)
+
+
 def test_reserve_polls_end_as_balances(spark, cat, tmp_path):
     balances, dead = str(tmp_path / "balances"), str(tmp_path / "dead")
     tables.create_table(spark, balances, "reserve_balances")

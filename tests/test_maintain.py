@@ -9,8 +9,8 @@ from conftest import day, dec, table
 from pyspark.sql import functions as F
 
 from satlake.catalog import FACTS, LATEST, Catalog
-from satlake.operators import adjust
-from satlake.plans import decode, ingest, maintain, supplies
+from satlake.operators import adjust, quality
+from satlake.plans import constraints, decode, ingest, maintain, supplies
 from satlake.plans.views import VIEWS
 from satlake.schemas import BASE_TABLES, schema
 from satlake.sources import tables
@@ -213,6 +213,70 @@ def test_polls_bring_the_kept_tables_along(spark, build, tmp_path):
     agrees(cat, VIEW_NAMES[1:2])
 
 
+# -- constraints where rows are written --------------------------------------
+
+
+def test_rows_that_break_a_rule_go_to_quarantine(spark, build, tmp_path):
+    cat = written(build, str(tmp_path / "root"))
+    dead = str(tmp_path / "dead")
+    found = [
+        ("T_B", "2024-02-05", "1", None, 1),
+        ("nobody", "2024-02-05", "2", None, 2),
+        ("T_C", "2024-02-05", "4", 900, 4),
+        ("S_A", "2024-02-05", "5", 900, 5),  # the id of the row before
+        ("S_A", "2024-02-06", "6", 1, 6),  # the id of a stored row
+        ("T_A", "2024-02-01", "7", 1, 7),  # updates its key, whatever id it claims
+        ("T_C", "2024-02-05", "8", 900, 8),  # its own id again
+    ]
+    filled = [(slug, day(d), dec(amount), i, seq) for slug, d, amount, i, seq in found]
+    batch = spark.createDataFrame(filled, "token_implementation string, date date, balance decimal(20,8), id long, seq int")
+    old = rows(cat.token_balances.select(*BALANCE, "id"))
+    for _ in range(2):
+        constraints.upsert_checked(cat, cat.root, "token_balances", batch, ["seq"], dead, "0")
+        quarantine = spark.read.parquet(dead)
+        assert table(quarantine, "seq", "broken") == [
+            (2, "token_balances.token_implementation->token_implementations"),
+            (5, "token_balances(id)"),
+            (6, "token_balances(id)"),
+        ]
+        now = cat.reopened()
+        stored = {r[0:2]: r[2:] for r in table(now.token_balances.where("token_implementation is not null"), *BALANCE, "id")}
+        assert stored["T_C", day("2024-02-05")] == (D("8.00000000"), 900)
+        assert stored["T_A", day("2024-02-01")] == (D("7.00000000"), 3)
+        assert ("nobody", day("2024-02-05")) not in stored and ("S_A", day("2024-02-06")) not in stored
+        agrees(cat)
+    assert len(stored) == len([r for r in old if r[-1] is not None]) + 2
+    unknown = reserves(spark, ("T_A", "2024-02-01", "5", "c", 77, 1), ("T_A", "2024-02-01", "6", "c", 1, 2))
+    constraints.upsert_checked(cat, cat.root, "reserve_balances", unknown, ["seq"], dead + "2", "0")
+    assert table(spark.read.parquet(dead + "2"), "reserve_implementation_id") == [(77,)]
+    agrees(cat)
+
+
+@pytest.mark.parametrize(
+    "condition",
+    [{"tokens": "slug = 'T'"}, {"networks": "slug = 'B'"}, {"tokens": "depegged"}, {"tokens": "false"}],
+)
+def test_a_delete_reaches_the_stored_facts_and_kept_tables(spark, build, tmp_path, condition):
+    unchanged = condition == {"tokens": "false"}
+    condition = {name: F.expr(said) for name, said in condition.items()}
+    cat = written(build, str(tmp_path))
+    maintain.upsert_tokens(cat, cat.root, tokens(spark, ("X_B", "2024-03-01", "1", 1), ("S_B", "2024-02-02", "2", 2)), ["seq"])
+    cat = cat.reopened()
+    want = quality.cascade_delete(cat, **condition)
+    facts = {name: rows(want.tables[name]) for name in FACTS}
+    before = {name: tables.current(spark, f"{cat.root}/{name}") for name in FACTS}
+    for _ in range(2):
+        left = constraints.cascade_stored(cat, cat.root, **condition)
+        assert {name: rows(left.tables[name]) for name in FACTS} == facts
+        assert rows(left.token_implementations) == rows(want.token_implementations)
+        assert rows(adjust.adjusted_history(left)) == rows(adjust.helper_token_balances_adjusted(left))
+        for (name, key), kept in LATEST.items():
+            tops = left.tables[name].where(f"{key} is not null").groupBy(key).agg(F.max("date").alias("date"))
+            assert rows(left.kept[kept]) == rows(left.tables[name].join(tops, [key, "date"], "left_semi"))
+    if unchanged:
+        assert {name: tables.current(spark, f"{cat.root}/{name}") for name in FACTS} == before
+
+
 # -- latest values in the state store ---------------------------------------
 
 
