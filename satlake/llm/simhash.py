@@ -34,7 +34,7 @@ DISTANCE = 4
 
 #: Distinct fingerprints of one variant that are compared in one piece (8 bytes each); larger sets
 #: are cut further.  Cutting pays where many unrelated fingerprints meet; dense sets are quick in one piece.
-GROUP_ROWS = 200_000
+GROUP_ROWS = 8_192
 #: Groups up to this size are compared pair by pair, larger ones by growing their components.
 PAIR_ROWS = 8
 #: Levels of variants.  Each takes a third of the free bits; after the last one
