@@ -167,7 +167,7 @@ with docs as materialized (
          coalesce(covered.n, 0) as n_repeat_words, len(lines) as n_lines,
          length(text) - length(replace(text, '!', '')) as n_exclamations,
          length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) as n_capitals,
-         length(text) - length(replace(text, '.', '')) as n_stops
+         length(text) - length(regexp_replace(text, '{quality.STOPS}', '', 'g')) as n_stops
   from words left join covered on covered.r = words.r
 ), voted as materialized (
   select *, {", ".join(votes)} from measures

@@ -73,6 +73,10 @@ RULES = (
 )
 
 
+# Signs that end a sentence, in scripts that have their own.
+STOPS = "[.。｡।॥۔։។]"
+
+
 def _count_of(character: str, text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(character), F.lit("")))
 
@@ -130,7 +134,7 @@ def measured(docs: DataFrame) -> DataFrame:
         "n_lines": F.size("__lines"),
         "n_exclamations": _count_of("!", F.col("__text")),
         "n_capitals": F.regexp_count("__text", F.lit("[A-Z]")),
-        "n_stops": _count_of(".", F.col("__text")),
+        "n_stops": F.regexp_count("__text", F.lit(STOPS)),
     }
     q = F.struct(*[values[m].cast("bigint").alias(m) for m in MEASURES])
     return out.select(*[f"`{c}`" for c in docs.columns], once(q, "__q"))
@@ -239,10 +243,12 @@ def assess(docs: DataFrame) -> DataFrame:
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The documents that are kept, with their columns.
 
-    Measures are taken once for the model and again for the filter, which costs
-    a scan but neither a shuffle of texts nor a unique id.
+    Every text is measured once: its row is written with its votes, from which
+    the model is fitted and the rows are chosen.  No unique id is needed and no
+    text is shuffled.
     """
-    model = fit(votes(measured(docs.select("text")).select("__q.*")))
-    measures = measured(docs.withColumn("__row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])).select("__row", F.col("text")))
-    found = judged(votes(measures.select("__row", "__q.*")), model)
-    return found.select("__row", once(F.col("kept"), "__kept")).where("__kept").select("__row.*")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col("text"))
+    voted = votes(measured(whole).select("__row", "__q.*"))
+    needed = ["__row", "n_words", "n_repeat_words", *[f"vote_{rule.name}" for rule in RULES]]
+    voted = staged(voted.select(*needed), "voted-rows")
+    return judged(voted, fit(voted)).where("kept").select("__row.*")
