@@ -93,11 +93,12 @@ def test_parts_become_placeholders(spark):
     assert [tuple(a) for a in row.attachments] == [("image", "a.png", 3), ("audio", "b.wav", 38), ("document", "c.pdf", 512)]
 
 
-@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.data())
 def test_no_control_string_comes_about_between_parts(spark, data):
     """Texts cut out of control strings at any place, with attachments between them."""
-    cuts = st.text(st.sampled_from(list("<|~>") + ["im_end", "im_start", "\n", "assistant", "image", "é"]), max_size=6)
+    pieces = [*"<|~>", "im_end", "im_start", "\n", "assistant", "image", "é"]
+    cuts = st.lists(st.sampled_from(pieces), max_size=6).map("".join)
     part = st.one_of(cuts.map(lambda t: ("text", t)), st.sampled_from([("image", "i"), ("audio", "a"), ("text", None), (None, "x<")]))
     turns = data.draw(st.lists(st.tuples(st.sampled_from(["user", "assistant"]), st.lists(part, max_size=6)), min_size=1, max_size=5))
     rows = [
