@@ -64,6 +64,31 @@ def brute_asof(block_rows, request_rows):
     return sorted(found, key=str)
 
 
+def test_latest_rows_of_many_keys_drop_the_old_ones_before_the_shuffle(spark, monkeypatch):
+    """The bounds are shared by the keys of a bucket; nothing but speed may hang on them."""
+    draw = random.Random(5)
+    days = [None, *(day("2024-01-01") + timedelta(d) for d in range(40))]
+    rows = [(draw.choice([None, *range(30)]), draw.choice(days), v) for v in range(600)]
+    rows += [(99, None, 1000), (98, day("2020-01-01"), 1001), (98, day("2020-01-01"), 1002)]
+    tops = {}
+    for k, d, _ in rows:
+        if k is not None and d is not None:
+            tops[k] = max(tops.get(k, d), d)
+    wanted = sorted((v,) for k, d, v in rows if d is not None and tops.get(k) == d)
+    df = spark.createDataFrame(rows, "k int, d date, v int")
+    for bounds in (latest.BOUNDS, 7, 1):
+        monkeypatch.setattr(latest, "BOUNDS", bounds)
+        assert table(latest.latest_with_ties(df, "k", "d"), "v") == wanted
+    assert latest.latest_with_ties(df, "k", "d").columns == ["k", "d", "v"]
+    # Where the rows meet the bounds is a broadcast whatever their sizes are.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = latest.latest_with_ties(df, "k", "d")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan
+
+
 def test_asof_against_brute_force(spark):
     rnd = random.Random(3)
     block_rows = [("n%d" % rnd.randrange(3), h, rnd.randrange(0, 200_000)) for h in range(400)]
@@ -247,6 +272,23 @@ def test_slug_rule(spark):
     assert table(quality.derive_impl_slug(df), "slug", "name") == [("T_A", "T_A"), ("s", "n")]
 
 
+def test_rows_that_lie_by_month_are_copied_without_a_shuffle(spark, tmp_path):
+    rows = [
+        dict(date=day("2024-01-01") + timedelta(n) if n % 9 else None, token_implementation=f"t{n % 4}", balance=D(n), id=n)
+        for n in range(200)
+    ]
+    first = spark.createDataFrame(rows, schema("token_balances"))
+    tables.write_monthly(first, f"{tmp_path}/a")
+    held = tables.read_table(spark, f"{tmp_path}/a", "token_balances")
+    tables.write_monthly(held, f"{tmp_path}/b", by_month=True)
+    copied = tables.read_monthly(spark, f"{tmp_path}/b", "token_balances")
+    assert copied.drop("month").exceptAll(held).count() == 0 and copied.count() == len(rows)
+    assert set(tables.current(spark, f"{tmp_path}/a")) == set(tables.current(spark, f"{tmp_path}/b"))
+    shuffles = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+    assert shuffles(tables._dealt(held, by_month=True)) == 0
+    assert shuffles(tables._dealt(held, by_month=False)) == 1
+
+
 def test_upsert_prunes_the_scan_to_its_months(spark, tmp_path):
     path = str(tmp_path / "balances")
     tables.write_monthly(existing_balances(spark), path)
