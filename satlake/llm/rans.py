@@ -87,17 +87,23 @@ def encode_block(ids: np.ndarray, table: FrequencyTable) -> bytes:
     lanes = _lanes(n)
     bits, grow = np.uint64(table.bits), np.uint64(63 - table.bits)
     frequency, start = table.frequency_of[ids], table.start_of[ids]
+    # x becomes x // f << bits | start + x % f, which is x + start + x // f * (2^bits - f).
+    limit, step = frequency << grow, (np.uint64(1) << bits) - frequency
     states = np.full(lanes, LOW, np.uint64)
     words: list[np.ndarray] = []
     word = np.uint64(32)
     for at in range((n - 1) // lanes * lanes, -1, -lanes):
-        f, s = frequency[at : at + lanes], start[at : at + lanes]
+        now = slice(at, at + lanes)
+        f = frequency[now]
         x = states[: len(f)]
-        full = x >= f << grow
-        words.append(x[full].astype("<u4"))
-        x[full] >>= word
-        whole, rest = np.divmod(x, f)
-        np.add(whole << bits, rest + s, out=x)
+        full = np.flatnonzero(x >= limit[now])
+        grown = x[full]
+        words.append(grown.astype("<u4"))
+        x[full] = grown >> word
+        whole = x // f
+        whole *= step[now]
+        x += start[now]
+        x += whole
     words.reverse()
     return states.astype("<u8").tobytes() + np.concatenate(words).tobytes()
 

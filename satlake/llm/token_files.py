@@ -45,18 +45,20 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from satlake.llm.common import ship, staged, tasks
+from satlake.llm.common import LOWER, UPPER, ship, staged, tasks
 from satlake.llm.rans import FrequencyTable, decode_block, encode_block
 from satlake.session import fresh_path
 
-#: Words of up to this many characters are remembered with their ids, so many at a time.
-WORD_CHARS = 48
+#: Units of up to this many characters are remembered with their ids, so many at a time.
+UNIT_CHARS = 48
 REMEMBERED = 400_000
-#: New words given to the library as one text.
-TOGETHER = 256
+#: New units given to the library as one text.
+TOGETHER = 1024
 #: Text whose words are numbered at once, in bytes.
-SLICE_BYTES = 1 << 23
+SLICE_BYTES = 1 << 24
 
+#: Ids counted at once.
+COUNTED_IDS = 1 << 20
 BLOCK_IDS = 1 << 18
 #: A file is closed with the document that brings it to this many ids.
 FILE_IDS = 1 << 23
@@ -64,21 +66,34 @@ FILE_IDS = 1 << 23
 RUN_BLOCKS = 8
 
 #: Units of words whose parts any version of Unicode classes alike: letters of the first Latin
-#: blocks, single digits, other ASCII signs.  The apostrophe, which may begin a unit with letters, is in none.
-_UNIT = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+|[0-9]|[!-&(-/:-@[-`{-~]+")
+#: blocks, single digits, other ASCII signs.  The apostrophe, which may begin a unit with letters, is in none,
+#: nor is the dotted capital I, whose small form is a letter and a mark.
+_UNIT = "[A-Za-zÀ-ÖØ-öø-įı-ɏ]+|[0-9]|[!-&(-/:-@[-`{-~]+"
+#: The same for Arrow, and words that consist of units only.
+_ARROW_UNIT = "(" + _UNIT.replace("@[-`", "@\\[-`") + ")"
+_PLAIN = r"\A(?:" + _ARROW_UNIT + r")+\z"
 _TRIED = [chr(c) for c in range(0x21, 0x7F) if c != 0x27] + list("ÀØéßÿœƵɏ")
 
 
+def _joined(parts: pa.Array, stops: np.ndarray) -> pa.Array:
+    """The binary values up to each stop run together; ``parts`` has no nulls and starts its own buffers."""
+    _, offsets, data = parts.buffers()
+    ends = np.frombuffer(offsets, np.int64, len(parts) + 1)[np.r_[0, stops]]
+    return pa.Array.from_buffers(pa.large_binary(), len(stops), [None, pa.py_buffer(ends), data])
+
+
 class WordEncoder:
-    """Ids of texts by the library, asked once for each word between ASCII blanks.
+    """Ids of texts by the library, asked once for each unit of the words between ASCII blanks.
 
     Right for vocabularies that drop white space and never join across it, as
     those with word ends do: a text's ids are then those of its words in turn.
-    New words go to the library many at a time.  Each unit of a word ends in an
-    id with the mark of word ends, so that the ids are dealt to the words by
-    counting units.  Whether the vocabulary has these units is tried out first,
-    on all pairs of signs; other words, and groups whose counts do not fit, go
-    to the library word by word.
+    A word's ids are in the same way those of its units, each of which ends in
+    an id with the mark of word ends.  Whether the vocabulary has these units
+    is tried out first, on all pairs of signs; other words, and those with a
+    string that the library takes out beforehand, are one unit each.  New units
+    go to the library many at a time and get their ids by the marks; groups
+    whose marks do not fit go unit by unit.  Capital ASCII letters are one with
+    the small ones where the vocabulary's own normalizer says so.
     """
 
     def __init__(self, model: str, id_type: str):
@@ -94,82 +109,95 @@ class WordEncoder:
         self.ends[[i for said, i in vocabulary.items() if said.endswith(suffix)]] = True
         # Strings that the library takes out of a text before it looks for words.
         taken = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.taken = re.compile("|".join(taken) or "(?!)")
-        tried = [a + b for a in _TRIED for b in _TRIED]
+        self.taken = "|".join(taken)
+        normalizer = self.tokenizer.normalizer
+        self.lowers = normalizer is not None and all(
+            normalizer.normalize_str(said) == LOWER for said in (UPPER, LOWER)
+        )
+        pairs = [a + b for a in _TRIED for b in _TRIED]
+        units = [re.findall(_UNIT, pair) for pair in pairs]
+        different = sorted({u for cut in units for u in cut})
+        alone = dict(zip(different, self._ids(different)))
         self.counted = all(
-            self.ends[ids[-1]] and int(self.ends[ids].sum()) == len(_UNIT.findall(pair))
-            for pair, ids in zip(tried, self._ids(tried))
+            ids == [i for u in cut for i in alone[u]] and self.ends[ids].sum() == len(cut) and self.ends[ids[-1]]
+            for cut, ids in zip(units, self._ids(pairs))
         )
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _alone(self, words: list[str]) -> None:
-        for word, ids in zip(words, self._ids(words)):
-            self.known[word] = np.array(ids, self.id_type).tobytes()
+    def _alone(self, units: list[str]) -> None:
+        for unit, ids in zip(units, self._ids(units)):
+            self.known[unit] = np.array(ids, self.id_type).tobytes()
 
-    def _together(self, words: list[str], units: list[int]) -> None:
-        text = " ".join(words)
-        [found] = self._ids([text])
+    def _together(self, units: list[str]) -> None:
+        [found] = self._ids([" ".join(units)])
         ids = np.array(found, self.id_type)
-        marks, last = np.flatnonzero(self.ends[ids]), np.cumsum(units)
-        if len(marks) != last[-1] or self.taken.search(text):
-            self._alone(words)
+        marks = np.flatnonzero(self.ends[ids])
+        if len(marks) != len(units) or marks[-1] + 1 != len(ids):
+            self._alone(units)
             return
-        packed, size = ids.tobytes(), self.id_type.itemsize
-        stops = ((marks[last - 1] + 1) * size).tolist()
-        self.known.update(zip(words, [packed[a:b] for a, b in zip([0, *stops], stops)]))
-
-    def learn(self, words: list[str]) -> None:
-        rest, some, units = [], [], []
-        for word in words:
-            left, n = _UNIT.subn("", word) if self.counted and len(word) <= WORD_CHARS else (word, 0)
-            if left:
-                rest.append(word)
-            else:
-                some.append(word)
-                units.append(n)
-        for at in range(0, len(some), TOGETHER):
-            self._together(some[at : at + TOGETHER], units[at : at + TOGETHER])
-        if rest:
-            self._alone(rest)
+        packed, stops = ids.tobytes(), ((marks + 1) * self.id_type.itemsize).tolist()
+        self.known.update(zip(units, [packed[a:b] for a, b in zip([0, *stops], stops)]))
+
+    def _with_taken(self, words: pa.Array) -> pa.Array:
+        if not self.taken:
+            return pa.repeat(False, len(words))
+        return pc.match_substring_regex(words, self.taken, ignore_case=True)
+
+    def learn(self, units: list[str]) -> None:
+        new = pa.array(units, pa.large_string())
+        fits = pc.and_not(pc.match_substring_regex(new, r"\A(?:" + _ARROW_UNIT + r")\z"), self._with_taken(new))
+        single = fits if self.counted else pa.repeat(False, len(new))
+        for chosen, ask in ((single, self._together), (pc.invert(single), self._alone)):
+            asked = new.filter(chosen).to_numpy(zero_copy_only=False).tolist()
+            for at in range(0, len(asked), TOGETHER):
+                ask(asked[at : at + TOGETHER])
+
+    def _units(self, words: pa.Array) -> pa.Array:
+        """The units of each word, and the empty one; words that are not plain are one unit."""
+        if not self.counted:
+            return pc.ascii_split_whitespace(words)
+        plain = pc.and_not(pc.match_substring_regex(words, _PLAIN), self._with_taken(words))
+        cut = pc.replace_substring_regex(pc.ascii_lower(words) if self.lowers else words, _ARROW_UNIT, r"\1 ")
+        return pc.ascii_split_whitespace(pc.if_else(plain, cut, words))
+
+    def _packed(self, words: pa.Array, end: bytes) -> pa.Array:
+        """The packed ids of different words, and ``end`` after the last."""
+        units = self._units(words)
+        numbered = units.flatten().dictionary_encode()
+        names = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.known) > REMEMBERED:
+            self.known = {u: self.known[u] for u in ["", *names] if u in self.known}
+        known = self.known
+        found = list(map(known.get, names))
+        fresh = [u for u, ids in zip(names, found) if ids is None]
+        if fresh:
+            self.learn(fresh)
+            found = list(map(known.get, names))
+            for unit in fresh:
+                if len(unit) > UNIT_CHARS:
+                    del known[unit]
+        # The end is one more unit of one more word.
+        numbers = np.append(numbered.indices.to_numpy(), len(found))
+        laid = pa.array([*found, end], pa.large_binary()).take(pa.array(numbers))
+        stops = units.offsets.to_numpy()[1:] - units.offsets[0].as_py()
+        return _joined(laid, np.append(stops, len(numbers)))
 
     def __call__(self, texts: pa.Array, end: bytes = b"") -> pa.Array:
         """The packed ids of each text, with ``end`` after each.
 
-        Arrow cuts and numbers the words; the ids of the different ones are
-        laid out once and gathered by number.
+        Arrow cuts and numbers the words, and the units of the different ones;
+        the ids are laid out once and gathered by number.
         """
         cut = pc.ascii_split_whitespace(texts)
         numbered = cut.flatten().dictionary_encode()
-        words = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
-        if len(self.known) > REMEMBERED:
-            self.known = {w: self.known[w] for w in ["", *words] if w in self.known}
-        known = self.known
-        found = list(map(known.get, words))
-        fresh = [w for w, ids in zip(words, found) if ids is None]
-        if fresh:
-            self.learn(fresh)
-            found = list(map(known.get, words))
-            for word in fresh:
-                if len(word) > WORD_CHARS:
-                    del known[word]
-        found.append(end)
-        size = self.id_type.itemsize
-        lengths = np.fromiter(map(len, found), np.int64, len(found)) // size
-        laid = np.frombuffer(b"".join(found), self.id_type)
-        firsts = np.cumsum(lengths) - lengths
+        packed = self._packed(numbered.dictionary, end)
         # The end id is one more word, after the last of each text.
         last = cut.offsets.to_numpy()[1:] - cut.offsets[0].as_py()
-        numbers = np.insert(numbered.indices.to_numpy(), last, len(found) - 1)
-        counts = lengths[numbers]
-        ends = np.cumsum(counts)
-        gathered = laid[np.repeat(firsts[numbers] - (ends - counts), counts) + np.arange(counts.sum())]
-        stops = ends[last + np.arange(len(last))] * size
-        offsets = np.r_[0, stops].astype(np.int64)
-        return pa.Array.from_buffers(
-            pa.large_binary(), len(texts), [None, pa.py_buffer(offsets), pa.py_buffer(gathered.tobytes())]
-        ).cast(pa.binary())
+        numbers = np.insert(numbered.indices.to_numpy(), last, len(packed) - 1)
+        laid = packed.take(pa.array(numbers))
+        return _joined(laid, last + np.arange(1, len(last) + 1)).cast(pa.binary())
 
 
 _encoders: dict[tuple[int, str], WordEncoder] = {}
@@ -237,18 +265,18 @@ def count_ids(encoded: DataFrame, kind: str) -> dict[int, int]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros(0, np.int64)
         for batch in batches:
-            for value in batch.column(0):
-                ids = np.frombuffer(value.as_py(), kind)
-                if not len(ids):
-                    continue
-                if len(ids) >= 1 << 16:
-                    found, n = np.unique(ids, return_counts=True)
-                else:
-                    found, n = ids, 1
-                top = int(ids.max()) + 1
-                if top > len(totals):
-                    totals = np.r_[totals, np.zeros(top - len(totals), np.int64)]
-                np.add.at(totals, found, n)
+            if not batch.num_rows:
+                continue
+            values = batch.column(0).cast(pa.large_binary())
+            _, offsets, data = values.buffers()
+            bounds = np.frombuffer(offsets, np.int64, len(values) + 1, 8 * values.offset)
+            n_ids = int(bounds[-1] - bounds[0]) // np.dtype(kind).itemsize
+            ids = np.frombuffer(data, kind, n_ids, int(bounds[0])) if n_ids else np.zeros(0, kind)
+            for at in range(0, n_ids, COUNTED_IDS):
+                found = np.bincount(ids[at : at + COUNTED_IDS])
+                if len(found) > len(totals):
+                    totals = np.r_[totals, np.zeros(len(found) - len(totals), np.int64)]
+                totals[: len(found)] += found
         some = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(totals[some], pa.int64())], names=["id", "n"])
 

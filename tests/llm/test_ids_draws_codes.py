@@ -89,6 +89,61 @@ def test_words_apart_have_the_ids_of_the_whole_text(tokenizer):
     assert _ids(encode(pa.array([], pa.string()))) == []
 
 
+def test_every_letter_of_a_unit_is_one_beside_any_neighbour(tokenizer):
+    with open(queries.vocabulary(WORDS), encoding="utf-8") as file:
+        encode = token_files.WordEncoder(file.read(), "<u2")
+    letters = [chr(c) for c in (*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x250))]
+    texts = [said for c in letters for said in (c, f"{c}<", f"<{c}", f"a{c}a", f"X{c}7{c}", f"{c}'s{c}")]
+    assert _ids(encode(pa.array(texts))) == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_the_library_is_asked_once_for_each_unit(tokenizer, monkeypatch):
+    """Words that differ in capitals or in the signs around them share their units; marks of the vocabulary do not."""
+    with open(queries.vocabulary(WORDS), encoding="utf-8") as file:
+        encode = token_files.WordEncoder(file.read(), "<u2")
+    asked = []
+    ids = encode._ids
+    monkeypatch.setattr(encode, "_ids", lambda texts: asked.extend(texts) or ids(texts))
+    texts = ["Stone stone, (stone) STONE.", "stone,Wall,stone wall <|endoftext|> <|ENDOFTEXT|> x<|endoftext|>stone", "can't Can't 2024 (2024)"]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert _ids(encode(pa.array(texts))) == want
+    words = [w for said in asked for w in said.split()]
+    assert len(words) == len(set(words))
+    assert words.count("stone") == words.count("wall") == words.count("2") == 1
+    assert not {"Stone", "stone,", "(stone)", "STONE."} & set(words)
+    asked.clear()
+    assert _ids(encode(pa.array(["(WALL) 4202, stone"]))) == [tokenizer.encode("(WALL) 4202, stone").ids]
+    assert asked == []
+
+
+def test_words_forgotten_are_asked_again(tokenizer, monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED", 3)
+    monkeypatch.setattr(token_files, "TOGETHER", 2)
+    with open(queries.vocabulary(WORDS), encoding="utf-8") as file:
+        encode = token_files.WordEncoder(file.read(), "<u2")
+    for text in ("one two three four five", "five six", "", "one " + "long" * 40 + ", two", "five"):
+        assert _ids(encode(pa.array([text, ""]), b"\x02\x00")) == [tokenizer.encode(text).ids + [2], [2]]
+        assert not any(len(unit) > token_files.UNIT_CHARS for unit in encode.known)
+
+
+@pytest.mark.parametrize("kind", ["<u2", "<u4"])
+def test_ids_are_counted_over_batches(spark, kind, monkeypatch):
+    monkeypatch.setattr(token_files, "COUNTED_IDS", 7)
+    rng = np.random.default_rng(3)
+    rows = [rng.integers(0, 40, n) for n in (0, 1, 50, 0, 13, 7)]
+    encoded = spark.createDataFrame([(bytearray(ids.astype(kind).tobytes()),) for ids in rows], "ids binary").repartition(3)
+    found, n = np.unique(np.concatenate(rows), return_counts=True)
+    assert token_files.count_ids(encoded, kind) == dict(zip(found.tolist(), n.tolist()))
+
+
+def test_coder_near_its_bounds():
+    """Frequencies from one to nearly the whole table, at both ends of the states."""
+    table = rans.FrequencyTable.from_counts({0: 10**9, 1: 1, 7: 10**6, 65535: 1})
+    rng = np.random.default_rng(4)
+    for ids in (np.zeros(5000, int), np.full(5000, 65535), rng.choice([0, 1, 7, 65535], 300_001)):
+        assert (rans.decode_block(rans.encode_block(ids, table), len(ids), table) == ids).all()
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(st.sampled_from(list("aB1' \n\t.<|>̧́éΣÅ ‍\U0001f600İ\x0b\x1c")), max_size=40))
 def test_words_apart_have_the_ids_of_any_text(text):
